@@ -66,7 +66,13 @@ def is_numeric(dtype: T.DataType) -> bool:
 
 
 def blank(col: Column) -> Column:
-    return col.rlike(BLANK)
+    """Nothing but white space; text that starts with a visible ASCII letter needs no regex."""
+    return ~F.ascii(col).between(33, 126) & col.rlike(BLANK)
+
+
+def _matches(col: Column, pattern: str) -> Column:
+    """Try the pattern on ASCII first, which is much faster, then on all of Unicode."""
+    return col.rlike(pattern.removeprefix("(?U)")) | col.rlike(pattern)
 
 
 def strip(col: Column) -> Column:
@@ -154,7 +160,7 @@ def coercion(col: Column, dtype: T.DataType, target: str, fmt: str | None = None
         return Coercion(always, python_text(col, dtype), T.StringType())
     if target == "int":
         if is_text(dtype):
-            ok = col.rlike(INT_TEXT)
+            ok = _matches(col, INT_TEXT)
             return Coercion(ok, F.when(ok, _number(col, "bigint")), T.LongType())
         if isinstance(dtype, (*_INTEGRAL, T.BooleanType)):
             return Coercion(always, col, dtype)
@@ -166,7 +172,7 @@ def coercion(col: Column, dtype: T.DataType, target: str, fmt: str | None = None
         return Coercion(never, F.lit(None).cast("bigint"), T.LongType())
     if target == "float":
         if is_text(dtype):
-            ok = col.rlike(FLOAT_TEXT)
+            ok = _matches(col, FLOAT_TEXT)
             return Coercion(ok, F.when(ok, _number(col, "double")), T.DoubleType())
         if isinstance(dtype, _FLOATING):
             return Coercion(always, col, dtype)

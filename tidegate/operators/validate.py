@@ -1,7 +1,7 @@
 """Rules compiled to Spark columns.
 
-``validate`` turns a rule list into two projections over the input: one message column
-per rule (null when the rule passes), then one result struct.  There is no Python worker
+``validate`` turns a rule list into two projections over the input: one boolean per rule,
+then one result struct.  There is no Python worker
 in it unless a rule brings its own Python function, and no shuffle unless a rule asks for
 uniqueness.  The same projection serves a batch and a stream.
 """
@@ -13,6 +13,7 @@ import re
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,7 @@ from tidegate.functions.values import (
     strict_type_matches,
 )
 from tidegate.rules.model import Rule, check_rules
+from tidegate.session import fit_generated_code
 
 CORRUPT = "_corrupt_record"
 RESULT_TYPE = (
@@ -134,27 +136,31 @@ class _Scope:
         return Field(new.value, new.dtype, found.exists)
 
 
-def _fails(condition: Column, message: Column | str) -> Column:
-    return F.when(condition, F.lit(message) if isinstance(message, str) else message)
+class Verdict(NamedTuple):
+    """When a rule fails, and the text for rows where it does."""
 
+    fails: Column
+    text: Column
 
-def _safe_text(text: Column) -> Column:
-    return F.coalesce(text, F.lit("None"))
 
+def _verdict(fails: Column, text: Column | str) -> Verdict:
+    return Verdict(F.coalesce(fails, F.lit(False)), F.lit(text) if isinstance(text, str) else text)
 
-def _required(rule: Rule, scope: _Scope) -> Column:
+
+def _required(rule: Rule, scope: _Scope) -> Verdict:
     found = scope.raw(rule.field_name)
     if found is None:
-        return F.lit("Field is missing from record")
-    out = F.when(F.lit(False), F.lit(""))
+        return _verdict(F.lit(True), "Field is missing from record")
+    fails, text = found.col.isNull(), F.when(found.col.isNull(), "Field value is null")
     if found.exists is not None:
-        out = F.when(~found.exists, F.lit("Field is missing from record"))
-    out = out.when(found.col.isNull(), F.lit("Field value is null"))
+        text = F.when(~found.exists, "Field is missing from record").when(found.col.isNull(), "Field value is null")
     if is_text(found.dtype) and not rule.parameters.get("allow_empty_string", False):
-        out = out.when(blank(found.col), F.lit("Field value is empty string"))
-    return out
+        fails = fails | blank(found.col)
+        text = text.otherwise("Field value is empty string")
+    return _verdict(fails, text)
 
 
+# Why a value cannot be read as a type.
 _REASONS = {
     "int": "not a whole number",
     "float": "not a number",
@@ -165,7 +171,7 @@ _REASONS = {
 }
 
 
-def _type_check(rule: Rule, scope: _Scope) -> Column | None:
+def _type_check(rule: Rule, scope: _Scope) -> Verdict | None:
     found = scope.raw(rule.field_name)
     if found is None:
         return None
@@ -173,45 +179,49 @@ def _type_check(rule: Rule, scope: _Scope) -> Column | None:
     if not rule.coerces:
         if strict_type_matches(found.dtype, rule.target):
             return None
-        return _fails(found.col.isNotNull(), f"Expected {rule.target}, got {own}")
+        return _verdict(found.col.isNotNull(), f"Expected {rule.target}, got {own}")
     new = coercion(found.col, found.dtype, rule.target, rule.date_format)
     failed = found.col.isNotNull() & ~new.ok
     if scope.is_coerced(rule.field_name):
         # a value means success, so the text is examined again only where there is none
         failed = found.col.isNotNull() & quoted(rule.field_name).isNull() & ~new.ok
-    return _fails(failed, f"Cannot coerce {own} to {rule.target}: {_REASONS[rule.target]}")
+    return _verdict(failed, f"Cannot coerce {own} to {rule.target}: {_REASONS[rule.target]}")
+
+
+# How each bound is broken, and the words for it.
+_BOUNDS = (
+    ("min", lambda v, b: v < b, "is less than minimum"),
+    ("min_exclusive", lambda v, b: v <= b, "must be greater than"),
+    ("max", lambda v, b: v > b, "exceeds maximum"),
+    ("max_exclusive", lambda v, b: v >= b, "must be less than"),
+)
 
 
-def _range(rule: Rule, scope: _Scope) -> Column | None:
+def _range(rule: Rule, scope: _Scope) -> Verdict | None:
     found = scope.processed(rule.field_name)
     if found is None:
         return None
     if not is_numeric(found.dtype):
-        return _fails(found.col.isNotNull(), f"Value must be numeric, got {python_type_name(found.dtype)}")
+        return _verdict(found.col.isNotNull(), f"Value must be numeric, got {python_type_name(found.dtype)}")
     value = found.col.cast("int") if isinstance(found.dtype, T.BooleanType) else found.col
-    shown = _safe_text(python_text(found.col, found.dtype))
-    out = F.when(F.lit(False), F.lit(""))
+    fails, words = F.lit(False), F.when(F.lit(False), F.lit(""))
+    for key, broken, phrase in _BOUNDS:
+        bound = rule.parameters.get(key)
+        if bound is not None:
+            fails = fails | broken(value, F.lit(bound))
+            words = words.when(broken(value, F.lit(bound)), f" {phrase} {bound}")
     if isinstance(found.dtype, (T.FloatType, T.DoubleType)):
-        out = out.when(F.isnan(value), F.lit(None))  # no comparison with NaN holds
-    p = rule.parameters
-    for key, broken, words in (
-        ("min", lambda v, b: v < b, "is less than minimum"),
-        ("min_exclusive", lambda v, b: v <= b, "must be greater than"),
-        ("max", lambda v, b: v > b, "exceeds maximum"),
-        ("max_exclusive", lambda v, b: v >= b, "must be less than"),
-    ):
-        if p.get(key) is not None:
-            out = out.when(broken(value, F.lit(p[key])), F.concat(F.lit("Value "), shown, F.lit(f" {words} {p[key]}")))
-    return out
+        fails = fails & ~F.isnan(value)  # no comparison with NaN holds
+    return _verdict(fails, F.concat(F.lit("Value "), python_text(found.col, found.dtype), words))
 
 
-def _regex(rule: Rule, scope: _Scope) -> Column | None:
+def _regex(rule: Rule, scope: _Scope) -> Verdict | None:
     found = scope.raw(rule.field_name)
     if found is None:
         return None
     text = python_text(found.col, found.dtype)
     message = F.concat(F.lit("Value '"), text, F.lit(f"' does not match pattern '{rule.pattern_text()}'"))
-    return _fails(found.col.isNotNull() & ~text.rlike(rule.java_pattern()), message)
+    return _verdict(~text.rlike(rule.java_pattern()), message)
 
 
 # -- custom rules ---------------------------------------------------------------------
@@ -331,11 +341,15 @@ def _with_duplicate_marks(df: DataFrame, scope: _Scope, unique: dict[int, Rule])
 _SIMPLE = {"required_field": _required, "type_check": _type_check, "range": _range, "regex": _regex}
 
 
-def messages(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[str]]:
-    """Add one message column per rule, null where the rule passes.
+def _default_text(rule: Rule) -> str:
+    return rule.parameters.get("error_message") or "Custom validation failed"
+
 
-    Nothing after this step looks at the data again: verdicts, name lists and texts are all
-    read from these columns, so each predicate is evaluated once per row.
+def verdicts(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Column]]:
+    """Add one boolean ``_f_<i>`` per rule (true = fails); return the texts for failing rows.
+
+    Status, name lists and texts are all read from these flags, so each predicate is
+    evaluated once per row, and texts only where a rule fails.
     """
     spark = df.sparkSession
     unique = {i: r for i, r in enumerate(rules) if r.is_unique}
@@ -346,39 +360,41 @@ def messages(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[str]]:
     if unique:
         df = _with_duplicate_marks(df, scope, unique)
 
-    native: dict[str, Column] = {}
-    sql_rules: dict[str, Rule] = {}
+    flags: dict[str, Column] = {}
+    python_texts: dict[str, Column] = {}
     bound: dict[str, Column] = {}
+    sql_rules: dict[int, Rule] = {}
+    texts: list[Column] = []
     for i, rule in enumerate(rules):
-        name = f"_m_{i}"
         if rule.rule_type != "custom":
-            verdict = _SIMPLE[rule.rule_type](rule, scope)
-            native[name] = (verdict if verdict is not None else F.lit(None)).cast("string")
+            verdict = _SIMPLE[rule.rule_type](rule, scope) or Verdict(F.lit(False), F.lit(""))
+            flags[f"_f_{i}"] = verdict.fails
+            texts.append(verdict.text)
             continue
-        text = rule.parameters.get("error_message") or "Custom validation failed"
+        texts.append(F.lit(_default_text(rule)))
         found = scope.processed(rule.field_name)
         if i in unique:
-            native[name] = _fails(F.col(f"_dup_{i}"), text)
+            flags[f"_f_{i}"] = F.col(f"_dup_{i}")
         elif rule.parameters.get("validator_func"):
-            native[name] = _python_rule(rule, df, found)
+            python_texts[f"_t_{i}"] = _python_rule(rule, df, found)
+            texts[i] = F.col(f"_t_{i}")
         else:
-            sql_rules[name] = rule
+            sql_rules[i] = rule
             bound[f"_in_{i}"] = found.col if found is not None else F.lit(None)
             raw = scope.raw(rule.field_name)
             bound[f"_null_{i}"] = raw.col.isNull() if raw is not None else F.lit(True)
 
-    out = df.withColumns({**native, **bound}) if native or bound else df
-    for name, rule in sql_rules.items():
-        i = name.removeprefix("_m_")
-        text = rule.parameters.get("error_message") or "Custom validation failed"
+    out = df.withColumns({**flags, **python_texts, **bound}) if rules else df
+    if python_texts:
+        out = out.withColumns({name.replace("_t_", "_f_"): F.col(name).isNotNull() for name in python_texts})
+    for i, rule in sql_rules.items():
         with _errors_as_null(spark):
             try:
-                verdict = F.expr(f"coalesce(CAST(({_expression(rule, '_in_' + i)}) AS BOOLEAN), `_null_{i}`)")
-                out = out.withColumn(name, F.when(~verdict, F.lit(text)))
+                passes = F.expr(f"coalesce(CAST(({_expression(rule, f'_in_{i}')}) AS BOOLEAN), `_null_{i}`)")
+                out = out.withColumn(f"_f_{i}", ~passes)
             except Exception as e:
                 raise ValueError(f"Rule '{rule.rule_name}': {e}") from e
-    drop = [*bound, *[f"_dup_{i}" for i in unique]]
-    return out.drop(*drop), [f"_m_{i}" for i in range(len(rules))]
+    return out.drop(*bound, *[f"_dup_{i}" for i in unique]), texts
 
 
 def _present(parts: list[Column]) -> Column:
@@ -403,50 +419,48 @@ def validate(
     with ``key``, otherwise good rows without a key fail ``record_id_missing``.
     """
     checked = check_rules(rules)
+    fit_generated_code(df.sparkSession)
     record = data_columns(df)
-    judged, names = messages(coerce_types(df, checked), checked)
+    judged, texts = verdicts(coerce_types(df, checked), checked)
 
-    extra: list[tuple[str, Column]] = []
+    # (name, fails, text) of everything that can make a row invalid, in order
+    failing: list[tuple[str, Column, Column]] = []
     if CORRUPT in df.columns:
-        extra.append(("malformed_record", _fails(quoted(CORRUPT).isNotNull(), "Record could not be parsed")))
+        failing.append(("malformed_record", quoted(CORRUPT).isNotNull(), F.lit("Record could not be parsed")))
     if reject_all_null and record:
         raw = set(judged.schema["_raw"].dataType.names) if "_raw" in judged.columns else set()
         empty = F.lit(True)
         for c in record:
             col = F.col("_raw").getField(c) if c in raw else quoted(c)
             empty = empty & (F.coalesce(blank(col), F.lit(True)) if is_text(df.schema[c].dataType) else col.isNull())
-        extra.append(("no_valid_data", _fails(empty, "No valid data")))
-    if extra:
-        judged = judged.withColumns({f"_x_{n}": m for n, m in extra})
-
-    failing = [(n, F.col(f"_x_{n}")) for n, _ in extra]
-    failing += [(r.rule_name, F.col(m)) for r, m in zip(checked, names) if r.severity == "error"]
-    warning = [(r.rule_name, F.col(m)) for r, m in zip(checked, names) if r.severity == "warning"]
+        judged = judged.withColumn("_f_empty", empty)
+        failing.append(("no_valid_data", F.col("_f_empty"), F.lit("No valid data")))
+    flags = [F.col(f"_f_{i}") for i in range(len(checked))]
+    failing += [(r.rule_name, f, t) for r, f, t in zip(checked, flags, texts) if r.severity == "error"]
 
     n_failed = F.lit(0)
-    for _, m in failing:
-        n_failed = n_failed + m.isNotNull().cast("int")
+    for _, fails, _ in failing:
+        n_failed = n_failed + fails.cast("int")
+    judged = judged.withColumn("_n_failed", n_failed)
+    n_failed = F.col("_n_failed")
     no_key = F.lit(False)
-    failed_names = [F.when(m.isNotNull(), n).otherwise("") for n, m in failing]
-    failed_texts = [F.coalesce(m, F.lit("")) for _, m in failing]
     if key is not None:
-        judged = judged.withColumn("_no_key", F.coalesce(key, F.lit("")) == "")
-        no_key = F.col("_no_key") & (n_failed == 0)
-        failed_names.append(F.when(no_key, "record_id_missing").otherwise(""))
-        failed_texts.append(F.when(no_key, "Record has no usable id").otherwise(""))
+        no_key = (n_failed == 0) & (F.coalesce(key, F.lit("")) == "")
+        failing.append(("record_id_missing", no_key, F.lit("Record has no usable id")))
 
     status = (
         F.when((n_failed == 0) & ~no_key, "valid").when(n_failed >= review_threshold, "manual_review").otherwise("invalid")
     )
-    passed = [F.when(F.col(m).isNull(), r.rule_name).otherwise("") for r, m in zip(checked, names)]
     verdict = F.struct(
         status.alias("status"),
-        _present(passed).alias("passed_rules"),
-        _present(failed_names).alias("failed_rules"),
-        _present(failed_texts).alias("error_messages"),
-        _present([F.when(m.isNotNull(), n).otherwise("") for n, m in warning]).alias("warnings"),
+        _present([F.when(~f, r.rule_name).otherwise("") for r, f in zip(checked, flags)]).alias("passed_rules"),
+        _present([F.when(f, n).otherwise("") for n, f, _ in failing]).alias("failed_rules"),
+        _present([F.coalesce(F.when(f, t), F.when(f, n), F.lit("")) for n, f, t in failing]).alias("error_messages"),
+        _present([F.when(f, r.rule_name).otherwise("") for r, f in zip(checked, flags) if r.severity == "warning"]).alias(
+            "warnings"
+        ),
     )
-    helpers = [*names, *[f"_x_{n}" for n, _ in extra], "_no_key"]
+    helpers = [c for c in judged.columns if c.startswith(("_f_", "_t_", "_n_failed")) and c not in df.columns]
     return judged.withColumn(result, verdict).drop(*helpers)
 
 

@@ -46,3 +46,15 @@ def has_data(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists and holds anything but markers."""
     p, fs = _path(spark, path)
     return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
+
+
+def fit_generated_code(spark: SparkSession) -> None:
+    """Keep the generated code of long rule lists compilable.
+
+    The JVM never compiles methods above 8000 bytes of bytecode and interprets them instead.
+    With this limit Spark falls back to many small methods there, which is several times
+    faster.  A limit set by the user is left alone.
+    """
+    key, default = "spark.sql.codegen.hugeMethodLimit", "65535"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, "8000")

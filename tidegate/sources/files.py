@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.values import quoted
 from tidegate.operators.validate import CORRUPT
 
 # Readable formats.
@@ -86,11 +87,37 @@ def read_json_elements(spark: SparkSession, path: str, schema: T.StructType, **o
     return parse_objects(split, "text", schema)
 
 
+def exact_texts(schema: T.StructType) -> T.StructType:
+    """Text fields read as variants first: a number in a text field keeps all its digits."""
+    fields = [
+        T.StructField(f.name, T.VariantType(), True) if type(f.dataType) is T.StringType and f.name != CORRUPT else f
+        for f in schema
+    ]
+    return T.StructType(fields)
+
+
+def parsed_columns(text: Column, schema: T.StructType) -> tuple[Column, dict[str, Column]]:
+    """The parse of a JSON text, and the columns to take from it once it is named ``_p``."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    loose = exact_texts(schema)
+    columns = {f.name: F.col("_p").getField(f.name) for f in schema}
+    for f in loose:
+        if isinstance(f.dataType, T.VariantType) and not isinstance(schema[f.name].dataType, T.VariantType):
+            columns[f.name] = F.try_variant_get(columns[f.name], "$", "string")
+    return F.from_json(text, loose, options), columns
+
+
 def parse_objects(df: DataFrame, text: str, schema: T.StructType) -> DataFrame:
     """Columns of a JSON text column, beside the other columns.
 
-    An object whose field does not fit its type has null there; the record stays readable.
+    A field that does not fit its type is null; text that is no object is kept in
+    ``_corrupt_record`` if the schema has that column.
     """
-    parsed = F.from_json(F.col(text), schema, {"mode": "PERMISSIVE"})
+    parse, columns = parsed_columns(F.col(text), schema)
     rest = [c for c in df.columns if c != text]
-    return df.select(parsed.alias("_p"), *rest).select(*[F.col("_p").getField(f.name).alias(f.name) for f in schema], *rest)
+    keep = [c for c in rest if c not in columns]
+    if CORRUPT in rest and CORRUPT in columns:
+        columns[CORRUPT] = F.coalesce(quoted(CORRUPT), columns[CORRUPT])
+    return df.select(parse.alias("_p"), *[quoted(c) for c in rest]).select(
+        *[c.alias(n) for n, c in columns.items()], *[quoted(c) for c in keep]
+    )

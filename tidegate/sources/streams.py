@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidegate.operators.validate import CORRUPT
 from tidegate.session import path_exists
-from tidegate.sources.files import FORMATS, tag_source, with_corrupt_column
+from tidegate.sources.files import FORMATS, parsed_columns, tag_source, with_corrupt_column
 
 
 def file_stream(
@@ -97,8 +97,8 @@ def parse_kafka_values(raw: DataFrame, value_schema: T.StructType | None = None)
     rest = [c for c in raw.columns if c != "value"]
     if value_schema is None:
         return raw.select(*rest, text.alias("value_str"))
-    with_corrupt = with_corrupt_column(value_schema)
-    parsed = F.from_json(text, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     clash = set(value_schema.names)
+    parse, columns = parsed_columns(text, with_corrupt_column(value_schema))
     meta = [F.col(c).alias(f"kafka_{c}") if c in clash else F.col(c) for c in rest]
-    return raw.select(*meta, parsed.alias("_p")).select("*", "_p.*").drop("_p")
+    named = [c if c not in clash else f"kafka_{c}" for c in rest]
+    return raw.select(*meta, parse.alias("_p")).select(*named, *[c.alias(n) for n, c in columns.items()])
