@@ -384,7 +384,10 @@ def verdicts(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Column]]
             raw = scope.raw(rule.field_name)
             bound[f"_null_{i}"] = raw.col.isNull() if raw is not None else F.lit(True)
 
-    out = df.withColumns({**flags, **python_texts, **bound}) if rules else df
+    # A filter on the result must not pull every predicate down into itself and evaluate it a
+    # second time; it stops at a projection with a value the optimizer cannot know.
+    flags["_f_pin"] = F.spark_partition_id() < 0
+    out = df.withColumns({**flags, **python_texts, **bound})
     if python_texts:
         out = out.withColumns({name.replace("_t_", "_f_"): F.col(name).isNotNull() for name in python_texts})
     for i, rule in sql_rules.items():
@@ -399,7 +402,8 @@ def verdicts(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Column]]
 
 def _present(parts: list[Column]) -> Column:
     """The non-empty texts among ``parts``, in order."""
-    return F.array_remove(F.array(*parts), "") if parts else F.array().cast("array<string>")
+    pin = F.when(F.col("_f_pin"), "pin").otherwise("")
+    return F.array_remove(F.array(pin, *parts), "") if parts else F.array().cast("array<string>")
 
 
 def validate(
@@ -413,6 +417,8 @@ def validate(
 ) -> DataFrame:
     """Coerce, apply every enabled rule to every row and add one result struct.
 
+    Filter on data columns before this step: a filter on its output does not reach the scan.
+
     ``status`` is valid, invalid, or manual_review when at least ``review_threshold`` error
     rules failed.  Warnings never make a row invalid.  Rows whose text could not be parsed
     fail ``malformed_record``; with ``reject_all_null`` empty rows fail ``no_valid_data``;
@@ -438,7 +444,7 @@ def validate(
     flags = [F.col(f"_f_{i}") for i in range(len(checked))]
     failing += [(r.rule_name, f, t) for r, f, t in zip(checked, flags, texts) if r.severity == "error"]
 
-    n_failed = F.lit(0)
+    n_failed = F.col("_f_pin").cast("int")
     for _, fails, _ in failing:
         n_failed = n_failed + fails.cast("int")
     judged = judged.withColumn("_n_failed", n_failed)

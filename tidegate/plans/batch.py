@@ -79,17 +79,16 @@ def load(
             read_options.setdefault("infer_schema", False)
         df = read(spark, path, file_format, **read_options)
 
-    schema_id, score, notes = None, None, []
+    schema_id, score, notes, known = None, None, [], schema
     registry = SchemaRegistry(lake)
-    if dry_run:
-        known = registry.get(source_id) or schema
-        if known is not None:
-            df, known, notes = fit_columns(df, known, evolve)
-    else:
-        df, known, schema_id, score, notes = _settle_schema(registry, source_id, df, schema, evolve, schema_fraction)
     row = registry.active(source_id)
-    typed = apply_schema if apply_schema is not None else bool(schema is not None or (row and not row.inferred))
-    if typed and known is not None:
+    if not dry_run:
+        df, known, schema_id, score, notes = _settle_schema(registry, row, source_id, df, schema, evolve, schema_fraction)
+    elif row or schema is not None:
+        known = S.schema_from_json(row.schema_definition) if row else schema
+        df, known, notes = fit_columns(df, known, evolve)
+    by_hand = not row.inferred if row else schema is not None
+    if known is not None and (apply_schema if apply_schema is not None else by_hand):
         checked = checked + schema_rules(known, checked)
 
     validated = judge(df, checked, settings)
@@ -121,9 +120,10 @@ def load(
     }
 
 
-def _settle_schema(registry: SchemaRegistry, source_id: str, df: DataFrame, given: T.StructType | None, evolve: bool, fraction: float):
-    """The schema this batch goes by, stored if it is new."""
-    row = registry.active(source_id)
+def _settle_schema(
+    registry: SchemaRegistry, row: T.Row | None, source_id: str, df: DataFrame, given: T.StructType | None, evolve: bool, fraction: float
+):
+    """The schema this batch goes by, stored if it is new (``row``: the active one)."""
     if row is None:
         data = df.drop(CORRUPT)
         if given is not None:

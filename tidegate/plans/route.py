@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Iterator
@@ -101,39 +102,47 @@ def write_sinks(
     at = at if at is not None else F.current_timestamp()
     counts = count_rows(rows)
     good, bad = rows.filter("_good").drop("_good"), rows.filter("NOT _good").drop("_good")
-    source = F.lit(source_id)
 
-    if counts.invalid:
+    def quarantine_write() -> None:
         rejected = quarantine.quarantine_rows(bad, source_id, batch_id, quarantined_at=at, record_id=F.col("_rid"))
         lake.replace_partitions(rejected, "quarantine_record")
 
-    trail = [lineage.write_events(good, schema_version_id, record_id=F.col("_rid"), source_id=source, created_at=at)]
-    # Names and texts come from the validated rows: the quarantine columns are not needed here.
-    failed = bad.select("_rid", F.col("_v.failed_rules").alias("failed_rules"), F.col("_v.error_messages").alias("error_messages"))
-    trail.append(lineage.quarantine_events(failed, record_id=F.col("_rid"), source_id=source, created_at=at))
-    if settings.audit_coercions:
-        coerced = lineage.coercion_events(good, rules, record_id=F.col("_rid"), source_id=source, created_at=at)
-        if coerced is not None:
-            trail.append(coerced)
-    if counts.duplicates:
-        removed = lake.spark.createDataFrame([(counts.duplicates,)], "duplicates BIGINT")
-        trail.append(lineage.dedup_events(removed, source_id, at))
-    audit = trail[0]
-    for part in trail[1:]:
-        audit = audit.unionByName(part)
-    lake.replace_partitions(lineage.stored_form(audit, batch_id), "audit_log")
+    def audit_write() -> None:
+        audit = _audit_events(lake, good, bad, rules, source_id, counts, settings, schema_version_id, at)
+        lake.replace_partitions(lineage.stored_form(audit, batch_id), "audit_log")
+
+    def warehouse_write() -> None:
+        packed = warehouse_rows(good.drop(CORRUPT), source_id, schema_version_id, record_id=F.col("_rid"), processed_at=at)
+        Warehouse(lake).append(packed, batch_id, batch_seq, unique=_ids_unique(good, settings))
 
+    # The sinks read the same staged files and do not depend on each other.
+    jobs = [audit_write]
+    if counts.invalid:
+        jobs.append(quarantine_write)
     if counts.valid:
-        packed = warehouse_rows(
-            good.drop(CORRUPT), source_id, schema_version_id, record_id=F.col("_rid"), processed_at=at
-        )
-        warehouse = Warehouse(lake)
-        warehouse.append(packed, batch_id, batch_seq, unique=_ids_unique(good, settings))
-        if compact if compact is not None else settings.compact:
-            warehouse.compact()
+        jobs.append(warehouse_write)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+    if counts.valid and (compact if compact is not None else settings.compact):
+        Warehouse(lake).compact()
     return counts
 
 
+def _audit_events(
+    lake: Lake, good: DataFrame, bad: DataFrame, rules: Iterable[Rule], source_id: str, counts: Counts,
+    settings: Settings, schema_version_id: int | None, at: Column,
+) -> DataFrame:
+    keys = {"record_id": F.col("_rid"), "source_id": F.lit(source_id), "created_at": at}
+    failed = bad.select("_rid", F.col("_v.failed_rules").alias("failed_rules"), F.col("_v.error_messages").alias("error_messages"))
+    audit = lineage.write_events(good, schema_version_id, **keys).unionByName(lineage.quarantine_events(failed, **keys))
+    coerced = lineage.coercion_events(good, rules, **keys) if settings.audit_coercions else None
+    if coerced is not None:
+        audit = audit.unionByName(coerced)
+    if counts.duplicates:
+        removed = lake.spark.createDataFrame([(counts.duplicates,)], "duplicates BIGINT")
+        audit = audit.unionByName(lineage.dedup_events(removed, source_id, at))
+    return audit
 
 
 def _ids_unique(rows: DataFrame, settings: Settings) -> bool:

@@ -55,13 +55,16 @@ def read_csv(
     settings = {"header": header, "delimiter": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
     reader = spark.read.options(**settings)
     if schema is not None:
+        if CORRUPT in schema.names:
+            # with pruned columns the parser would not notice a wrong number of fields
+            reader = reader.option("columnPruning", False)
         return reader.schema(schema).csv(path)
     if infer_schema:
         return reader.option("inferSchema", True).csv(path)
     names = reader.csv(path).columns  # reads the first line only
     texts = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
     # enforceSchema=false: a file whose header differs is an error, not misplaced columns
-    return reader.schema(with_corrupt_column(texts)).option("enforceSchema", False).csv(path)
+    return reader.schema(with_corrupt_column(texts)).options(enforceSchema=False, columnPruning=False).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, **options: Any) -> DataFrame:

@@ -31,7 +31,7 @@ def file_stream(
         settings = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **settings}
         schema = with_corrupt_column(schema)
     if kind == "csv":
-        settings = {"header": True, **settings}
+        settings = {"header": True, "columnPruning": False, **settings}
     return tag_source(spark.readStream.format(kind).schema(schema).options(**settings).load(path), source_id)
 
 

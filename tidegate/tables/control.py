@@ -7,6 +7,7 @@ is a new revision and readers take the newest, so no file is ever rewritten.
 from __future__ import annotations
 
 import json
+from datetime import datetime
 from collections.abc import Iterable
 from typing import Any
 
@@ -122,15 +123,16 @@ class SchemaRegistry:
         """Store the next version for a source and return its id."""
         if confidence is not None and not 0.0 <= confidence <= 1.0:
             raise ValueError(f"Confidence must be between 0.0 and 1.0, got {confidence}")
-        schema_id = self.lake.next_id("schema_version", "schema_id")
-        version = S.next_version(self.versions(), source_id).first()[0]
-        row = (schema_id, source_id, version, schema.json(), inferred, confidence, None, None, None)
-        frame = self.lake.spark.createDataFrame([row], SCHEMAS["schema_version"])
-        self.lake.revise(frame.withColumn("created_at", F.current_timestamp()), "schema_version")
-        return schema_id
+        own = F.when(F.col("source_id") == source_id, F.col("version"))
+        last = self.lake.read("schema_version").agg(*[F.coalesce(F.max(c), F.lit(0)).alias(n) for n, c in (("id", F.col("schema_id")), ("version", own), ("rev", F.col("_rev")))]).first()
+        row = (last.id + 1, source_id, last.version + 1, schema.json(), inferred, confidence, datetime.now(), None, last.rev + 1)
+        self.lake.append(self.lake.spark.createDataFrame([row], SCHEMAS["schema_version"]).coalesce(1), "schema_version")
+        return row[0]
 
     def active(self, source_id: str) -> T.Row | None:
         """Newest version that is not deprecated."""
+        if not self.lake.has("schema_version"):
+            return None
         found = S.active_schemas(self.versions().filter(F.col("source_id") == source_id)).collect()
         return found[0] if found else None
 

@@ -55,8 +55,11 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def has(self, name: str) -> bool:
+        return has_data(self.spark, self.path(name))
+
     def read(self, name: str) -> DataFrame:
-        if not has_data(self.spark, self.path(name)):
+        if not self.has(name):
             return self.spark.createDataFrame([], SCHEMAS[name])
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
