@@ -107,6 +107,8 @@ def spark_regex(pattern: str, flags: int = 0) -> str:
         java_flags += "i" if ascii_only else "iu"
     if not ascii_only and _UNICODE_CLASSES.search(body):
         java_flags += "U"
+    if compiled.flags & re.X:
+        out.append("\n")  # ends a comment that would hide the closing bracket
     return f"(?{java_flags})\\A(?:{''.join(out)})"
 
 

@@ -20,12 +20,12 @@ _SPACE = r"[\s\x1c-\x1f]"
 BLANK = rf"(?U)\A{_SPACE}*\z"
 _EDGES = rf"(?U)\A{_SPACE}+|{_SPACE}+\z"
 
-# The text forms Python's int() and float() accept.
+# The text forms Python's int() and float() accept (they allow less white space).
 _DIGITS = r"\d+(?:_\d+)*"
-INT_TEXT = rf"(?U)\A{_SPACE}*[+-]?{_DIGITS}{_SPACE}*\z"
+INT_TEXT = rf"(?U)\A\s*[+-]?{_DIGITS}\s*\z"
 FLOAT_TEXT = (
-    rf"(?U)\A{_SPACE}*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
-    rf"|(?i:inf|infinity|nan)){_SPACE}*\z"
+    rf"(?U)\A\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    rf"|(?i:inf|infinity|nan))\s*\z"
 )
 
 # The words a text may use for a boolean, in any case.
