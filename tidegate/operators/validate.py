@@ -432,7 +432,10 @@ def validate(
     # (name, fails, text) of everything that can make a row invalid, in order
     failing: list[tuple[str, Column, Column]] = []
     if CORRUPT in df.columns:
-        failing.append(("malformed_record", quoted(CORRUPT).isNotNull(), F.lit("Record could not be parsed")))
+        broken = quoted(CORRUPT).isNotNull()
+        if record:  # Spark refuses scans that need the corrupt text alone, so another column is named
+            broken = broken | (F.col("_f_pin") & quoted(record[0]).isNotNull())
+        failing.append(("malformed_record", broken, F.lit("Record could not be parsed")))
     if reject_all_null and record:
         raw = set(judged.schema["_raw"].dataType.names) if "_raw" in judged.columns else set()
         empty = F.lit(True)
