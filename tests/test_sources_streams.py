@@ -183,3 +183,30 @@ def test_csv_and_parquet_streams(spark, lake, tmp_path):
     parquet = StreamJob(lake, RULES, "parquetsrc", str(tmp_path / "k2"), settings=Settings(id_columns=("transaction_id",)))
     run(parquet, spark, tmp_path / "p", file_format="parquet")
     assert {r.record_id for r in Warehouse(lake).current().collect()} == {"T1", "P1"}
+
+
+def test_schema_drift_in_a_stream(spark, lake, tmp_path):
+    from tidegate.tables.control import SchemaRegistry
+
+    registry = SchemaRegistry(lake)
+    registry.create("src", T.StructType.fromDDL("transaction_id STRING, amount DOUBLE"), inferred=False)
+    src = tmp_path / "in"
+    job = StreamJob(lake, RULES, "src", str(tmp_path / "k"), settings=Settings(id_columns=("transaction_id",)), raw_column="value")
+
+    def drain(job):
+        job.start(streams.text_stream(spark, str(src), "src"), available_now=True)
+        job.await_termination()
+
+    put(src, "1.json", {"transaction_id": "T1", "amount": 5})
+    drain(job)
+    assert registry.active("src").version == 1
+    put(src, "2.json", {"transaction_id": "T2", "amount": 5.5, "new_field": "x"}, "{broken")
+    drain(job)
+    assert registry.get("src").names == ["transaction_id", "amount", "new_field"]
+    assert lake.read("run_log").filter("status = 'schema_change'").first().error == "compatible: new_field"
+    assert {r.record_id for r in Warehouse(lake).current().collect()} == {"T1", "T2"}
+    # the next start reads the new column
+    put(src, "3.json", {"transaction_id": "T3", "amount": 1, "new_field": "y"})
+    drain(StreamJob(lake, RULES, "src", str(tmp_path / "k"), settings=Settings(id_columns=("transaction_id",)), raw_column="value"))
+    data = {r.record_id: r.data for r in Warehouse(lake).current().collect()}
+    assert '"new_field":"y"' in data["T3"] and "new_field" not in data["T2"]

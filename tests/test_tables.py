@@ -170,6 +170,13 @@ def test_interrupted_fold_is_finished(spark, lake, monkeypatch):
     assert contents(lake) == expected
 
 
+def test_bucket_count_is_fixed_by_the_first_fold(spark, lake):
+    Warehouse(lake).upsert(rows(spark, [(f"k{i}", i) for i in range(50)]), "b0", 0)
+    other = Lake(spark, lake.root, buckets=7)
+    Warehouse(other).upsert(rows(spark, [(f"k{i}", i + 1) for i in range(50)]), "b1", 1)
+    assert Warehouse(other).current().count() == 50 and other.bucket_count() == 4
+
+
 def test_batch_ids_are_checked(spark, lake):
     with pytest.raises(ValueError):
         Warehouse(lake).append(rows(spark, [("a", 1)]), "a/b")

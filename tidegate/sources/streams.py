@@ -35,6 +35,13 @@ def file_stream(
     return tag_source(spark.readStream.format(kind).schema(schema).options(**settings).load(path), source_id)
 
 
+def text_stream(spark: SparkSession, path: str, source_id: str, max_files_per_trigger: int = 10) -> DataFrame:
+    """New files of a folder as raw lines in ``value``: parsing and drift checks come per batch."""
+    if not path_exists(spark, path):
+        raise ValueError(f"No such folder: {path}")
+    return tag_source(spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path), source_id)
+
+
 def check_file_stream(spark: SparkSession, path: str, file_format: str, schema: T.StructType | None) -> None:
     if file_format.lower() not in FORMATS:
         raise ValueError(f"Unsupported stream format '{file_format}': one of {', '.join(FORMATS)}")

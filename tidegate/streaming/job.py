@@ -9,10 +9,14 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.plans.route import Settings, judge, staged, write_sinks
 from tidegate.rules.model import Rule, check_rules
+from tidegate.sources.files import parse_objects, with_corrupt_column
 from tidegate.streaming.alerts import range_alerts
+from tidegate.streaming.drift import watch_schema
+from tidegate.tables.control import SchemaRegistry
 from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import Warehouse, check_batch_id
 
@@ -37,7 +41,14 @@ class StreamJob:
         retry_delay: float = 5.0,
         compact_every: int | None = None,
         alerts: bool = False,
+        raw_column: str | None = None,
+        schema: T.StructType | None = None,
     ):
+        """With ``raw_column`` the stream brings JSON text in that column.
+
+        Each batch is then compared with the stored schema before it is parsed with
+        ``schema`` (the stored one by default).
+        """
         self.lake = lake
         self.rules = check_rules(rules)
         self.source_id = check_batch_id(source_id)
@@ -48,6 +59,12 @@ class StreamJob:
         self.retry_delay = retry_delay
         self.compact_every = compact_every
         self.alerts = alerts
+        self.raw_column = raw_column
+        self.schema = schema
+        if raw_column and schema is None:
+            self.schema = SchemaRegistry(lake).get(source_id)
+            if self.schema is None:
+                raise ValueError(f"No schema is stored for source '{source_id}'")
         self.query = None
 
     # -- one micro-batch ---------------------------------------------------------------
@@ -77,6 +94,9 @@ class StreamJob:
     def _write(self, lake: Lake, batch: DataFrame, epoch: int):
         batch_id = self._batch_id(epoch)
         data = batch.drop("source_id")
+        if self.raw_column:
+            watch_schema(lake, self.source_id, data, self.raw_column, batch_id)
+            data = parse_objects(data, self.raw_column, with_corrupt_column(self.schema))
         with staged(judge(data, self.rules, self.settings)) as rows:
             # A stream only appends; folding into the base is a separate, rarer step.
             counts = write_sinks(

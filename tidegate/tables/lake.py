@@ -28,6 +28,7 @@ SCHEMAS = {
     "run_log": """batch_id STRING, source_id STRING, mode STRING, status STRING, total BIGINT, valid BIGINT,
         invalid BIGINT, duplicates BIGINT, seconds DOUBLE, started_at TIMESTAMP, error STRING, component STRING,
         attempt INT""",
+    "lake_setting": "name STRING, value BIGINT",
     "alert": """record_id STRING, source_id STRING, rule_name STRING, message STRING, raised_at TIMESTAMP,
         batch_id STRING""",
 }
@@ -40,6 +41,9 @@ PARTITIONS = {
     "alert": ["batch_id"],
 }
 
+# Point lookups by record skip row groups with a Bloom filter sized to what a file holds.
+LOOKUP_COLUMNS = {"warehouse_data": "record_id", "quarantine_record": "record_id", "audit_log": "record_id"}
+
 # Current state of an append-only control table = the newest revision of each key.
 KEYS = {"data_source": ["source_id"], "validation_rule": ["rule_id"], "schema_version": ["source_id", "version"]}
 
@@ -78,8 +82,21 @@ class Lake:
 
     def _writer(self, df: DataFrame, name: str):
         writer = self.shaped(df, name).write
+        if name in LOOKUP_COLUMNS:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{LOOKUP_COLUMNS[name]}", "true")
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
         return writer.partitionBy(*PARTITIONS[name]) if name in PARTITIONS else writer
 
+    def bucket_count(self) -> int:
+        """Buckets of the warehouse table: fixed by its first fold, whatever is asked for later.
+
+        Choose ``buckets`` so that one bucket of the full table is a few hundred MB to a few
+        GB; a bucket is rewritten and sorted by one task.
+        """
+        if not self.has("lake_setting"):
+            self.append(self.spark.createDataFrame([("buckets", self.buckets)], SCHEMAS["lake_setting"]).coalesce(1), "lake_setting")
+        return self.read("lake_setting").filter("name = 'buckets'").agg(F.min("value")).first()[0]
+
     # -- control tables --------------------------------------------------------------
     def current(self, name: str) -> DataFrame:
         """Newest revision per key of a control table."""

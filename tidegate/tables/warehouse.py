@@ -136,7 +136,7 @@ class Warehouse:
         if not has_data(self.spark, log_path):
             return 0
         folded = [r.batch_id for r in self.log().select("batch_id").distinct().collect()]  # partition names
-        buckets = self.lake.buckets
+        buckets = self.lake.bucket_count()
         log = self.log().filter(F.col("batch_id").isin(folded))
         # a single batch holds each record once already
         latest = log.select(*_ROW) if len(folded) == 1 else last_per_key(log, F.struct("batch_seq", "batch_id"))
