@@ -89,6 +89,16 @@ def test_load_without_rules_or_dedup(lake, feed):
     assert len(contents(lake)) == 7
 
 
+def test_empty_and_headless_files(lake, tmp_path):
+    empty, bare = tmp_path / "e.csv", tmp_path / "b.csv"
+    empty.write_text("transaction_id,amount\n")
+    bare.write_text("T1,5\nT2,6\n")
+    r = load(lake, RULES, "empty", str(empty), settings=SETTINGS)
+    assert (r["total_records"], r["valid_records"], r["invalid_records"]) == (0, 0, 0)
+    r = load(lake, [], "bare", str(bare), header=False, settings=Settings(id_columns=("_c0",)), schema_fraction=1.0)
+    assert r["valid_records"] == 2 and [x[2] for x in contents(lake)] == ['{"_c0":"T1","_c1":"5"}', '{"_c0":"T2","_c1":"6"}']
+
+
 def test_load_failure_is_logged(lake, feed):
     bad = [Rule("p", "custom", "amount", {"expression": "raise_error('no') IS NULL"})]
     with pytest.raises(Exception):
@@ -123,7 +133,7 @@ def test_given_schema_types_columns(spark, lake, tmp_path):
 
 def rows(spark, values, source="a"):
     df = spark.createDataFrame(values, "record_id string, v int")
-    return warehouse_rows(df.select(F.col("record_id").alias("_id"), "v"), source, 1, record_id=F.col("_id"))
+    return warehouse_rows(df.select(F.col("record_id").alias("_q_id"), "v"), source, 1, record_id=F.col("_q_id"))
 
 
 def test_upsert_keeps_first_source(spark, lake):
@@ -177,6 +187,21 @@ def test_bucket_count_is_fixed_by_the_first_fold(spark, lake):
     assert Warehouse(other).current().count() == 50 and other.bucket_count() == 4
 
 
+def test_small_batches_do_not_rewrite_a_large_table(spark, lake):
+    w = Warehouse(lake)
+    w.upsert(rows(spark, [(f"k{i}", i) for i in range(3000)]), "b0", 0)
+    assert w.base().count() == 3000 and w.log().count() == 0
+    w.upsert(rows(spark, [("k1", -1)]), "b1", 1)
+    assert w.log().count() == 1 and w.current().filter("record_id = 'k1'").first().data == '{"v":-1}'
+    w.upsert(rows(spark, [("k2", -2)]), "b2", 2, fold=True)
+    assert w.log().count() == 0 and w.base().count() == 3000
+
+
+def test_rows_without_id_are_refused(spark, lake):
+    with pytest.raises(Exception, match="no record_id"):
+        Warehouse(lake).append(rows(spark, [(None, 1)]), "b0")
+
+
 def test_batch_ids_are_checked(spark, lake):
     with pytest.raises(ValueError):
         Warehouse(lake).append(rows(spark, [("a", 1)]), "a/b")
@@ -196,7 +221,7 @@ def test_fold_shuffles_wide_rows_once(spark, lake):
 
     Lake.shaped = spy
     try:
-        w.upsert(rows(spark, [("b", 1)]), "b1", 1)
+        w.upsert(rows(spark, [("b", 1)]), "b1", 1, fold=True)
     finally:
         Lake.shaped = real
     assert seen[0].count("Exchange") == 1

@@ -265,9 +265,9 @@ _HOLES = ["transaction_id", "amount", "email"]
 @query("all_null_rows", J + """SELECT row_id, ver FROM judged WHERE transaction_id IS NULL AND (amount IS NULL OR trim(amount) = '') AND email IS NULL""")
 def all_null_rows(spark, d):
     """Rows with nothing in any data column."""
-    df = dirty(spark, d).select(*_HOLES, F.col("row_id").alias("_row_id"), F.col("ver").alias("_ver"))
+    df = dirty(spark, d).select(*_HOLES, F.col("row_id").alias("_q_row_id"), F.col("ver").alias("_q_ver"))
     v = validate(df, [], reject_all_null=True)
-    return v.filter(F.array_contains("_v.failed_rules", "no_valid_data")).select(F.col("_row_id").alias("row_id"), F.col("_ver").alias("ver"))
+    return v.filter(F.array_contains("_v.failed_rules", "no_valid_data")).select(F.col("_q_row_id").alias("row_id"), F.col("_q_ver").alias("ver"))
 
 
 @query("missing_key_rows", J + """SELECT CASE WHEN transaction_id IS NULL THEN 'record_id_missing' ELSE '' END AS failed, count(*) AS n FROM judged GROUP BY 1""")

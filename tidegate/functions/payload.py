@@ -14,13 +14,21 @@ from tidegate.functions.values import quoted
 RECORD_ID_COLUMNS = ("transaction_id", "record_id")
 DEDUP_KEY_COLUMNS = ("transaction_id", "record_id", "id")
 
+# Columns the library adds to a frame; everything else is data.
+HELPER_COLUMNS = frozenset({"_raw", "_v", "_copies", "_rid", "_good", "_corrupt_record", "_before_dates", "_before_trim"})
+HELPER_PREFIXES = ("_f_", "_t_", "_in_", "_null_", "_dup_", "_uk_", "_us_", "_q_")
+
 _KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
+def is_helper(name: str) -> bool:
+    return name in HELPER_COLUMNS or name.startswith(HELPER_PREFIXES)
+
+
 def data_columns(df: DataFrame, drop: Iterable[str] = ()) -> list[str]:
-    """Columns that belong to the record: no helper columns (leading underscore)."""
+    """Columns that belong to the record."""
     dropped = set(drop)
-    return [c for c in df.columns if not c.startswith("_") and c not in dropped]
+    return [c for c in df.columns if not is_helper(c) and c not in dropped]
 
 
 def payload(df: DataFrame, columns: Iterable[str] | None = None) -> Column:

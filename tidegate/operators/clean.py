@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.patterns import spark_datetime_format
+from tidegate.functions.payload import is_helper
 from tidegate.functions.values import coercion, is_text, quoted, strip
 from tidegate.operators.schema import merge_schemas
 
@@ -36,7 +37,7 @@ def normalize_dates(
 def trim_fields(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Strip all Unicode white space from both ends of text columns."""
     if columns is None:
-        columns = [f.name for f in df.schema if is_text(f.dataType) and not f.name.startswith("_")]
+        columns = [f.name for f in df.schema if is_text(f.dataType) and not is_helper(f.name)]
     return _rewrite(df, {c: strip(quoted(c)) for c in columns}, "_before_trim")
 
 
@@ -52,8 +53,8 @@ def fit_columns(df: DataFrame, schema: T.StructType, evolve: bool = True) -> tup
     columns that are absent are added as nulls.
     """
     known = set(schema.names)
-    extra = [f for f in df.schema if f.name not in known and not f.name.startswith("_")]
-    helpers = [c for c in df.columns if c.startswith("_") and c not in known]
+    extra = [f for f in df.schema if f.name not in known and not is_helper(f.name)]
+    helpers = [c for c in df.columns if is_helper(c) and c not in known]
     if evolve:
         additions = T.StructType([T.StructField(f.name, f.dataType, True) for f in extra])
         schema, notes = merge_schemas(schema, T.StructType([*schema.fields, *additions.fields]))

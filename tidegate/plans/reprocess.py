@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable
+from datetime import datetime
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.payload import record_id as record_id_of
-from tidegate.operators import quarantine
+from tidegate.operators import lineage, quarantine
+from tidegate.operators.schema import schema_from_json
 from tidegate.operators.validate import validate
 from tidegate.plans.route import Settings, staged
 from tidegate.rules.model import Rule, check_rules
@@ -60,23 +62,30 @@ def reprocess(
     settings: Settings = Settings(),
 ) -> dict[str, Any]:
     """Validate open quarantine rows again: good ones go to the warehouse and are marked done."""
-    checked, clock = check_rules(rules), time.monotonic()
-    schema = schema or SchemaRegistry(lake).get(source_id)
+    checked, started, clock = check_rules(rules), datetime.now(), time.monotonic()
+    stored = SchemaRegistry(lake).active(source_id)
     if schema is None:
-        raise ValueError(f"No schema is stored for source '{source_id}'")
+        if stored is None:
+            raise ValueError(f"No schema is stored for source '{source_id}'")
+        schema = schema_from_json(stored.schema_definition)
     batch_id = batch_id or f"reprocess-{time.time_ns() // 1000}"
     rows = quarantine.fetch(view(lake), source_id, record_ids, error_types, limit)
     with staged(revalidate(rows, text_schema(schema), checked, settings)) as judged:
         totals = judged.agg(F.count(F.lit(1)).alias("n"), F.count_if("_good").alias("ok")).first()
         if totals.ok:
             good = judged.filter("_good").drop("_good", "_corrupt_record")
-            packed = warehouse_rows(good, source_id, None, record_id=F.col("_rid"))
-            Warehouse(lake).upsert(packed, batch_id)
+            version, at = stored.schema_id if stored else None, F.current_timestamp()
+            Warehouse(lake).upsert(warehouse_rows(good, source_id, version, record_id=F.col("_rid")), batch_id)
+            trail = lineage.write_events(good, version, record_id=F.col("_rid"), source_id=F.lit(source_id), created_at=at)
+            lake.replace_partitions(lineage.stored_form(trail, batch_id), "audit_log")
             done = good.select(*[F.col(f"_q_{c}").alias(c) for c in quarantine.ROW_KEY])
             lake.append(quarantine.event_rows(done, "reprocessed"), "quarantine_event")
+    seconds = time.monotonic() - clock
+    lake.log_run(batch_id=batch_id, source_id=source_id, mode="reprocess", status="success", total=totals.n, valid=totals.ok,
+                 invalid=totals.n - totals.ok, duplicates=0, seconds=seconds, started_at=started, component="reprocess", attempt=1)
     return {
         "total_reprocessed": totals.n,
         "success_count": totals.ok,
         "failed_count": totals.n - totals.ok,
-        "duration_seconds": time.monotonic() - clock,
+        "duration_seconds": seconds,
     }

@@ -31,7 +31,7 @@ class Settings:
     review_threshold: int = 3
     reject_all_null: bool = True
     audit_coercions: bool = True
-    compact: bool = True
+    compact: bool | None = None  # fold the log: always, never, or when it is due
 
 
 def judge(df: DataFrame, rules: Iterable[Rule], settings: Settings) -> DataFrame:
@@ -124,7 +124,8 @@ def write_sinks(
     with ThreadPoolExecutor(len(jobs)) as pool:
         for done in [pool.submit(job) for job in jobs]:
             done.result()
-    if counts.valid and (compact if compact is not None else settings.compact):
+    fold = compact if compact is not None else settings.compact
+    if counts.valid and (fold if fold is not None else Warehouse(lake).fold_is_due()):
         Warehouse(lake).compact()
     return counts
 

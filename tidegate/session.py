@@ -48,6 +48,11 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    p, fs = _path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def fit_generated_code(spark: SparkSession) -> None:
     """Keep the generated code of long rule lists compilable.
 

@@ -3,7 +3,7 @@
 A batch is appended to a log partition of its own, so the cost of a write follows the batch
 and not the table; this is what a stream needs.  ``compact`` folds the log into the base,
 which is partitioned by a hash of the key, and rewrites only buckets that changed.  ``upsert``
-is both at once, for batch loads.  ``current`` is the table as readers should see it.
+appends and folds when the log has become a tenth of the base.  ``current`` is the table as readers should see it.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.payload import checksum, data_columns, payload, record_id as record_id_of
-from tidegate.session import delete_path, has_data, path_exists
+from tidegate.session import delete_path, folder_bytes, has_data, path_exists
 from tidegate.tables.lake import Lake
 
 _ROW = ("record_id", "source_id", "data", "schema_version_id", "processed_at", "checksum")
@@ -111,14 +111,29 @@ class Warehouse:
         if not unique:
             newest = order if order is not None else F.col("processed_at")
             rows = last_per_key(rows, F.struct(newest.alias("o"), F.col("checksum").alias("t")))
+        # null ids would be merged into one record, so they are an error here
+        no_id = F.raise_error(F.lit("a warehouse row has no record_id")).cast("string")
+        rows = rows.withColumn("record_id", F.coalesce("record_id", no_id))
         stored = rows.withColumns({"batch_seq": F.lit(seq).cast("bigint"), "batch_id": F.lit(batch_id)})
         self.lake.replace_partitions(stored, "warehouse_log")
         return self.log().filter(F.col("batch_id") == batch_id).count()
 
-    def upsert(self, rows: DataFrame, batch_id: str, batch_seq: int | None = None, order: Column | None = None) -> int:
-        """Write a batch through the log into the base."""
+    def fold_is_due(self, share: float = 0.1) -> bool:
+        """Whether the log has grown to this share of the base.
+
+        Folding then keeps the bytes rewritten per byte loaded bounded (by 1 / share), however
+        large the table and however small the batches.
+        """
+        log, base = (folder_bytes(self.spark, self.lake.path(n)) for n in ("warehouse_log", "warehouse_data"))
+        return log >= share * base
+
+    def upsert(
+        self, rows: DataFrame, batch_id: str, batch_seq: int | None = None, order: Column | None = None, fold: bool | None = None
+    ) -> int:
+        """Append a batch and fold the log if that is due (``fold`` overrides)."""
         count = self.append(rows, batch_id, batch_seq, order)
-        self.compact()
+        if fold if fold is not None else self.fold_is_due():
+            self.compact()
         return count
 
     def upsert_one(self, row: DataFrame, batch_id: str) -> int:
