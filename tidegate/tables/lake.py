@@ -49,12 +49,13 @@ KEYS = {"data_source": ["source_id"], "validation_rule": ["rule_id"], "schema_ve
 
 
 class Lake:
-    """Reads and writes the tables; it keeps no state besides the root folder."""
+    """Reads and writes the tables below one root folder."""
 
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self._bucket_count: int | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -93,9 +94,12 @@ class Lake:
         Choose ``buckets`` so that one bucket of the full table is a few hundred MB to a few
         GB; a bucket is rewritten and sorted by one task.
         """
+        if self._bucket_count is not None:
+            return self._bucket_count
         if not self.has("lake_setting"):
             self.append(self.spark.createDataFrame([("buckets", self.buckets)], SCHEMAS["lake_setting"]).coalesce(1), "lake_setting")
-        return self.read("lake_setting").filter("name = 'buckets'").agg(F.min("value")).first()[0]
+        self._bucket_count = self.read("lake_setting").filter("name = 'buckets'").agg(F.min("value")).first()[0]
+        return self._bucket_count
 
     # -- control tables --------------------------------------------------------------
     def current(self, name: str) -> DataFrame:
