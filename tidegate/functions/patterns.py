@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 
 # Strptime directives and the Spark datetime pattern with the same meaning.
 _DATE_LETTERS = {
@@ -63,7 +64,9 @@ def spark_regex(pattern: str, flags: int = 0) -> str:
     Raises ``ValueError`` for a pattern Python rejects or Java cannot express.
     """
     try:
-        compiled = re.compile(pattern, flags)
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore", FutureWarning)  # sets are escaped below
+            compiled = re.compile(pattern, flags)
     except re.error as e:
         raise ValueError(f"Invalid regex pattern: {e}") from e
     body = _LEADING_FLAGS.sub("", pattern)
