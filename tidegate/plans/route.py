@@ -113,7 +113,7 @@ def write_sinks(
 
     def warehouse_write() -> None:
         packed = warehouse_rows(good.drop(CORRUPT), source_id, schema_version_id, record_id=F.col("_rid"), processed_at=at)
-        Warehouse(lake).append(packed, batch_id, batch_seq, unique=_ids_unique(good, settings))
+        Warehouse(lake).append(packed, batch_id, batch_seq, unique=_ids_unique(good, settings), count=False)
 
     # The sinks read the same staged files and do not depend on each other.
     jobs = [audit_write]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.session import has_data
 
@@ -48,6 +50,11 @@ LOOKUP_COLUMNS = {"warehouse_data": "record_id", "quarantine_record": "record_id
 KEYS = {"data_source": ["source_id"], "validation_rule": ["rule_id"], "schema_version": ["source_id", "version"]}
 
 
+@cache
+def table_schema(name: str) -> T.StructType:
+    return T.StructType.fromDDL(SCHEMAS[name])
+
+
 class Lake:
     """Reads and writes the tables below one root folder."""
 
@@ -70,8 +77,7 @@ class Lake:
 
     def shaped(self, df: DataFrame, name: str) -> DataFrame:
         """Columns in table order; a missing or mistyped one is an error."""
-        empty = self.spark.createDataFrame([], SCHEMAS[name])
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in empty.schema])
+        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(name)])
 
     def append(self, df: DataFrame, name: str) -> None:
         self._writer(df, name).mode("append").parquet(self.path(name))
@@ -119,7 +125,8 @@ class Lake:
              "started_at", "error", "component", "attempt"]
         )
         row = {**defaults, **fields}
-        self.append(self.spark.createDataFrame([tuple(row.values())], SCHEMAS["run_log"]).coalesce(1), "run_log")
+        one = self.spark.range(0, 1, 1, 1)  # a row of literals needs no Python worker
+        self.append(one.select(*[F.lit(v).alias(k) for k, v in row.items()]), "run_log")
 
 
 def newest(df: DataFrame, keys: Iterable[str], order: Column) -> DataFrame:

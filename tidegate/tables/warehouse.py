@@ -98,13 +98,14 @@ class Warehouse:
         return last_per_key(both, F.struct("batch_seq", "batch_id"))
 
     def append(
-        self, rows: DataFrame, batch_id: str, batch_seq: int | None = None, order: Column | None = None, unique: bool = False
+        self, rows: DataFrame, batch_id: str, batch_seq: int | None = None, order: Column | None = None, unique: bool = False,
+        count: bool = True,
     ) -> int:
         """Add a batch to the log and return its number of records.
 
         The newest row (by ``order``, default processed_at) of a record that occurs more than
         once is kept; ``unique`` says that none does and saves the shuffle.  Repeating a batch
-        id replaces the earlier attempt.
+        id replaces the earlier attempt.  Without ``count`` nothing is read back.
         """
         check_batch_id(batch_id)
         seq = batch_seq if batch_seq is not None else time.time_ns() // 1000
@@ -116,7 +117,8 @@ class Warehouse:
         rows = rows.withColumn("record_id", F.coalesce("record_id", no_id))
         stored = rows.withColumns({"batch_seq": F.lit(seq).cast("bigint"), "batch_id": F.lit(batch_id)})
         self.lake.replace_partitions(stored, "warehouse_log")
-        return self.log().filter(F.col("batch_id") == batch_id).count()
+        folder = f"{self.lake.path('warehouse_log')}/batch_id={batch_id}"
+        return self.spark.read.parquet(folder).count() if count and path_exists(self.spark, folder) else 0
 
     def fold_is_due(self, share: float = 0.1) -> bool:
         """Whether the log has grown to this share of the base.
