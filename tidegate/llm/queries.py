@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, language, quality, secrets
+from tidegate.llm import bpe, chat, language, quality, secrets
 from tidegate.llm.common import hex_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,46 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+@query
+def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL_TEXT).alias("text"),
+    )
+    read = chat.read_back(chat.format_threads(rows.unionByName(extra)))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join("loss_texts", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        hex_sha256(F.array_join(turns, "")).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        hex_sha256(learned).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def _escaped_sql(column: str, table: tuple[tuple[str, str], ...]) -> str:
+    for plain, written in table:
+        column = f"replace({column}, '{plain}', '{written}')"
+    return column
+
+
+ORACLE["op1_chat_formatting"] = f"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM
+  (SELECT conv_id, turn, role, text FROM conversations
+   UNION ALL VALUES (-7, 0, 'user', '{CONTROL_TEXT}'), (-7, 1, 'assistant', '{CONTROL_TEXT}')) AS v(conv_id, turn, role, text))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(4 + length({_escaped_sql("role", chat.ROLE_ESCAPES)}) + 2 + length({_escaped_sql("text", chat.ESCAPES)}) + 8) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id"""
+
+
 @query
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(BPE_FILE)
