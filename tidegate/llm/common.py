@@ -26,11 +26,12 @@ def stored(df: DataFrame) -> DataFrame:
 BROADCAST_ROWS = 500_000
 
 
-def sized(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """The rows, stored and counted; hinted for broadcast only if there are at most ``most``, so that
-    beyond it the join shuffles (and AQE splits hot keys)."""
+def sized(df: DataFrame, most: int = BROADCAST_ROWS, weight: Column | None = None) -> DataFrame:
+    """The rows, stored and counted (by ``weight``, if rows hold arrays); hinted for broadcast only
+    if they count ``most`` at most, so that beyond it the join shuffles (and AQE splits hot keys)."""
     df = stored(df)
-    return F.broadcast(df) if df.count() <= most else df
+    size = df.count() if weight is None else df.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def text_or_empty(column: str = "text") -> Column:
