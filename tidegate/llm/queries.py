@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, chat, decontaminate, language, quality, secrets
+from tidegate.llm import bpe, chat, decontaminate, jaccard, language, quality, secrets
 from tidegate.llm.common import hex_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,3 +188,22 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.fit(docs.filter(remainder("doc_id") != 2), language.read_pieces(public_tokenizers.path(PIECE_FILE)))
     return model.predict(docs.select("doc_id", (remainder("doc_id") == 2).alias("held_out"), "text")).drop("text")
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    found = jaccard.jaccard_components(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+ORACLE["op9_jaccard_join"] = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '{_WORD_SQL}') AS w FROM documents),
+s AS (SELECT DISTINCT r, w[k:k+4] AS g FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r < y.r GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * c >= {jaccard.PERCENT} * (na.n + nb.n - c)),
+both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+reach(r, o) AS (SELECT r, r FROM d UNION SELECT reach.r, b FROM reach JOIN both_ways ON reach.o = a)
+SELECT x.doc_id, coalesce(n.n, 0) AS n_shingles, min(y.doc_id) AS component_id
+FROM reach JOIN d x ON x.r = reach.r JOIN d y ON y.r = reach.o LEFT JOIN n ON n.r = x.r GROUP BY x.r, x.doc_id, n.n"""
