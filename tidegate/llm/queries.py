@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, chat, decontaminate, jaccard, language, quality, secrets
+from tidegate.llm import bpe, chat, decontaminate, jaccard, language, lines, quality, secrets
 from tidegate.llm.common import hex_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -207,3 +207,24 @@ both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 reach(r, o) AS (SELECT r, r FROM d UNION SELECT reach.r, b FROM reach JOIN both_ways ON reach.o = a)
 SELECT x.doc_id, coalesce(n.n, 0) AS n_shingles, min(y.doc_id) AS component_id
 FROM reach JOIN d x ON x.r = reach.r JOIN d y ON y.r = reach.o LEFT JOIN n ON n.r = x.r GROUP BY x.r, x.doc_id, n.n"""
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    runs = F.array_join(F.transform("deleted_runs", lambda r: F.concat_ws(":", r["start"], r["end"])), ",")
+    return found.select("doc_id", "n_lines", "n_deleted", runs.alias("deleted_runs"), hex_sha256(F.coalesce("kept_text", F.lit(""))).alias("kept_sha256"))
+
+
+ORACLE["op5_line_dedup"] = rf"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id, text) AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+l AS (SELECT r, l, k, len(regexp_extract_all(l[k], '{_WORD_SQL}')) AS n FROM (SELECT r, l, unnest(range(1, len(l) + 1)) AS k FROM d)),
+c AS (SELECT *, sum(n) OVER (PARTITION BY r ORDER BY k) AS c FROM l),
+w AS (SELECT x.r, x.k, any_value(x.l)[x.k:min(y.k)] AS w, min(y.k) AS z FROM c x JOIN c y ON x.r = y.r AND y.k >= x.k AND y.c - x.c + x.n >= {lines.MIN_WORDS}
+      GROUP BY x.r, x.k),
+gone AS (SELECT DISTINCT r, unnest(range(k, z + 1)) AS k FROM (SELECT *, row_number() OVER (PARTITION BY w ORDER BY r, k) AS o FROM w) WHERE o > 1),
+m AS (SELECT l.r, l.k, l.l[l.k] AS line, gone.k IS NOT NULL AS gone FROM l LEFT JOIN gone ON l.r = gone.r AND l.k = gone.k),
+runs AS (SELECT r, string_agg(concat(CAST(s AS BIGINT), ':', CAST(e AS BIGINT)), ',' ORDER BY s) AS runs FROM
+  (SELECT r, min(k) - 1 AS s, max(k) AS e FROM (SELECT r, k, k - row_number() OVER (PARTITION BY r ORDER BY k) AS g FROM m WHERE gone) GROUP BY r, g) GROUP BY r),
+t AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS kept FROM m GROUP BY r)
+SELECT doc_id, n_lines, n_deleted, coalesce(runs, '') AS deleted_runs, sha256(kept) AS kept_sha256 FROM t JOIN d USING (r) LEFT JOIN runs USING (r)"""
