@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, chat, decontaminate, jaccard, language, lines, quality, secrets
+from tidegate.llm import bpe, chat, decontaminate, jaccard, language, lines, quality, secrets, suffixes
 from tidegate.llm.common import hex_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,3 +228,9 @@ runs AS (SELECT r, string_agg(concat(CAST(s AS BIGINT), ':', CAST(e AS BIGINT)),
   (SELECT r, min(k) - 1 AS s, max(k) AS e FROM (SELECT r, k, k - row_number() OVER (PARTITION BY r ORDER BY k) AS g FROM m WHERE gone) GROUP BY r, g) GROUP BY r),
 t AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '') AS kept FROM m GROUP BY r)
 SELECT doc_id, n_lines, n_deleted, coalesce(runs, '') AS deleted_runs, sha256(kept) AS kept_sha256 FROM t JOIN d USING (r) LEFT JOIN runs USING (r)"""
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.dedup_bytes(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), hex_sha256(F.col("kept")).alias("kept_sha256"))
