@@ -22,7 +22,7 @@ the sketches.  Shingles are compared by 64-bit hashes.
 Defined cases.  Null texts and texts without words have the empty set and link with nothing, not even with
 each other.  With fewer than ``words`` words the whole sequence is one shingle.  A component is named by the
 smallest id in it (null if all its ids are null).  Rows with one id and different texts are nodes of their
-own; repeated rows get the same result.  Other columns are kept; those with an output's name are replaced.
+own; repeated rows get the same result.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -313,8 +313,8 @@ def _recursion(members: DataFrame, nodes: DataFrame, links: DataFrame, percent:
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """All columns of ``docs`` and ``n_shingles`` and ``component_id``: the smallest id reachable by links
-    between documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more."""
+    """(id, n_shingles, component_id), a row for each row: ``component_id`` is the smallest id reachable by
+    links between documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more."""
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     described = stored(_describe(source, words))
     rows = described.filter("digest IS NOT NULL")
@@ -331,7 +331,6 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     named = nodes.join(comps, F.col("key") == F.col("node"), "left").select("digest", "key", "one_id", F.coalesce("comp", "key").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("one_id").alias("component_id"))
     by_set = sized(named.join(smallest, "comp").select("digest", "component_id"))
-    found = rows.join(by_set, "digest", "left").select(
+    return rows.join(by_set, "digest", "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id")
     )
-    return found

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, chat, decontaminate, jaccard, language, lines, quality, secrets, suffixes
+from tidegate.llm import bpe, chat, decontaminate, jaccard, language, licenses, lines, quality, secrets, suffixes
 from tidegate.llm.common import hex_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,3 +234,33 @@ SELECT doc_id, n_lines, n_deleted, coalesce(runs, '') AS deleted_runs, sha256(ke
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.dedup_bytes(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("removed_spans").cast("long").alias("n_spans"), hex_sha256(F.col("kept")).alias("kept_sha256"))
+
+
+@query
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents").select("doc_id", "text"), licenses.known_licenses(spark))
+    notices = F.transform("notices", lambda n: F.concat_ws(":", n["line"], n["license"]))
+    return found.select("doc_id", "digest", F.array_join("licenses", ",").alias("licenses"), F.array_join(notices, ",").alias("notices"))
+
+
+def _canonical_sql(text: str) -> str:
+    words = f"regexp_replace(regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', '', 'g'), '{licenses.OTHER}', '  ', 'g')"
+    words = f"concat(' ', trim({words}), ' ')"
+    for one, other in licenses.SPELLINGS:
+        words = f"replace({words}, ' {one} ', ' {other} ')"
+    return f"trim({words})"
+
+
+def _known_sql() -> str:
+    return ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in licenses.KNOWN)
+
+
+ORACLE["op10_license_scan"] = f"""
+WITH known AS (SELECT form, list_sort(list(DISTINCT license)) AS ls FROM
+    (SELECT license, {_canonical_sql("text")} AS form FROM (VALUES {_known_sql()}) AS v(license, text)) WHERE form <> '' GROUP BY form),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, {_canonical_sql("t")} AS form FROM d),
+l AS (SELECT r, k, {_canonical_sql("line")} AS form FROM (SELECT r, unnest(range(len(l))) AS k, unnest(l) AS line FROM (SELECT r, string_split(t, chr(10)) AS l FROM d))),
+n AS (SELECT r, string_agg(concat(k, ':', x), ',' ORDER BY k, x) AS notices FROM (SELECT r, k, unnest(ls) AS x FROM l JOIN known USING (form)) GROUP BY r)
+SELECT doc_id, sha256(w.form) AS digest, coalesce(array_to_string(ls, ','), '') AS licenses, coalesce(notices, '') AS notices
+FROM w LEFT JOIN known USING (form) LEFT JOIN n USING (r)"""
