@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ UNKNOWN = "und"
 #: Added to every expected count.
 PRIOR = 0.05
 #: Words a worker remembers (memory only).
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 300_000
+#: Texts whose new words are scored together.
+BATCH = 1000
 #: Words up to this length are summed in plain floats, longer ones in logarithms.
 SHORT_WORD = 40
 
@@ -118,43 +121,124 @@ class LanguageModel:
         @F.pandas_udf("lang string, score double")
         def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             languages, pieces, p = shared.value
-            of = Scorer(languages, pieces, p)
+            scorer = _scorer(languages, pieces, p)
             for texts in batches:
-                yield pd.DataFrame([of(t) for t in texts], columns=["lang", "score"])
+                parts = (texts.iloc[k : k + BATCH].tolist() for k in range(0, len(texts), BATCH))
+                yield pd.DataFrame([x for part in parts for x in scorer.batch(part)], columns=["lang", "score"])
 
         return df.withColumn("_found", predicted(F.col(text))).withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")
 
 
+class PieceTable:
+    """Finds pieces for many words of one length at once, by hash: two slots for each, checked by the full hash."""
+
+    SLOTS = 22
+
+    def __init__(self, pieces: list[str]):
+        self.longest = max(map(len, pieces), default=1)
+        self.unknown, self.none = len(pieces), len(pieces) + 1
+        self.keys = np.zeros(len(pieces) + 2, np.uint64)
+        for k, piece in enumerate(pieces):
+            h = np.zeros(1, np.uint64)
+            for c in piece:
+                h = self.longer(h, np.full(1, ord(c), np.uint64))
+            self.keys[k] = h[0]
+        for seed in range(1, 100):
+            self.odd = [np.uint64(odd * (2 * seed + 1) % (1 << 64)) for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+            self.slots = [np.full(1 << self.SLOTS, self.none, np.uint16 if self.none < 1 << 16 else np.uint32) for _ in range(2)]
+            own = self.keys[: len(pieces)]
+            first = self._slot(own, 0)
+            _, winners = np.unique(first, return_index=True)
+            rest = np.setdiff1d(np.arange(len(pieces)), winners)
+            second = self._slot(own[rest], 1)
+            if len(np.unique(second)) == len(second):
+                self.slots[0][first[winners]] = winners
+                self.slots[1][second] = rest
+                return
+        raise ValueError("the vocabulary has equal pieces")
+
+    @staticmethod
+    def longer(h: np.ndarray, code) -> np.ndarray:
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        return h + (code + np.uint64(1)) * np.uint64(0x94D049BB133111EB)
+
+    def _slot(self, h: np.ndarray, k: int) -> np.ndarray:
+        return (h * self.odd[k]) >> np.uint64(64 - self.SLOTS)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Numbers of the pieces with these hashes, ``none`` where there is none."""
+        one = self.slots[0][self._slot(h, 0)]
+        two = self.slots[1][self._slot(h, 1)]
+        return np.where(self.keys[one] == h, one, np.where(self.keys[two] == h, two, self.none))
+
+
 class Scorer:
+    """Logarithms of word probabilities per language; the forward pass runs over all new words of one length at once."""
+
     def __init__(self, languages: list[str], pieces: list[str], p: np.ndarray):
-        self.languages, self.lattice, self.p = languages, Lattice(pieces), p.tolist()
+        self.languages, self.lattice, self.lists, self.table = languages, Lattice(pieces), p.tolist(), PieceTable(pieces)
+        self.p = np.concatenate([p, np.zeros((len(languages), 1))], axis=1).T.copy()  # the last one: no piece
         self.rows: dict[str, int] = {}
-        self.logs = np.zeros((1024, len(languages)))
-
-    def _logs(self, word: str) -> list[float]:
-        size, edges = self.lattice.edges(word)
-        return [log_word(size, edges, p) for p in self.p]
-
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text) if text is not None else []
-        if not words or not self.languages:
-            return UNKNOWN, 0.0
-        rows, at, extra = self.rows, [], np.zeros(len(self.languages))
-        for word in words:
-            row = rows.get(word)
-            if row is None:
-                logs = self._logs(word)
-                if len(rows) >= REMEMBERED_WORDS or len(word) > SHORT_WORD:
-                    extra += logs
-                    continue
-                row = rows[word] = len(rows)
-                if row >= len(self.logs):
-                    self.logs = np.concatenate([self.logs, np.zeros_like(self.logs)])
-                self.logs[row] = logs
-            at.append(row)
-        total = self.logs[at].sum(axis=0) + extra
-        best = int(np.argmax(total))
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        self.logs = np.zeros((0, len(languages)))
+
+    def _forward(self, words: list[str]) -> np.ndarray:
+        size = len(words[0]) + 1
+        if size > SHORT_WORD:
+            return np.array([[log_word(*self.lattice.edges(w), p) for p in self.lists] for w in words])
+        codes = np.frombuffer("".join("▁" + w for w in words).encode("utf-32-le"), np.uint32).reshape(-1, size).T.astype(np.uint64)
+        total = np.zeros((size + 1, len(words), len(self.languages)))
+        total[0] = 1.0
+        for i in range(size):
+            h = np.zeros(len(words), np.uint64)
+            for j in range(i, min(size, i + self.table.longest)):
+                h = self.table.longer(h, codes[j])
+                found = self.table.find(h)
+                if j == i:
+                    found = np.where(found == self.table.none, self.table.unknown, found)
+                total[j + 1] += total[i] * self.p[found]
+        return np.log(np.maximum(total[size], 1e-300))
+
+    def _learn(self, words: set[str]) -> None:
+        by_size: dict[int, list[str]] = defaultdict(list)
+        for w in words:
+            by_size[len(w)].append(w)
+        parts = [self.logs]
+        for own in by_size.values():
+            for k in range(0, len(own), 5000):
+                part = own[k : k + 5000]
+                parts.append(self._forward(part))
+                for w in part:
+                    self.rows[w] = len(self.rows)
+        self.logs = np.concatenate(parts)
+
+    def batch(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        found = [words_of(t) if t is not None and self.languages else [] for t in texts]
+        if len(self.rows) > REMEMBERED_WORDS:
+            self.rows, self.logs = {}, self.logs[:0]
+        new = {w for words in found for w in words if w not in self.rows}
+        if new:
+            self._learn(new)
+        row, out = self.rows.__getitem__, []
+        for words in found:
+            if not words:
+                out.append((UNKNOWN, 0.0))
+                continue
+            total = self.logs[list(map(row, words))].sum(axis=0)
+            best = int(np.argmax(total))
+            out.append((self.languages[best], float(1.0 / np.exp(total - total[best]).sum())))
+        return out
+
+
+_kept: dict[int, Scorer] = {}
+
+
+def _scorer(languages: list[str], pieces: list[str], p: np.ndarray) -> Scorer:
+    """A worker keeps the last model's scorer for its next task."""
+    key = xxhash.xxh3_64_intdigest(p.tobytes())
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = Scorer(languages, pieces, p)
+    return _kept[key]
 
 
 def fit(docs: DataFrame, pieces: list[str], doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
