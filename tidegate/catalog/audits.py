@@ -8,6 +8,7 @@ from tidegate.catalog.cleaning import _ORDER_DATES
 from tidegate.catalog.common import RULES, dirty, judged, judged_sql, query, table
 from tidegate.operators import clean, dedup, lineage, metrics
 from tidegate.operators.validate import coerce_types, validate
+from tidegate.plans.route import Settings, judge
 from tidegate.rules.model import Rule
 
 J = judged_sql()
@@ -121,7 +122,7 @@ def audit_report_recent(spark, d):
     return lineage.report(trail(spark, d))[1].select(*_COLS)
 
 
-@query("audit_trace", TRAIL + """, one AS (SELECT * FROM trail WHERE record_id = 'INVALID_ID' ORDER BY created_at DESC, record_id, transformation_type, field_name NULLS FIRST, new_value NULLS FIRST LIMIT 100)
+@query("audit_trace", TRAIL + """, one AS (SELECT * FROM trail WHERE record_id = 'INVALID_ID')
 SELECT created_at, transformation_type, coalesce(field_name, '-') AS field_name, concat_ws(' ', CASE WHEN old_value IS NOT NULL THEN concat('''', old_value, '''') END,
   CASE WHEN old_value IS NOT NULL AND new_value IS NOT NULL THEN '→' END, CASE WHEN new_value IS NOT NULL THEN concat('''', new_value, '''') END, CASE WHEN rule_applied IS NOT NULL THEN concat('(', rule_applied, ')') END) AS details FROM one""")
 def audit_trace(spark, d):
@@ -140,15 +141,12 @@ def audit_months(spark, d):
     return lineage.in_months(lake.read("audit_log"), "1996-01", "1996-06").groupBy("month", "transformation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("reconciliation", J + """SELECT count(*) AS received, sum((good AND kept)::INT)::BIGINT AS loaded, sum((NOT good AND kept)::INT)::BIGINT AS quarantined, sum((NOT kept)::INT)::BIGINT AS duplicates, CAST(0 AS BIGINT) AS unaccounted
-  FROM (SELECT *, transaction_id IS NULL OR row_number() OVER (PARTITION BY transaction_id ORDER BY ts DESC, ver DESC, row_id DESC) = 1 AS kept FROM judged)""")
+@query("reconciliation", J + """SELECT count(*) AS received, count(DISTINCT transaction_id) FILTER (good) AS loaded, count(*) FILTER (NOT good) AS quarantined,
+  count(*) FILTER (good) - count(DISTINCT transaction_id) FILTER (good) AS duplicates, CAST(0 AS BIGINT) AS unaccounted FROM judged""")
 def reconciliation(spark, d):
     """Every row that arrived is loaded, quarantined or a duplicate."""
     df = dirty(spark, d)
-    kept = dedup.dedup_latest(df, "transaction_id", ["ts", "ver", "row_id"])
-    v = validate(kept, RULES)
-    good, bad = v.filter("_v.status = 'valid'"), v.filter("_v.status <> 'valid'")
-    return lineage.reconcile(df, good, bad, dedup.duplicates_removed(kept))
+    return lineage.reconcile_judged(df, judge(df, RULES, Settings(latest_by=("ts", "ver", "row_id"))))
 
 
 @query("lost_keys", "SELECT DISTINCT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")

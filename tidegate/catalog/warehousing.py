@@ -132,26 +132,29 @@ def _load_dirty(spark, d, **options):
     return lake, result
 
 
-_DEDUPED = judged_sql(""",
-kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY ts DESC, ver DESC, row_id DESC) AS rn FROM judged WHERE transaction_id IS NOT NULL) WHERE rn = 1
-  UNION ALL SELECT *, 1 FROM judged WHERE transaction_id IS NULL)""")
+# every row is loaded, quarantined, or an older valid row of a loaded record
+_LOADED = judged_sql(""",
+newest AS (SELECT transaction_id, max(row(ts, ver, row_id)) AS last FROM judged WHERE good GROUP BY transaction_id),
+kept AS (SELECT j.* FROM judged j JOIN newest n ON j.transaction_id = n.transaction_id AND row(j.ts, j.ver, j.row_id) = n.last WHERE good
+  UNION ALL SELECT * FROM judged WHERE NOT good)""")
 
 
-@query("load_counts", _DEDUPED + """SELECT (SELECT count(*) FROM judged) AS total, sum(good::INT)::BIGINT AS valid, sum((NOT good)::INT)::BIGINT AS invalid, (SELECT count(*) FROM judged) - count(*) AS duplicates FROM kept""")
+@query("load_counts", judged_sql() + """SELECT count(*) AS total, count(DISTINCT transaction_id) FILTER (good) AS valid, count(*) FILTER (NOT good) AS invalid,
+  count(*) FILTER (good) - count(DISTINCT transaction_id) FILTER (good) AS duplicates FROM judged""")
 def load_counts(spark, d):
-    """A whole load of the dirty view: read, de-duplicate, validate, write, count."""
+    """A whole load of the dirty view: read, validate, keep the newest valid rows, write, count."""
     lake, _ = _load_dirty(spark, d)
     return lake.read("run_log").select("total", "valid", "invalid", "duplicates")
 
 
-@query("load_warehouse", _DEDUPED + "SELECT transaction_id AS record_id, status, CAST(row_id AS STRING) AS row_id FROM kept WHERE good")
+@query("load_warehouse", _LOADED + "SELECT transaction_id AS record_id, status, CAST(row_id AS STRING) AS row_id FROM kept WHERE good")
 def load_warehouse(spark, d):
     lake, _ = _load_dirty(spark, d)
     status, row_id = (F.get_json_object("data", f"$.{c}").alias(c) for c in ("status", "row_id"))
     return Warehouse(lake).current().select("record_id", status, row_id)
 
 
-@query("load_quarantine", _DEDUPED + "SELECT transaction_id AS record_id, CAST(row_id AS STRING) AS row_id, amount, failed_rules FROM kept WHERE NOT good")
+@query("load_quarantine", _LOADED + "SELECT transaction_id AS record_id, CAST(row_id AS STRING) AS row_id, amount, failed_rules FROM kept WHERE NOT good")
 def load_quarantine(spark, d):
     """Rejected rows keep their payload as it arrived."""
     lake, _ = _load_dirty(spark, d)
@@ -159,18 +162,16 @@ def load_quarantine(spark, d):
     return lake.read("quarantine_record").select("record_id", row_id, amount, F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
-@query("load_audit", _DEDUPED + """SELECT 'type_coercion' AS transformation_type, sum((good AND amount IS NOT NULL)::INT)::BIGINT AS n FROM kept UNION ALL SELECT 'warehouse_write', sum(good::INT)::BIGINT FROM kept
+@query("load_audit", _LOADED + """SELECT 'type_coercion' AS transformation_type, sum((good AND amount IS NOT NULL)::INT)::BIGINT AS n FROM kept UNION ALL SELECT 'warehouse_write', sum(good::INT)::BIGINT FROM kept
   UNION ALL SELECT 'quarantine', sum((NOT good)::INT)::BIGINT FROM kept UNION ALL SELECT 'deduplication', 1""")
 def load_audit(spark, d):
     lake, _ = _load_dirty(spark, d)
     return lake.read("audit_log").groupBy("transformation_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("load_dry_run", judged_sql(""",
-kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY ts DESC, ver DESC, row_id DESC) AS rn FROM judged WHERE transaction_id IS NOT NULL) WHERE rn = 1
-  UNION ALL SELECT *, 1 FROM judged WHERE transaction_id IS NULL)""") + """SELECT 'transaction_id_required' AS rule_name, sum(r1::INT)::BIGINT AS failure_count FROM kept UNION ALL SELECT 'transaction_id_format', sum(r2::INT)::BIGINT FROM kept
-  UNION ALL SELECT 'amount_required', sum(r3::INT)::BIGINT FROM kept UNION ALL SELECT 'amount_type', sum(r4::INT)::BIGINT FROM kept UNION ALL SELECT 'amount_range', sum(r5::INT)::BIGINT FROM kept
-  UNION ALL SELECT 'status_values', sum(r6::INT)::BIGINT FROM kept""")
+@query("load_dry_run", J + """SELECT 'transaction_id_required' AS rule_name, sum(r1::INT)::BIGINT AS failure_count FROM judged UNION ALL SELECT 'transaction_id_format', sum(r2::INT)::BIGINT FROM judged
+  UNION ALL SELECT 'amount_required', sum(r3::INT)::BIGINT FROM judged UNION ALL SELECT 'amount_type', sum(r4::INT)::BIGINT FROM judged UNION ALL SELECT 'amount_range', sum(r5::INT)::BIGINT FROM judged
+  UNION ALL SELECT 'status_values', sum(r6::INT)::BIGINT FROM judged""")
 def load_dry_run(spark, d):
     """Failures per rule without writing a table."""
     _, result = _load_dirty(spark, d, dry_run=True)
@@ -220,12 +221,8 @@ def json_array_scan(spark, d):
     folder = shared_folder(spark)
     docs = table(spark, d, "documents")
     item = F.to_json(F.struct("doc_id", "lang", "n_chars"))
-    # a file of this form is one document by nature, so arrays are kept small: a thousand ids each
-    part = docs.groupBy("source", F.expr("doc_id DIV 1000").alias("part")).agg(F.array_join(F.collect_list(item), ",").alias("items"), F.min("doc_id").alias("m"))
-    first = docs.groupBy("source").agg(F.min(F.expr("doc_id DIV 1000")).alias("first"))
-    text = F.when(F.col("part") == F.col("first"), F.concat(F.lit('["not an object",'), "items", F.lit("]"))).otherwise(F.concat(F.lit("["), "items", F.lit("]")))
-    arrays = part.join(first, "source").select(text.alias("value"), "source", "part")
-    arrays.write.partitionBy("source", "part").text(folder)
+    part = docs.groupBy("source").agg(F.array_join(F.collect_list(item), ",").alias("items"))
+    part.select(F.concat(F.lit('["not an object",'), "items", F.lit("]")).alias("value"), "source").write.partitionBy("source").text(folder)
     schema = streams.T.StructType.fromDDL("doc_id BIGINT, lang STRING, n_chars BIGINT, _corrupt_record STRING")
     df = files.read_json_elements(spark, folder, schema, recursiveFileLookup=True)
     name = F.when(F.col("_corrupt_record").isNotNull(), "not an object").otherwise(F.col("lang"))

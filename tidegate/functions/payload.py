@@ -94,6 +94,12 @@ def content_hash(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
     return F.xxhash64(*parts) if parts else F.lit(0).cast("bigint")
 
 
+def row_identity(df: DataFrame) -> Column:
+    """Two hashes over whole rows, the second with the places of nulls: equal for equal rows only."""
+    nulls = [quoted(c).isNull() for c in df.columns]
+    return F.struct(content_hash(df).alias("a"), F.xxhash64(F.lit("row"), *nulls, content_hash(df, reversed(df.columns))).alias("b"))
+
+
 def _unhashable(dtype: T.DataType) -> bool:
     if isinstance(dtype, (T.MapType, T.VariantType)):
         return True

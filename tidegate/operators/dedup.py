@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.payload import DEDUP_KEY_COLUMNS, content_hash
+from tidegate.functions.payload import DEDUP_KEY_COLUMNS, content_hash, row_identity
 from tidegate.functions.values import quoted
 
 
@@ -27,22 +27,25 @@ def dedup_latest(df: DataFrame, keys: str | Iterable[str], order_by: Iterable[st
     input without a second pass.  Rows with a null key are all kept.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    rest = [c for c in df.columns if c not in keys]
+    total = F.sum(copies) if copies in df.columns else F.count(F.lit(1))  # rows may stand for several already
+    columns = [c for c in df.columns if c != copies]
+    rest = [c for c in columns if c not in keys]
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | quoted(k).isNull()
-    order = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order_by)], content_hash(df).alias("tie"))
-    marked = df.select(
-        "*",
-        F.when(no_key, F.monotonically_increasing_id()).alias("_alone"),
-        order.alias("_order"),
-    )
+    order = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order_by)], content_hash(df, columns).alias("tie"))
+    # rows without a key are grouped by their content and given out as often as they came, so that a
+    # task that runs again gives the same rows
+    marked = df.select("*", F.when(no_key, row_identity(df)).alias("_alone"), order.alias("_order"))
     grouped = marked.groupBy(*[quoted(k) for k in keys], "_alone").agg(
         F.max_by(F.struct(*[quoted(c).alias(c) for c in rest], F.lit(0).alias("_pad")), "_order").alias("_row"),
-        F.count(F.lit(1)).alias(copies),
+        total.alias(copies),
     )
-    return grouped.select(
-        *[quoted(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns], F.col(copies)
+    alone = F.col("_alone").isNotNull()
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.when(alone, F.col(copies)).otherwise(F.lit(1)))).alias("_each")
+    return grouped.select("*", each).select(
+        *[quoted(c) if c in keys else F.col("_row").getField(c).alias(c) for c in columns],
+        F.when(alone, F.lit(1)).otherwise(F.col(copies)).alias(copies),
     )
 
 

@@ -137,9 +137,12 @@ def dedup_events(counts: DataFrame, source_id: str, created_at: Column) -> DataF
 def stored_form(df: DataFrame, batch_id: str) -> DataFrame:
     """Events as they are stored: with an id, the month they are partitioned by, the batch."""
     content = [c for c in df.columns if c != "created_at"]
-    log_id = F.xxhash64(F.lit(batch_id), *content, F.monotonically_increasing_id()).bitwiseAND(F.lit(2**63 - 1))
-    return df.select(
-        log_id.alias("log_id"), "*", F.date_format("created_at", "yyyy-MM").alias("month"), F.lit(batch_id).alias("batch_id")
+    log_id = F.xxhash64(F.lit(batch_id), *content, *[F.col(c).isNull() for c in content], F.col("_k")).bitwiseAND(F.lit(2**63 - 1))
+    # equal events are counted and numbered, so that ids do not hang on the order of rows
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = counted.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    return numbered.select(
+        log_id.alias("log_id"), *df.columns, F.date_format("created_at", "yyyy-MM").alias("month"), F.lit(batch_id).alias("batch_id")
     )
 
 
@@ -147,9 +150,11 @@ def stored_form(df: DataFrame, batch_id: str) -> DataFrame:
 
 
 
-def _top(df: DataFrame, limit: int) -> DataFrame:
+def _top(df: DataFrame, limit: int | None) -> DataFrame:
     from tidegate.operators.quarantine import check_limit
 
+    if limit is None:
+        return df
     return df.orderBy(F.desc("created_at"), "record_id", "transformation_type", "field_name", "new_value").limit(check_limit(limit))
 
 
@@ -158,15 +163,15 @@ def in_months(audit: DataFrame, first: str, last: str) -> DataFrame:
     return audit.filter(F.col("month").between(first, last))
 
 
-def by_record(audit: DataFrame, record_id: str, limit: int = 100) -> DataFrame:
+def by_record(audit: DataFrame, record_id: str, limit: int | None = 100) -> DataFrame:
     return _top(audit.filter(F.col("record_id") == record_id), limit)
 
 
-def by_source(audit: DataFrame, source_id: str, limit: int = 1000) -> DataFrame:
+def by_source(audit: DataFrame, source_id: str, limit: int | None = 1000) -> DataFrame:
     return _top(audit.filter(F.col("source_id") == source_id), limit)
 
 
-def by_type(audit: DataFrame, kind: str, limit: int = 1000) -> DataFrame:
+def by_type(audit: DataFrame, kind: str, limit: int | None = 1000) -> DataFrame:
     return _top(audit.filter(F.col("transformation_type") == kind), limit)
 
 
@@ -188,8 +193,8 @@ def summary(audit: DataFrame, source_id: str | None = None) -> DataFrame:
     return by_kind.unionByName(total)
 
 
-def trace(audit: DataFrame, record_id: str, limit: int = 100) -> DataFrame:
-    """The life of one record, oldest event first, with readable details."""
+def trace(audit: DataFrame, record_id: str, limit: int | None = None) -> DataFrame:
+    """The whole life of one record (or its ``limit`` newest events), oldest event first, with readable details."""
     old, new, rule = (F.nullif(F.col(c), F.lit("")) for c in ("old_value", "new_value", "rule_applied"))
     details = F.concat_ws(
         " ",
@@ -216,21 +221,18 @@ def report(audit: DataFrame, source_id: str | None = None, recent: int = 10) ->
     return summary(rows).orderBy(F.desc("events"), "transformation_type"), _top(rows, recent)
 
 
-def reconcile(received: DataFrame, loaded: DataFrame, quarantined: DataFrame, duplicates: DataFrame) -> DataFrame:
-    """received = loaded + quarantined + duplicates; ``unaccounted`` must be 0.
-
-    The first three are row sets; ``duplicates`` is a one-row frame with that column.
-    """
-    parts = [
-        received.agg(F.count(F.lit(1)).alias("received")),
-        loaded.agg(F.count(F.lit(1)).alias("loaded")),
-        quarantined.agg(F.count(F.lit(1)).alias("quarantined")),
-        duplicates.select("duplicates"),
-    ]
-    named = [p.select(F.lit(p.columns[0]).alias("k"), F.col(p.columns[0]).cast("bigint").alias("n")) for p in parts]
-    stacked = named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
-    pick = {k: F.sum(F.when(F.col("k") == k, F.col("n"))) for k in ("received", "loaded", "quarantined", "duplicates")}
-    wide = stacked.agg(*[v.alias(k) for k, v in pick.items()])
+def reconcile_judged(received: DataFrame, judged: DataFrame) -> DataFrame:
+    """``reconcile`` for rows judged together: the source is counted, the judged rows are read once."""
+    good = F.col("_v.status") == "valid"
+    parts = judged.agg(
+        F.count_if(good).alias("loaded"),
+        F.count_if(~good).alias("quarantined"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"),
+    )
+    zero = [F.lit(0).cast("bigint").alias(c) for c in ("loaded", "quarantined", "duplicates")]
+    total = received.agg(F.count(F.lit(1)).alias("received")).select("received", *zero)
+    stacked = total.unionByName(parts.select(F.lit(0).cast("bigint").alias("received"), "loaded", "quarantined", "duplicates"))
+    wide = stacked.agg(*[F.sum(c).alias(c) for c in stacked.columns])
     return wide.withColumn("unaccounted", F.expr("received - loaded - quarantined - duplicates"))
 
 

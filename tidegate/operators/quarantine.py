@@ -17,6 +17,8 @@ from tidegate.functions.payload import raw_payload, record_id as record_id_of
 # Texts used when a row arrives without any failure recorded.
 UNKNOWN_RULE = "unknown_validation_failure"
 UNKNOWN_TEXT = "Record failed validation but no specific rule was recorded"
+UNKNOWN_ERROR = "unknown_error"
+UNKNOWN_ERROR_TEXT = "Unknown validation error"
 EVENTS = ("reviewed", "reprocess_requested", "reprocessed")
 
 ROW_KEY = ("source_id", "batch_id", "quarantine_id")
@@ -40,7 +42,6 @@ def quarantine_rows(
     """Validated rows in the quarantine layout, with the payload as it arrived."""
     at = quarantined_at if quarantined_at is not None else F.current_timestamp()
     rid = record_id if record_id is not None else record_id_of(invalid)
-    ordinal = ordinal if ordinal is not None else F.monotonically_increasing_id()
     base = invalid.select(
         rid.alias("record_id"),
         raw_payload(invalid).alias("raw_payload"),
@@ -48,9 +49,21 @@ def quarantine_rows(
         _or_default(F.col(f"{result}.error_messages"), UNKNOWN_TEXT).alias("error_messages"),
         F.col(f"{result}.status").alias("status"),
         at.alias("quarantined_at"),
-        ordinal.alias("_ordinal"),
+        *([ordinal.alias("_ordinal")] if ordinal is not None else []),
     )
-    return _with_identity(base, source_id, batch_id)
+    return _with_identity(base if ordinal is not None else _numbered(base), source_id, batch_id)
+
+
+def _numbered(base: DataFrame) -> DataFrame:
+    """Rows with an ``_ordinal`` that tells equal rows apart and does not hang on the order of rows.
+
+    Equal rows are counted, with map-side combining, and given out as often as they came; rows with
+    one payload that differ otherwise get different ordinals by their content.
+    """
+    content = [c for c in base.columns if c not in ("raw_payload", "quarantined_at")]
+    counted = base.groupBy(*base.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = counted.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    return rows.withColumn("_ordinal", F.struct("_k", F.xxhash64(*content))).drop("_n", "_k")
 
 
 def _with_identity(base: DataFrame, source_id: str, batch_id: str) -> DataFrame:
@@ -84,13 +97,12 @@ def rows_from_records(spark: SparkSession, records: Iterable[dict[str, Any]], so
     base = df.select(
         "record_id",
         F.col("raw_data").alias("raw_payload"),
-        _or_default(F.col("failed_rules"), "unknown_error").alias("failed_rules"),
-        _or_default(F.col("error_messages"), "Unknown validation error").alias("error_messages"),
+        _or_default(F.col("failed_rules"), UNKNOWN_ERROR).alias("failed_rules"),
+        _or_default(F.col("error_messages"), UNKNOWN_ERROR_TEXT).alias("error_messages"),
         F.lit("invalid").alias("status"),
         F.current_timestamp().alias("quarantined_at"),
-        F.monotonically_increasing_id().alias("_ordinal"),
     )
-    return _with_identity(base, source_id, batch_id)
+    return _with_identity(_numbered(base), source_id, batch_id)
 
 
 # -- events and the current view ------------------------------------------------------

@@ -29,6 +29,7 @@ from tidegate.functions.values import (
     python_text,
     python_type_name,
     quoted,
+    strip,
     strict_type_matches,
 )
 from tidegate.rules.model import Rule, check_rules
@@ -204,15 +205,25 @@ def _range(rule: Rule, scope: _Scope) -> Verdict | None:
     if not is_numeric(found.dtype):
         return _verdict(found.col.isNotNull(), f"Value must be numeric, got {python_type_name(found.dtype)}")
     value = found.col.cast("int") if isinstance(found.dtype, T.BooleanType) else found.col
+    text, beyond = python_text(found.col, found.dtype), None
+    if scope.is_coerced(rule.field_name) and isinstance(found.dtype, T.LongType):
+        raw = scope.raw(rule.field_name)
+        if is_text(raw.dtype):  # a whole number that BIGINT cannot hold still has a side on which it lies
+            beyond = F.when(found.col.isNull() & raw.col.isNotNull() & coercion(raw.col, raw.dtype, "int").ok,
+                            F.when(strip(raw.col).startswith("-"), float("-inf")).otherwise(float("inf")))
+            text = F.coalesce(text, raw.col)
     fails, words = F.lit(False), F.when(F.lit(False), F.lit(""))
     for key, broken, phrase in _BOUNDS:
         bound = rule.parameters.get(key)
         if bound is not None:
             fails = fails | broken(value, F.lit(bound))
             words = words.when(broken(value, F.lit(bound)), f" {phrase} {bound}")
+            if beyond is not None:
+                outside = F.coalesce(broken(beyond, F.lit(float(bound))), F.lit(False))
+                fails, words = F.coalesce(fails, F.lit(False)) | outside, words.when(outside, f" {phrase} {bound}")
     if isinstance(found.dtype, (T.FloatType, T.DoubleType)):
         fails = fails & ~F.isnan(value)  # no comparison with NaN holds
-    return _verdict(fails, F.concat(F.lit("Value "), python_text(found.col, found.dtype), words))
+    return _verdict(fails, F.concat(F.lit("Value "), text, words))
 
 
 def _regex(rule: Rule, scope: _Scope) -> Verdict | None:
@@ -285,12 +296,21 @@ def _python_rule(rule: Rule, df: DataFrame, value: Field | None) -> Column:
     given = value.col if value is not None else F.lit(None).cast("string")
     if rule.parameters.get("vectorized"):
 
+        def texts(values: pd.Series, records: pd.DataFrame) -> list[str | None]:
+            ok = pd.Series(func(values, records)).fillna(False).astype(bool).to_numpy()
+            return [None if good else text for good in ok]
+
         def judge_batch(values: pd.Series, records: pd.DataFrame) -> pd.Series:
             try:
-                ok = pd.Series(func(values, records)).fillna(False).astype(bool).to_numpy()
-                return pd.Series([None if good else text for good in ok], dtype=object)
-            except Exception as e:
-                return pd.Series([f"{text}: {e}"] * len(values), dtype=object)
+                return pd.Series(texts(values, records), dtype=object)
+            except Exception:  # judged row by row, so that a verdict does not hang on the size of a batch
+                found: list[str | None] = []
+                for k in range(len(values)):
+                    try:
+                        found += texts(values.iloc[k : k + 1], records.iloc[k : k + 1])
+                    except Exception as e:
+                        found.append(f"{text}: {e}")
+                return pd.Series(found, dtype=object)
 
         return F.pandas_udf(judge_batch, "string")(given, record)
 
@@ -406,12 +426,25 @@ def _present(parts: list[Column]) -> Column:
     return F.array_remove(F.array(pin, *parts), "") if parts else F.array().cast("array<string>")
 
 
+def _lost_numbers(df: DataFrame, rules: list[Rule]) -> Column | None:
+    """Rows where a whole number in text is too large for its BIGINT column: they must not pass with a null."""
+    lost = None
+    for name, rule in _coercing(rules).items():
+        raw = df.schema["_raw"].dataType if "_raw" in df.columns else T.StructType()
+        if rule.target == "int" and name in raw.names and is_text(raw[name].dataType):
+            text = F.col("_raw").getField(name)
+            here = F.coalesce(text.isNotNull() & quoted(name).isNull() & coercion(text, raw[name].dataType, "int").ok, F.lit(False))
+            lost = here if lost is None else lost | here
+    return lost
+
+
 def validate(
     df: DataFrame,
     rules: Iterable[Rule | dict],
     *,
     review_threshold: int = 3,
     reject_all_null: bool = False,
+    reject_lost_numbers: bool = False,
     key: Column | None = None,
     result: str = "_v",
 ) -> DataFrame:
@@ -421,7 +454,8 @@ def validate(
 
     ``status`` is valid, invalid, or manual_review when at least ``review_threshold`` error
     rules failed.  Warnings never make a row invalid.  Rows whose text could not be parsed
-    fail ``malformed_record``; with ``reject_all_null`` empty rows fail ``no_valid_data``;
+    fail ``malformed_record``; with ``reject_all_null`` empty rows fail ``no_valid_data``; with ``reject_lost_numbers``
+    whole numbers in text that BIGINT cannot hold fail ``number_out_of_range``;
     with ``key``, otherwise good rows without a key fail ``record_id_missing``.
     """
     checked = check_rules(rules)
@@ -444,6 +478,10 @@ def validate(
             empty = empty & (F.coalesce(blank(col), F.lit(True)) if is_text(df.schema[c].dataType) else col.isNull())
         judged = judged.withColumn("_f_empty", empty)
         failing.append(("no_valid_data", F.col("_f_empty"), F.lit("No valid data")))
+    lost = _lost_numbers(judged, checked) if reject_lost_numbers else None
+    if lost is not None:
+        judged = judged.withColumn("_f_lost", lost)
+        failing.append(("number_out_of_range", F.col("_f_lost"), F.lit("Whole number does not fit 64 bits")))
     flags = [F.col(f"_f_{i}") for i in range(len(checked))]
     failing += [(r.rule_name, f, t) for r, f, t in zip(checked, flags, texts) if r.severity == "error"]
 

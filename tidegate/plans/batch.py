@@ -101,7 +101,7 @@ def load(
             )
     except Exception as e:
         lake.log_run(batch_id=batch_id, source_id=source_id, mode="batch", status="failure", started_at=started,
-                     seconds=time.monotonic() - clock, error=str(e)[:2000], component="batch", attempt=1)
+                     seconds=time.monotonic() - clock, error=str(e), component="batch", attempt=1)
         raise
     seconds = time.monotonic() - clock
     lake.log_run(batch_id=batch_id, source_id=source_id, mode="batch", status="success", total=counts.total,

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.payload import RECORD_ID_COLUMNS, record_id as record_id_of
+from tidegate.functions.values import quoted
 from tidegate.operators import dedup, lineage, quarantine
 from tidegate.operators.validate import CORRUPT, validate
 from tidegate.rules.model import Rule
@@ -35,16 +36,30 @@ class Settings:
 
 
 def judge(df: DataFrame, rules: Iterable[Rule], settings: Settings) -> DataFrame:
-    """De-duplicate and validate; adds ``_copies``, ``_rid`` and ``_v``."""
+    """Validate every row, then keep the newest *valid* row per key; adds ``_rid``, ``_v`` and ``_copies``.
+
+    Rows that fail are all kept for the quarantine: no row is dropped unjudged, and an older
+    valid row is not lost behind a newer one that fails.
+    """
+    rows = df.withColumn("_rid", record_id_of(df, settings.id_columns))
+    judged = validate(
+        rows, rules, review_threshold=settings.review_threshold, reject_all_null=settings.reject_all_null,
+        reject_lost_numbers=True, key=F.col("_rid"),
+    )
+    newest = [c for c in settings.latest_by if c in df.columns]
     key = settings.dedup_key or dedup.dedup_key(df)
     if settings.deduplicate and key:
-        rows = dedup.dedup_latest(df, key, [c for c in settings.latest_by if c in df.columns])
-    else:
-        rows = df.withColumn("_copies", F.lit(1).cast("bigint"))
-    rows = rows.withColumn("_rid", record_id_of(rows, settings.id_columns))
-    return validate(
-        rows, rules, review_threshold=settings.review_threshold, reject_all_null=settings.reject_all_null, key=F.col("_rid")
-    )
+        judged = _newest_valid(judged, [key] if isinstance(key, str) else list(key), newest)
+    if not _ids_unique(df, settings):  # the warehouse holds a record id once; what is merged there counts as duplicate
+        judged = _newest_valid(judged, ["_rid"], newest)
+    return judged
+
+
+def _newest_valid(judged: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
+    good = F.col("_v.status") == "valid"
+    helpers = [f"_key_{i}" for i in range(len(keys))]
+    keyed = judged.withColumns({h: F.when(good, quoted(k)) for h, k in zip(helpers, keys)})
+    return dedup.dedup_latest(keyed, helpers, newest).drop(*helpers)
 
 
 @contextmanager
@@ -113,7 +128,7 @@ def write_sinks(
 
     def warehouse_write() -> None:
         packed = warehouse_rows(good.drop(CORRUPT), source_id, schema_version_id, record_id=F.col("_rid"), processed_at=at)
-        Warehouse(lake).append(packed, batch_id, batch_seq, unique=_ids_unique(good, settings), count=False)
+        Warehouse(lake).append(packed, batch_id, batch_seq, unique=True, count=False)
 
     # The sinks read the same staged files and do not depend on each other.
     jobs = [audit_write]

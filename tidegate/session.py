@@ -42,6 +42,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def write_marker(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    p, fs = _path(spark, path)
+    fs.create(p, True).close()
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists and holds anything but markers."""
     p, fs = _path(spark, path)

@@ -81,13 +81,14 @@ def read_json_elements(spark: SparkSession, path: str, schema: T.StructType, **o
     ``_corrupt_record``.  A file is one task's work, as it must be for an array without line
     structure; use line-delimited files for large inputs.
     """
-    whole = spark.read.options(**options).text(path, wholetext=True).select("value", F.try_parse_json("value").alias("doc"))
-    elements = F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))
-    element = whole.select("value", F.explode(elements).alias("e"))
-    is_object = F.coalesce(F.schema_of_variant("e").startswith("OBJECT"), F.lit(False))
-    text = F.coalesce(F.to_json("e"), F.col("value"))
+    whole = spark.read.options(**options).text(path, wholetext=True)
+    doc = whole.select(F.try_parse_json("value").alias("doc")).filter(F.col("doc").isNotNull())
+    element = doc.select(F.explode(F.coalesce(F.try_variant_get("doc", "$", "array<variant>"), F.array("doc"))).alias("e"))
+    is_object, text = F.schema_of_variant("e").startswith("OBJECT"), F.to_json("e")
     split = element.select(F.when(is_object, text).alias("text"), F.when(~is_object, text).alias(CORRUPT))
-    return parse_objects(split, "text", schema)
+    # a second look for the files that are no JSON: carrying the text beside every element would multiply it
+    broken = whole.filter(F.try_parse_json("value").isNull()).select(F.lit(None).cast("string").alias("text"), F.col("value").alias(CORRUPT))
+    return parse_objects(split.unionByName(broken), "text", schema)
 
 
 def exact_texts(schema: T.StructType) -> T.StructType:

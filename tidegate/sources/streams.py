@@ -81,7 +81,8 @@ def kafka_options(source_id: str, connection_info: dict[str, str], max_offsets_p
         "subscribe": topic,
         "startingOffsets": offsets,
         "kafka.group.id": connection_info.get("kafka_group_id", f"{source_id}_consumer"),
-        "failOnDataLoss": "false",
+        # lost offsets stop the stream unless the source is registered as one that may lose some
+        "failOnDataLoss": str(connection_info.get("fail_on_data_loss", "true")).lower(),
     }
     if max_offsets_per_trigger:
         out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)

@@ -15,9 +15,9 @@ from tidegate.tables.lake import Lake
 def watch_schema(lake: Lake, source_id: str, batch: DataFrame, column: str, batch_id: str) -> dict[str, Any] | None:
     """Compare a batch of JSON text with the active schema; None if nothing changed.
 
-    Changes are noted in the run log.  Added fields become a new schema version, which a query
-    uses from its next start: a running query cannot change its columns.  Breaking changes are
-    only noted, and rows that no longer fit are judged as usual.
+    Changes are noted in the run log.  Added fields become a new schema version, which the batch
+    itself is parsed with.  Breaking changes are only noted, and rows that no longer fit are
+    judged as usual.
     """
     registry = SchemaRegistry(lake)
     row = registry.active(source_id)

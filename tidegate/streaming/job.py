@@ -79,7 +79,7 @@ class StreamJob:
                 counts = self._write(lake, batch, epoch)
             except Exception as e:
                 failures += 1
-                lake.log_run(**fields, status="failure", error=str(e)[:2000], seconds=time.monotonic() - clock)
+                lake.log_run(**fields, status="failure", error=str(e), seconds=time.monotonic() - clock)
                 if failures >= self.max_failures:
                     raise
                 time.sleep(min(self.retry_delay * 2 ** (failures - 1), 60.0))
@@ -95,7 +95,9 @@ class StreamJob:
         batch_id = self._batch_id(epoch)
         data = batch.drop("source_id")
         if self.raw_column:
-            watch_schema(lake, self.source_id, data, self.raw_column, batch_id)
+            if watch_schema(lake, self.source_id, data, self.raw_column, batch_id):
+                # parsing is per batch, so new fields count from the batch that brings them
+                self.schema = SchemaRegistry(lake).get(self.source_id) or self.schema
             data = parse_objects(data, self.raw_column, with_corrupt_column(self.schema))
         with staged(judge(data, self.rules, self.settings)) as rows:
             # A stream only appends; folding into the base is a separate, rarer step.

@@ -68,6 +68,9 @@ class RuleTable:
     def add(self, rules: Iterable[Rule]) -> int:
         rules = list(rules)
         check_rules(rules)
+        functions = [r.rule_name for r in rules if callable(r.parameters.get("validator_func"))]
+        if functions:
+            raise ValueError(f"A Python function cannot be stored in a table: {', '.join(functions)}")
         names = [r.rule_name for r in rules]
         clash = self.all().filter(F.col("rule_name").isin(names)).select("rule_name").limit(1).collect()
         if clash or len(set(names)) != len(names):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.payload import checksum, data_columns, payload, record_id as record_id_of
-from tidegate.session import delete_path, folder_bytes, has_data, path_exists
+from tidegate.session import delete_path, folder_bytes, has_data, path_exists, write_marker
 from tidegate.tables.lake import Lake
 
 _ROW = ("record_id", "source_id", "data", "schema_version_id", "processed_at", "checksum")
@@ -139,7 +139,10 @@ class Warehouse:
         return count
 
     def upsert_one(self, row: DataFrame, batch_id: str) -> int:
-        return self.upsert(row.limit(1), batch_id)
+        """Exactly one row; more are an error, as the rest would be lost."""
+        if len(row.limit(2).collect()) > 1:
+            raise ValueError("upsert_one takes one row; use upsert")
+        return self.upsert(row, batch_id)
 
     def compact(self) -> int:
         """Fold the log into the base and return the number of buckets rewritten.
@@ -168,18 +171,29 @@ class Warehouse:
             F.max_by(F.struct(*_REPLACED), "_new").alias("_row"), F.min_by("source_id", "_new").alias("source_id")
         )
         out = merged.select("record_id", "source_id", *[F.col("_row").getField(c).alias(c) for c in _REPLACED], "bucket")
+        delete_path(self.spark, self._complete)
         self.lake.shaped(out, "warehouse_data").write.mode("overwrite").partitionBy("bucket").parquet(self._staging)
-        self.recover()
+        write_marker(self.spark, self._complete)
+        if not self.recover():
+            raise RuntimeError("the fold was not applied; the log is kept")
         for batch_id in folded:
             delete_path(self.spark, f"{log_path}/batch_id={batch_id}")
         return len(touched)
 
-    def recover(self) -> None:
-        """Apply a complete staging copy, if a fold left one behind."""
-        if path_exists(self.spark, f"{self._staging}/_SUCCESS"):
-            if has_data(self.spark, self._staging):
-                self.lake.replace_partitions(self.spark.read.schema(self.lake.read("warehouse_data").schema).parquet(self._staging), "warehouse_data")
-            delete_path(self.spark, self._staging)
+    @property
+    def _complete(self) -> str:
+        """Own marker of a complete staging copy: Spark's may be switched off."""
+        return f"{self._staging}_complete"
+
+    def recover(self) -> bool:
+        """Apply a complete staging copy, if a fold left one behind; whether there was one."""
+        if not path_exists(self.spark, self._complete):
+            return False
+        if has_data(self.spark, self._staging):
+            self.lake.replace_partitions(self.spark.read.schema(self.lake.read("warehouse_data").schema).parquet(self._staging), "warehouse_data")
+        delete_path(self.spark, self._complete)
+        delete_path(self.spark, self._staging)
+        return True
 
 
 def upsert_catalog_table(rows: DataFrame, table: str) -> None:
