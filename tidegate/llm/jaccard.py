@@ -115,7 +115,11 @@ def voronoi_pairs(sketches: np.ndarray, sizes: np.ndarray, comps: np.ndarray, pe
     stack = [np.arange(len(sizes))]
     while stack:
         cell = stack.pop()
-        if len(cell) > SMALL_CELL:
+        # members of the largest component need no tests among each other
+        names, places = np.unique(comps[cell], return_inverse=True)
+        most = np.bincount(places).argmax()
+        rest, main = cell[places != most], cell[places == most]
+        if len(rest) > SMALL_CELL:
             reach = int(allowed(sizes[cell].max(), sizes[cell].max(), percent))
             pivots = cell[np.linspace(0, len(cell) - 1, PIVOTS).astype(int)]
             d = _differences(sketches[cell], sketches[pivots])
@@ -124,10 +128,11 @@ def voronoi_pairs(sketches: np.ndarray, sizes: np.ndarray, comps: np.ndarray, pe
             if sum(len(c) ** 2 for c in cells) < len(cell) ** 2 // 2 and all(len(c) < len(cell) for c in cells):
                 stack += cells
                 continue
-        for start in range(0, len(cell), SMALL_CELL):
-            x, y = cell[start : start + SMALL_CELL], cell[start:]
-            for part in range(0, len(y), 4 * SMALL_CELL):
-                z = y[part : part + 4 * SMALL_CELL]
+        other = np.concatenate([rest, main])
+        for start in range(0, len(rest), SMALL_CELL):
+            x = rest[start : start + SMALL_CELL]
+            for part in range(start, len(other), 4 * SMALL_CELL):
+                z = other[part : part + 4 * SMALL_CELL]
                 a, b = sizes[x][:, None], sizes[z][None, :]
                 fine = (comps[x][:, None] != comps[z][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
                 if fine.any():
