@@ -269,7 +269,9 @@ def _settle(rows: list[tuple], length: int) -> pa.RecordBatch | None:
          pa.array(lo[owner[s]] + shift[s]), pa.array(lo[owner[e]] + shift[e] + length)], ["id", "h", "start", "end"])
 
 
-def _sort_suffixes(rows: DataFrame, length: int) -> DataFrame:
+def _sort_suffixes(rows: DataFrame, different: DataFrame, length: int) -> DataFrame:
+    """``rows``: the stretches of ``different`` with their bytes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
@@ -286,7 +288,7 @@ def _sort_suffixes(rows: DataFrame, length: int) -> DataFrame:
             if found is not None:
                 yield found
 
-    counts = rows.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE)
+    counts = different.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE)
     large = sized(counts.select(F.col("v").alias("large_v"), F.ceil(F.col("n") / LARGE).cast("int").alias("salts")))
     salted = rows.join(large, F.col("v") == F.col("large_v"), "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     salted = salted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
@@ -297,7 +299,7 @@ def _sort_suffixes(rows: DataFrame, length: int) -> DataFrame:
 def _with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """Stretches with their bytes: places are gathered per document and joined with its text."""
     places = wanted.groupBy("id", "h").agg(F.collect_list(F.struct("v", "x", "lo", "hi")).alias("at"))
-    places = sized(places.withColumnsRenamed({"id": "w_id", "h": "w_h"}), weight=F.size("at"))
+    places = places.withColumnsRenamed({"id": "w_id", "h": "w_h"})  # grows with the texts: no broadcast at any size
     joined = docs.join(places, same(F.col("id"), F.col("w_id")) & (F.col("h") == F.col("w_h"))).select("id", "h", "text", "at")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,9 +328,9 @@ def dedup_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
     sorted_rows = stored(_sort_stretches(_deal(source, length)))
     whole = sorted_rows.filter("again").select("id", "h", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     different = sorted_rows.filter("NOT again").select("v", "id", "h", "x", "lo", "hi")
-    parts = _sort_suffixes(_with_bytes(source, different, length), length)
+    parts = _sort_suffixes(_with_bytes(source, different, length), different, length)
     spans = whole.unionByName(parts).groupBy("id", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    spans = sized(spans.withColumnsRenamed({"id": "s_id", "h": "s_h"}), weight=F.size("spans"))
+    spans = spans.withColumnsRenamed({"id": "s_id", "h": "s_h"})
 
     @F.pandas_udf("n_bytes long, n_removed long, removed_spans array<struct<start: long, end: long>>, kept binary")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
