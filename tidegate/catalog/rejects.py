@@ -182,3 +182,14 @@ def rule_changes(spark, d):
     rules.disable(6)
     v = validate(dirty(spark, d), rules.rules())
     return v.agg(F.count_if(F.col("_v.status") == "valid").alias("valid"))
+
+
+@query("quarantine_ids_after_replay", judged_sql() + "SELECT count(*) AS rows_seen, count(*) AS same_ids, count(*) AS distinct_ids FROM judged WHERE NOT good")
+def quarantine_ids_after_replay(spark, d):
+    """The same batch, partitioned otherwise and in another order, gets the same quarantine ids."""
+    bad = judged(spark, d).filter("_v.status <> 'valid'")
+    at = F.to_timestamp(F.lit("2025-01-01 00:00:00"))
+    first = quarantine.quarantine_rows(bad.repartition(3), "src", "b1", quarantined_at=at, record_id=F.col("transaction_id"))
+    again = quarantine.quarantine_rows(bad.repartition(7, "row_id"), "src", "b1", quarantined_at=at, record_id=F.col("transaction_id"))
+    both = first.select("quarantine_id", "raw_payload").join(again.select("quarantine_id", F.col("raw_payload").alias("p")), "quarantine_id", "left")
+    return both.agg(F.count(F.lit(1)).alias("rows_seen"), F.count_if(F.col("raw_payload") == F.col("p")).alias("same_ids"), F.count_distinct("quarantine_id").alias("distinct_ids"))

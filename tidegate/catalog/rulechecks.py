@@ -341,3 +341,13 @@ def nested_rule_struct(spark, d):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.struct("l_discount").alias("price"), F.create_map(F.lit("tax"), "l_tax").alias("extra"))
     rules = [Rule("a", "range", "price.l_discount", {"max": 0.07}), Rule("b", "range", "extra.tax", {"min_exclusive": 0.01})]
     return validate(df, rules).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("_v.status") == "valid").alias("ok"))
+
+
+@query("type_check_int_overflow", """SELECT k, CASE WHEN k % 5 = 0 OR k > 9000 THEN 'int_range' ELSE '' END AS failed_rules,
+  CASE WHEN k % 5 = 0 THEN NULL ELSE k END AS a FROM (SELECT o_orderkey AS k FROM orders)""")
+def type_check_int_overflow(spark, d):
+    """A whole number too large for BIGINT is still above a maximum."""
+    text = F.when(F.col("k") % 5 == 0, F.concat(F.lit("9"), F.lpad(F.col("k").cast("string"), 24, "0"))).otherwise(F.col("k").cast("string"))
+    df = table(spark, d, "orders").select(F.col("o_orderkey").alias("k")).withColumn("a", text)
+    rules = [Rule("int_type", "type_check", "a", {"expected_type": "int"}), Rule("int_range", "range", "a", {"max": 9000})]
+    return validate(df, rules).select("k", F.array_join("_v.failed_rules", ",").alias("failed_rules"), "a")

@@ -47,7 +47,7 @@ def _job(spark, alerts: bool = False, rules=RULES) -> StreamJob:
 
 def _drain(job: StreamJob, spark, folder: str) -> StreamJob:
     job.start(file_stream(spark, folder, "events", SCHEMA, max_files_per_trigger=1000), available_now=True)
-    job.await_termination()
+    job.query.awaitTermination()
     return job
 
 

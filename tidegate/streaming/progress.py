@@ -7,6 +7,7 @@ from collections import deque
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+NAMES = ("query_id", "query_name", "batch_id", "timestamp", "input_rows", "input_rate", "processing_rate", "trigger_ms", "backpressure")
 COLUMNS = """query_id STRING, query_name STRING, batch_id BIGINT, timestamp STRING, input_rows BIGINT,
     input_rate DOUBLE, processing_rate DOUBLE, trigger_ms BIGINT, backpressure BOOLEAN"""
 
@@ -20,6 +21,11 @@ def _row(p: dict) -> tuple:
     )
 
 
+def as_row(p: dict) -> dict:
+    """One progress report under the column names of ``COLUMNS``."""
+    return dict(zip(NAMES, _row(p)))
+
+
 def progress_frame(spark: SparkSession, query) -> DataFrame:
     """The recent progress of one query: rates, sizes and whether input outruns processing."""
     return spark.createDataFrame([_row(p) for p in query.recentProgress], COLUMNS)
