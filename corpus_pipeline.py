@@ -57,7 +57,7 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, packed, and the digest of the text that they decode to."""
     path = public_tokenizers.path(BPE_FILE)
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
+    both = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
     n = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return both.select("doc_id", "lang", "source", n, "ids", hex_sha256(F.col("decoded")).alias("decoded_sha256"))
 

@@ -54,7 +54,9 @@ def test_as_columns(docs):
     out = bpe.decode(bpe.encode(df, PATH), PATH).collect()
     assert [(r["doc_id"], r["decoded"]) for r in out] == [(k, t or "") for k, t in rows]
     assert [np.frombuffer(r["ids"], "<u4").tolist() for r in out] == [TRUE.encode(t or "", add_special_tokens=False).ids for _, t in rows]
-    assert bpe.encode(docs([]), PATH).collect() == []
+    both = bpe.round_trip(df, PATH).collect()
+    assert [(r["doc_id"], r["ids"], r["decoded"]) for r in both] == [(r["doc_id"], r["ids"], r["decoded"]) for r in out]
+    assert bpe.encode(docs([]), PATH).collect() == bpe.round_trip(docs([]), PATH).collect() == []
 
 
 def test_unknown_ids_and_broken_text(vocabulary):

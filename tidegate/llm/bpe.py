@@ -221,3 +221,18 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             yield pd.Series([vocabulary.decode(p) for p in packs], dtype=object)
 
     return df.withColumn(text, unpacked(F.coalesce(F.col(ids), F.lit(b""))))
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, so that a task needs one Python worker and not two."""
+    shared = _shared_file(df, path)
+
+    @F.pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        vocabulary = _vocabulary(shared)
+        for texts in batches:
+            packs = [vocabulary.encode(t) for t in texts]
+            yield pd.DataFrame({"ids": packs, "decoded": [vocabulary.decode(p) for p in packs]})
+
+    found = df.withColumn("_both", both(text_or_empty(text)))
+    return found.withColumns({ids: F.col("_both.ids"), decoded: F.col("_both.decoded")}).drop("_both")

@@ -72,7 +72,7 @@ FROM c GROUP BY conv_id"""
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(BPE_FILE)
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, path).select("doc_id", "ids"), path)
+    both = bpe.round_trip(docs, path)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
