@@ -120,6 +120,12 @@ def sample_rows(spark, d):
     return clean.sample_rows(table(spark, d, "lineitem"), 0.1, seed=7).select("l_orderkey", "l_linenumber")
 
 
+@query("sample_by_key", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE substr(md5(concat(l_orderkey, '-', l_linenumber)), 1, 8) < '1999999a'")
+def sample_by_key(spark, d):
+    """A tenth of a table by the hash of its key: repeatable anywhere."""
+    return clean.sample_by_key(table(spark, d, "lineitem"), 0.1, "l_orderkey", "l_linenumber").select("l_orderkey", "l_linenumber")
+
+
 @query("schema_confidence", J + """SELECT round((7.0 + (count(transaction_id) + count(amount) + count(ts) + count(email) + count(status) + count(row_id) + count(ver)) / count(*)) / 14, 2) AS confidence FROM judged""")
 def schema_confidence(spark, d):
     """How far the names and the filled share of columns speak for a schema."""

@@ -95,3 +95,13 @@ def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def sample_rows(df: DataFrame, fraction: float, seed: int | None = None) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+
+
+def sample_by_key(df: DataFrame, fraction: float, *keys: str) -> DataFrame:
+    """The rows whose key's MD5 lies in the first ``fraction`` of its range: the same rows in every
+    run, engine and partitioning, and the same keys from every table."""
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must lie between 0 and 1")
+    text = F.concat_ws("-", *[F.coalesce(quoted(k).cast("string"), F.lit("")) for k in keys])
+    bound = round(fraction * 16**8)
+    return df if bound == 16**8 else df.filter(F.substring(F.md5(text), 1, 8) < f"{bound:08x}")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.payload import raw_payload, record_id as record_id_of
@@ -227,19 +227,18 @@ def count_by_source(view: DataFrame, top: int | None = None) -> DataFrame:
 def statistics(view: DataFrame, source_id: str | None = None, top_sources: int = 10) -> DataFrame:
     """Total, reviewed, per error type and (without a source filter) the largest sources."""
     rows = view if source_id is None else view.filter(F.col("source_id") == source_id)
-    whole = rows.agg(F.count(F.lit(1)).alias("t"), F.count_if("reviewed").alias("r")).select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("total").alias("section"), F.lit("total_quarantined").alias("name"), F.col("t").alias("count")),
-                F.struct(F.lit("total").alias("section"), F.lit("reviewed_count").alias("name"), F.col("r").alias("count")),
-            )
-        )
-    )
-    out = whole.unionByName(count_by_error(rows).select(F.lit("error_type").alias("section"), F.col("error_type").alias("name"), "count"))
+    # each row names every line it counts for, so the rows are read and grouped once
+    line = lambda section, name: F.struct(F.lit(section).alias("section"), name.alias("name"))
+    counted = F.array(line("total", F.lit("total_quarantined")), F.when(F.col("reviewed"), line("total", F.lit("reviewed_count"))))
     if source_id is None:
-        sources = count_by_source(rows, top_sources)
-        out = out.unionByName(sources.select(F.lit("source").alias("section"), F.col("source_id").alias("name"), "count"))
-    return out
+        counted = F.concat(counted, F.array(line("source", F.col("source_id"))))
+    counted = F.concat(counted, F.transform("failed_rules", lambda r: line("error_type", r)))
+    each = rows.select(F.explode(F.filter(counted, lambda x: x.isNotNull())).alias("line"), F.lit(1).cast("bigint").alias("n")).select("line.*", "n")
+    none = F.array(line("total", F.lit("total_quarantined")), line("total", F.lit("reviewed_count")))
+    zero = view.sparkSession.range(1).select(F.explode(none).alias("line"), F.lit(0).cast("bigint").alias("n")).select("line.*", "n")
+    sums = each.unionByName(zero).groupBy("section", "name").agg(F.sum("n").alias("count"))
+    place = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("count"), "name"))
+    return sums.withColumn("_place", place).filter((F.col("section") != "source") | (F.col("_place") <= top_sources)).drop("_place")
 
 
 def grouped_by_error(view: DataFrame) -> DataFrame:
