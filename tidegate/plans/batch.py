@@ -57,7 +57,7 @@ def load(
     schema: T.StructType | None = None,
     apply_schema: bool | None = None,
     evolve: bool = True,
-    schema_fraction: float = 0.1,
+    schema_fraction: float = 1.0,
     dry_run: bool = False,
     batch_id: str | None = None,
     settings: Settings = Settings(),

@@ -89,9 +89,14 @@ def kafka_options(source_id: str, connection_info: dict[str, str], max_offsets_p
     return out
 
 
-def kafka_stream(spark: SparkSession, source_id: str, connection_info: dict[str, str], value_schema: T.StructType | None = None) -> DataFrame:
-    """A topic as parsed rows; needs Spark's Kafka connector on the class path."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(source_id, connection_info)).load()
+def kafka_stream(
+    spark: SparkSession, source_id: str, connection_info: dict[str, str], value_schema: T.StructType | None = None,
+    max_offsets_per_trigger: int | None = None,
+) -> DataFrame:
+    """A topic as parsed rows, all that has come since the last trigger unless a rate is given; needs Spark's
+    Kafka connector on the class path."""
+    options = kafka_options(source_id, connection_info, max_offsets_per_trigger)
+    raw = spark.readStream.format("kafka").options(**options).load()
     return tag_source(parse_kafka_values(raw, value_schema), source_id)
 
 
