@@ -5,9 +5,9 @@
    two sets of similarity s share one of their first (1 - s) n + 1 shingles in any common order, and
    a document goes to the region of each of these shingles.  The order puts the most frequent shingles
    last (a table of fixed size), so frequent passages open no regions.  Regions of one document are dropped.
-2. *Pivots.*  Each region's first document is its pivot; every member is tested against it.  Members linked to
-   the pivot are in one component and need no tests among each other, so a group of n near copies costs n
-   tests and not n^2.
+2. *Pivots.*  Each region has a pivot, another one each turn; every member is tested against one pivot of its
+   regions.  Members linked to a pivot are in one component and need no tests among each other, so a group of
+   n near copies costs n tests a turn and not n^2.
 3. *Recursion.*  Regions with members in different components are cut again: in the metric of parity
    sketches (bit i is the parity of a set's members that hash to i; the number of bits that differ is at most
    the size of the symmetric difference) pivots open Voronoi cells, a member also joins the cells of
@@ -47,6 +47,8 @@ FREQUENT = 200_000
 REPORTED = 8
 #: Voronoi cells up to this size are compared member by member.
 SMALL_CELL = 256
+#: Turns in which every member is tested against one pivot, before what is left is compared in full.
+TURNS = 3
 PIVOTS = 8
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -273,13 +275,31 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, per
     return stored(pairs.join(one, "a").join(two, "b").mapInArrow(test, "a long, b long"))
 
 
-def _recursion(members: DataFrame, nodes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of one region that are still in different components and that sketches allow."""
-    comps = components(links)
-    m = members.select("token", "key").join(comps, F.col("key") == F.col("node"), "left")
-    m = stored(m.select("token", "key", F.coalesce("comp", "key").alias("comp")))
+def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members (token, key, n, comp) of the regions that still hold several components."""
+    m = members.select("token", "key", "n").join(components(links), F.col("key") == F.col("node"), "left")
+    m = stored(m.select("token", "key", "n", F.coalesce("comp", "key").alias("comp")))
     mixed_regions = m.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
-    rows = m.join(mixed_regions, "token", "left_semi").join(nodes.select("key", "n", "sketch"), "key")
+    return stored(m.join(mixed_regions, "token", "left_semi"))
+
+
+def _one_pivot_each(pairs: DataFrame, nodes: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Of the pivots (a) that a member (b) may be linked to, one."""
+    tested = _sketch_test(pairs.distinct(), nodes, percent)
+    return stored(tested.groupBy("b").agg(F.min_by("a", F.xxhash64("a", F.lit(turn))).alias("a")).select("a", "b"))
+
+
+def _next_stars(m: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(a, b): each region's pivot of this turn, and the members outside its component."""
+    pivot = m.groupBy("token").agg(F.min_by(F.struct("key", "n", "comp"), F.xxhash64("key", F.lit(turn))).alias("p"))
+    far = m.join(pivot, "token").filter(F.col("comp") != F.col("p.comp"))
+    sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent
+    return far.filter(sizes).select(F.col("p.key").alias("a"), F.col("key").alias("b"))
+
+
+def _recursion(m: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of unsettled members of one region that are in different components and that sketches allow."""
+    rows = m.select("token", "key", "comp").join(nodes.select("key", "n", "sketch"), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], []]
@@ -329,9 +349,13 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     frequent = np.sort(often["key"].to_numpy(np.int64).view(np.uint64))
     members = stored(_regions(_prefixes(source, words, percent, frequent)))
     stars = members.filter("key <> pivot AND least(n, pivot_n) * 100 >= greatest(n, pivot_n) * " + str(percent))
-    stars = stars.select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-    links = _verify(stored(_sketch_test(stars, nodes, percent)), source, nodes, words, percent)
-    more = _verify(_recursion(members, nodes, links, percent), source, nodes, words, percent)
+    stars = stars.select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+    links = _verify(_one_pivot_each(stars, nodes, percent, 0), source, nodes, words, percent)
+    for turn in range(1, TURNS):
+        unsettled = _unsettled(members, links)
+        more = _verify(_one_pivot_each(_next_stars(unsettled, percent, turn), nodes, percent, turn), source, nodes, words, percent)
+        links = links.unionByName(more)
+    more = _verify(_recursion(_unsettled(members, links), nodes, percent), source, nodes, words, percent)
     comps = components(links.unionByName(more))
     named = nodes.join(comps, F.col("key") == F.col("node"), "left").select("digest", "key", "one_id", F.coalesce("comp", "key").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("one_id").alias("component_id"))
