@@ -30,8 +30,6 @@ from tidegate.llm.common import same, stored
 ESCAPES = (("\\", "\\0"), ("</turn>", "\\1"), ("### ", "\\2"))
 ROLE_ESCAPES = (*ESCAPES, (": ", "\\3"))
 LOSS_ROLES = ("assistant",)
-#: Self-joins at most: threads of more than 2^40 messages are taken for cycles.
-MOST_ROUNDS = 40
 
 
 def escape(text: Column, table: tuple[tuple[str, str], ...] = ESCAPES) -> Column:
@@ -61,25 +59,24 @@ def _messages(df: DataFrame, tree: str, msg_id: str, parent_id: str, role: str,
     return rows.groupBy("tree", "id").agg(first).select("tree", "id", "m.*")
 
 
-def _rootward(nodes: DataFrame) -> list[DataFrame]:
-    """Tables k = 0, 1, ...: for each message its ancestor ``up`` 2^k steps above (null past the root),
-    and the number ``steps`` and score ``total`` of the messages before that ancestor."""
+def _rootward(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables k = 0, 1, ...: the messages that have an ancestor ``up`` 2^k steps above, with the number ``steps`` and
+    score ``total`` of the messages before it; and, for messages that hang on a root, both numbers up to the root.
+
+    A message whose root is reached takes part in no further join on the left."""
     n, p = nodes.select("tree", "id", "parent", "score").alias("n"), nodes.select("tree", "id").alias("p")
     linked = n.join(p, same(F.col("n.tree"), F.col("p.tree")) & (F.col("n.parent") == F.col("p.id")), "left")
-    levels = [stored(linked.select("n.tree", "n.id", F.col("p.id").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("n.score").alias("total")))]
-    while len(levels) < MOST_ROUNDS and not levels[-1].filter("up IS NOT NULL").isEmpty():
-        s, a = levels[-1].alias("s"), levels[-1].alias("a")
-        joined = s.join(a, same(F.col("s.tree"), F.col("a.tree")) & (F.col("s.up") == F.col("a.id")), "left")
-        levels.append(
-            stored(
-                joined.select(
-                    "s.tree", "s.id", F.col("a.up").alias("up"),
-                    (F.col("s.steps") + F.coalesce("a.steps", F.lit(0))).alias("steps"),
-                    (F.col("s.total") + F.coalesce("a.total", F.lit(0.0))).alias("total"),
-                )
-            )
-        )
-    return levels
+    table = stored(linked.select("n.tree", "n.id", F.col("p.id").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("n.score").alias("total")))
+    levels, done = [table.filter("up IS NOT NULL")], table.filter("up IS NULL")
+    rounds = nodes.count().bit_length() + 1  # what is not done by then hangs on a cycle
+    while len(levels) <= rounds and not levels[-1].isEmpty():
+        s, a = levels[-1].alias("s"), levels[-1].unionByName(done).alias("a")
+        joined = s.join(a, same(F.col("s.tree"), F.col("a.tree")) & (F.col("s.up") == F.col("a.id")))
+        steps, total = F.col("s.steps") + F.col("a.steps"), F.col("s.total") + F.col("a.total")
+        table = stored(joined.select("s.tree", "s.id", F.col("a.up").alias("up"), steps.alias("steps"), total.alias("total")))
+        levels.append(table.filter("up IS NOT NULL"))
+        done = done.unionByName(table.filter("up IS NULL"))
+    return levels, done
 
 
 def format_trees(
@@ -90,8 +87,7 @@ def format_trees(
     ``n_turns``, ``formatted`` and ``loss_spans``, the code point ranges of the texts to learn from.
     """
     nodes = stored(_messages(df, tree, msg_id, parent_id, role, text, score))
-    levels = _rootward(nodes)
-    ends = levels[-1].filter("up IS NULL")
+    levels, ends = _rootward(nodes)
     parents = nodes.filter("parent IS NOT NULL").select(F.col("tree").alias("t"), F.col("parent").alias("p"))
     leaves = ends.join(parents, same(F.col("tree"), F.col("t")) & (F.col("id") == F.col("p")), "left_anti")
     scored = leaves.select("tree", F.col("id").alias("leaf"), (F.col("total") / F.col("steps")).alias("mean_score"))
@@ -100,7 +96,7 @@ def format_trees(
     chosen = stored(scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep))
     on_path = chosen.select("tree", "leaf", F.col("leaf").alias("node"))
     for level in levels[:-1]:
-        up = level.filter("up IS NOT NULL").select(F.col("tree").alias("t"), F.col("id").alias("i"), "up")
+        up = level.select(F.col("tree").alias("t"), F.col("id").alias("i"), "up")
         higher = on_path.join(up, same(F.col("tree"), F.col("t")) & (F.col("node") == F.col("i")))
         on_path = stored(on_path.unionByName(higher.select("tree", "leaf", F.col("up").alias("node"))))
     o, n, e = on_path.alias("o"), nodes.alias("n"), ends.alias("e")
