@@ -69,6 +69,37 @@ def test_against_all_pairs(docs, seed, monkeypatch):
     assert found(df) == plain(rows)
 
 
+def test_large_regions_are_dealt_in_parts(docs, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART", 4)
+    monkeypatch.setattr(jaccard, "TURNS", 1)
+    rows = corpus(3)
+    assert found(docs([(*x, 0) for x in rows], ", component_id int").repartition(4)) == plain(rows)
+
+
+def test_parts_hold_every_pair_and_no_whole_region(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART", 50)
+    # a component of 900 and thirty outsiders, some of them followers
+    members = [(7, k, 100 + k % 20, 0) for k in range(900)] + [(7, 900 + k, (100 + k) * (-1 if k % 3 else 1), 900 + k) for k in range(30)]
+    parts = {}
+    for r in jaccard._parts(spark.createDataFrame(members, "token long, key long, n int, comp long"), 80).collect():
+        parts.setdefault(tuple(r)[:4], set()).add(r["key"])
+    assert max(map(len, parts.values())) < 200 and sum(map(len, parts.values())) < 5 * 930
+    for _, a, n, c in members[900:]:
+        for _, b, o, d in members:
+            if c != d and 100 * min(abs(n), abs(o)) >= 80 * max(abs(n), abs(o)):
+                assert any({a, b} <= p for p in parts.values())
+
+
+def test_pages_of_one_passage_do_not_meet_through_it(docs):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(174))
+    rows = [(k, passage + " " + " ".join(word() for _ in range(30))) for k in range(40)]  # 85 % shared, Jaccard 0.74
+    often = np.sort(jaccard.shingles(passage))
+    assert jaccard._regions(jaccard._prefixes(docs(rows), 5, 80, often)).count() == 0
+    assert found(docs(rows)) == plain(rows)
+
+
 def test_empty(docs):
     assert found(docs([])) == []
     assert found(docs([(1, None), (2, "")])) == [(1, 0, 1), (2, 0, 2)]

@@ -4,16 +4,22 @@
    every pivot, where the triangle inequality separates nothing.  So the first cut is by content:
    two sets of similarity s share one of their first (1 - s) n + 1 shingles in any common order, and
    a document goes to the region of each of these shingles.  The order puts the most frequent shingles
-   last (a table of fixed size), so frequent passages open no regions.  Regions of one document are dropped.
-2. *Pivots.*  Each region has a pivot, another one each turn; every member is tested against one pivot of its
+   last (a table of fixed size), so frequent passages open few regions.  Of a linked pair the smaller set has
+   the first shared shingle so early that enough for 2s / (1 + s) of its own size follow; a member with fewer left
+   only follows, and pairs only with smaller ones that lead.  Regions of one document or without a leader are
+   dropped: pages that share less than 2s / (1 + s) of a passage never meet through it.
+2. *Pivots.*  Each region has a leader as its pivot, another one each turn; every member is tested against one pivot of its
    regions.  Members linked to a pivot are in one component and need no tests among each other, so a group of
    n near copies costs n tests a turn and not n^2.
-3. *Recursion.*  Regions with members in different components are cut again: in the metric of parity
+3. *Parts.*  Of regions with the same members one is kept.  Regions with members in different components and over
+   ``PART`` members are cut by size, then into blocks; pairs of blocks are dealt over the tasks, those within the
+   largest component left out, so a task holds two blocks of about ``PART`` members.
+4. *Recursion.*  Parts are cut again in their tasks: in the metric of parity
    sketches (bit i is the parity of a set's members that hash to i; the number of bits that differ is at most
    the size of the symmetric difference) pivots open Voronoi cells, a member also joins the cells of
    pivots that are at most twice the allowed difference farther than its own, and cells are cut
    until they are small.  Pairs that the sketches allow are tested exactly.
-4. Links are joined to components by ``components``.
+5. Links are joined to components by ``components``.
 
 Sets are told apart by a 128-bit digest; documents with the same set are one node, so exact copies
 are grouped by an aggregation and never paired.  Sets are shipped only for pairs that pass
@@ -27,6 +33,7 @@ own; repeated rows get the same result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +54,8 @@ FREQUENT = 200_000
 REPORTED = 8
 #: Voronoi cells up to this size are compared member by member.
 SMALL_CELL = 256
+#: Members of a region that one task holds; of larger regions two blocks of about so many.
+PART = 4096
 #: Turns in which every member is tested against one pivot, before what is left is compared in full.
 TURNS = 3
 PIVOTS = 8
@@ -112,8 +121,10 @@ def _differences(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x[:, None, :] ^ y[None, :, :]).sum(axis=2, dtype=np.int64)
 
 
-def voronoi_pairs(sketches: np.ndarray, sizes: np.ndarray, comps: np.ndarray, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs (places in the arrays) in different components that sizes and sketches allow to be linked."""
+def voronoi_pairs(sketches: np.ndarray, sizes: np.ndarray, comps: np.ndarray, percent: int, leads: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Pairs (places in the arrays) in different components that sizes and sketches allow to be linked.  Members that do
+    not lead (all do, if not given) are paired with smaller ones that lead."""
+    leads = np.ones(len(sizes), bool) if leads is None else leads
     stack = [np.arange(len(sizes))]
     while stack:
         cell = stack.pop()
@@ -137,6 +148,7 @@ def voronoi_pairs(sketches: np.ndarray, sizes: np.ndarray, comps: np.ndarray, pe
                 z = other[part : part + 4 * SMALL_CELL]
                 a, b = sizes[x][:, None], sizes[z][None, :]
                 fine = (comps[x][:, None] != comps[z][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
+                fine &= (leads[x][:, None] | (b < a)) & (leads[z][None, :] | (a < b))
                 if fine.any():
                     fine &= _differences(sketches[x], sketches[z]) <= allowed(a, b, percent)
                     i, j = np.nonzero(fine)
@@ -169,6 +181,7 @@ def _describe(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """(token, key, n): a row for each shingle of a set's prefix; n, the size, is negative where the set does not lead."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # FREQUENT numbers at most
     schema = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("n", pa.int32())])
 
@@ -182,7 +195,8 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -
                 if not len(s) or d in seen:
                     continue
                 seen.add(d)
-                length = len(s) - -(-percent * len(s) // 100) + 1
+                n = len(s)
+                length = n - -(-percent * n // 100) + 1
                 if len(last):
                     at = np.minimum(np.searchsorted(last, s), len(last) - 1)
                     often = last[at] == s
@@ -190,7 +204,8 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -
                     s = rare if len(rare) >= length else np.concatenate([rare, s[often]])
                 tokens.append(s[:length])
                 keys.append(np.full(length, key_of(d), np.int64))
-                sizes.append(np.full(length, len(at) if len(last) else len(s), np.int32))
+                left = n - np.arange(length)
+                sizes.append(np.where((100 + percent) * left >= 2 * percent * n, n, -n).astype(np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays([_longs(np.concatenate(tokens)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))], schema=schema)
 
@@ -198,8 +213,8 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -
 
 
 def _regions(rows: DataFrame) -> DataFrame:
-    """Members of regions of two documents or more, each with the region's pivot.  Rows come sorted by token
-    and key; what is held is a batch and the pivot of the open region."""
+    """Members of regions of two documents or more, each with the region's pivot, the smallest set that leads.  Rows come
+    sorted by token, leaders and small sets first; what is held is a batch and the pivot of the open region."""
     schema = pa.schema([("token", pa.int64()), ("key", pa.int64()), ("n", pa.int32()), ("pivot", pa.int64()), ("pivot_n", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +227,7 @@ def _regions(rows: DataFrame) -> DataFrame:
             fresh = first | np.r_[True, k[1:] != k[:-1]]
             start = np.maximum.accumulate(np.where(first, np.arange(len(t)), 0))
             count = np.bincount(start[fresh], minlength=len(t))[start]
-            keep = fresh & (count > 1)
+            keep = fresh & (count > 1) & (n[start] > 0)
             pk, pn = k[start].copy(), n[start].copy()
             given = False
             if held is not None:
@@ -226,7 +241,7 @@ def _regions(rows: DataFrame) -> DataFrame:
             given = bool(count[-1] > 1) or (s == 0 and given)
             held = (t[s : s + 1], k[s : s + 1], n[s : s + 1], given)
 
-    return rows.repartition("token").sortWithinPartitions("token", "key").mapInArrow(run, "token long, key long, n int, pivot long, pivot_n int")
+    return rows.repartition("token").sortWithinPartitions("token", F.col("n") < 0, F.abs("n"), "key").mapInArrow(run, "token long, key long, n int, pivot long, pivot_n int")
 
 
 def _sketch_test(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -276,10 +291,13 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, per
 
 
 def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members (token, key, n, comp) of the regions that still hold several components."""
+    """Members (token, key, n, comp) of the regions that still hold several components.  Of regions with the same
+    members that with most leaders stays: shingles have one order, so its leaders are those of the others and more."""
     m = members.select("token", "key", "n").join(components(links), F.col("key") == F.col("node"), "left")
     m = stored(m.select("token", "key", "n", F.coalesce("comp", "key").alias("comp")))
-    mixed_regions = m.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("token")
+    members = [F.count(F.lit(1)).alias("size"), F.bit_xor("key").alias("x"), F.bit_xor(F.xxhash64("key")).alias("y")]
+    regions = m.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count_if(F.col("n") > 0).alias("leaders"), *members)
+    mixed_regions = regions.filter("low <> high").groupBy("size", "x", "y").agg(F.max_by("token", F.struct("leaders", "token")).alias("token")).select("token")
     return stored(m.join(mixed_regions, "token", "left_semi"))
 
 
@@ -291,21 +309,49 @@ def _one_pivot_each(pairs: DataFrame, nodes: DataFrame, percent: int, turn: int)
 
 def _next_stars(m: DataFrame, percent: int, turn: int) -> DataFrame:
     """(a, b): each region's pivot of this turn, and the members outside its component."""
-    pivot = m.groupBy("token").agg(F.min_by(F.struct("key", "n", "comp"), F.xxhash64("key", F.lit(turn))).alias("p"))
+    pivot = m.groupBy("token").agg(F.min_by(F.struct("key", "n", "comp"), F.struct(F.col("n") < 0, F.xxhash64("key", F.lit(turn)))).alias("p"))
     far = m.join(pivot, "token").filter(F.col("comp") != F.col("p.comp"))
-    sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * percent
+    sizes = F.least(F.abs("n"), "p.n") * 100 >= F.greatest(F.abs("n"), "p.n") * percent
     return far.filter(sizes).select(F.col("p.key").alias("a"), F.col("key").alias("b"))
 
 
+def _parts(m: DataFrame, percent: int) -> DataFrame:
+    """(token, grade, i, j, key, n, comp): unsettled members in the parts of their regions.  Any two of a region that are in
+    different components, of sizes that can link and not both followers, share a part."""
+    sizes = m.groupBy("token").agg(F.count(F.lit(1)).alias("size"))
+    # sizes that can link are in one grade or the next: the larger set also visits the grade below its own
+    grade = F.floor(F.log(F.abs("n").cast("double")) / max(1.01 * math.log(100 / percent), 0.01)).cast("int")
+    grades = F.when(F.col("size") > PART, F.array(grade, grade - 1)).otherwise(F.array(F.lit(0)))
+    rows = m.join(sizes, "token").select("token", "key", "n", "comp", F.explode(grades).alias("grade"))
+    by_comp = rows.groupBy("token", "grade", "comp").agg(F.count(F.lit(1)).alias("own"), F.count_if(F.col("n") > 0).alias("leaders"))
+    cells = by_comp.groupBy("token", "grade").agg(
+        F.sum("own").alias("size"), F.max("own").alias("most"), F.max_by("comp", F.struct("own", "comp")).alias("main"), F.sum("leaders").alias("leaders"), F.count(F.lit(1)).alias("comps"))
+    cells = cells.filter("comps > 1 AND leaders > 0").select(
+        "token", "grade", "main", (F.col("size") <= PART).alias("whole"),
+        F.ceil((F.col("size") - F.col("most")) / PART).cast("int").alias("k_rest"), F.ceil(F.col("most") / PART).cast("int").alias("k_main"))
+    within = F.col("comp") == F.col("main")
+    rows = rows.join(cells, ["token", "grade"])
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.when(within, F.col("k_main")).otherwise(F.col("k_rest")).cast("long")).cast("int"))
+    pair = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    rest, main, block = F.sequence(F.lit(0), F.col("k_rest") - 1), F.sequence(F.lit(0), F.col("k_main") - 1), F.col("block")
+    parts = (
+        F.when(F.col("whole"), F.array(pair(F.lit(0), F.lit(0))))
+        .when(within, F.transform(rest, lambda i: pair(i, F.col("k_rest") + block)))
+        .otherwise(F.concat(F.transform(rest, lambda i: pair(F.least(i, block), F.greatest(i, block))), F.transform(main, lambda j: pair(block, F.col("k_rest") + j))))
+    )
+    return rows.select("token", "grade", "key", "n", "comp", F.explode(parts).alias("part")).select("token", "grade", "part.i", "part.j", "key", "n", "comp")
+
+
 def _recursion(m: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs of unsettled members of one region that are in different components and that sketches allow."""
-    rows = m.select("token", "key", "comp").join(nodes.select("key", "n", "sketch"), "key")
+    rows = _parts(m, percent).join(nodes.select("key", "sketch"), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], []]
 
         def pairs() -> pa.RecordBatch:
             keys, comps, sizes = (np.array(x, np.int64) for x in held[:3])
+            leads, sizes = sizes > 0, np.abs(sizes)
             raw = [np.frombuffer(s, np.uint64) for s in held[3]]
             a, b = [], []
             # sketches of different lengths: sizes of linked sets differ by a quarter at most, so each
@@ -315,25 +361,26 @@ def _recursion(m: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 at = np.flatnonzero((bits == size) | (bits == 2 * size))
                 if len(at) > 1 and (bits[at] == size).any():
                     folded = np.stack([fold(raw[i], size) for i in at])
-                    for i, j in voronoi_pairs(folded, sizes[at], comps[at], percent):
+                    for i, j in voronoi_pairs(folded, sizes[at], comps[at], percent, leads[at]):
                         a.append(int(min(keys[at[i]], keys[at[j]])))
                         b.append(int(max(keys[at[i]], keys[at[j]])))
             found = sorted(set(zip(a, b)))
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
 
-        token = None
+        part = None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("token", "key", "comp", "n", "sketch"))):
-                if row[0] != token:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("token", "grade", "i", "j", "key", "comp", "n", "sketch"))):
+                if row[:4] != part:
                     if len(held[0]) > 1:
                         yield pairs()
-                    token, held = row[0], [[], [], [], []]
-                for own, value in zip(held, row[1:]):
+                    part, held = row[:4], [[], [], [], []]
+                for own, value in zip(held, row[4:]):
                     own.append(value)
         if len(held[0]) > 1:
             yield pairs()
 
-    dealt = rows.repartition("token").sortWithinPartitions("token", "key").select("token", "key", "comp", "n", "sketch")
+    part = ["token", "grade", "i", "j"]
+    dealt = rows.repartition(*part).sortWithinPartitions(*part, "key").select(*part, "key", "comp", "n", "sketch")
     return stored(dealt.mapInArrow(run, "a long, b long").filter("a <> b").distinct())
 
 
@@ -348,7 +395,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     often = described.filter("digest IS NULL").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toPandas()
     frequent = np.sort(often["key"].to_numpy(np.int64).view(np.uint64))
     members = stored(_regions(_prefixes(source, words, percent, frequent)))
-    stars = members.filter("key <> pivot AND least(n, pivot_n) * 100 >= greatest(n, pivot_n) * " + str(percent))
+    stars = members.filter("key <> pivot AND least(abs(n), pivot_n) * 100 >= greatest(abs(n), pivot_n) * " + str(percent))
     stars = stars.select(F.col("pivot").alias("a"), F.col("key").alias("b"))
     links = _verify(_one_pivot_each(stars, nodes, percent, 0), source, nodes, words, percent)
     for turn in range(1, TURNS):
