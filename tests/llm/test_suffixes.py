@@ -60,6 +60,25 @@ def test_against_all_strings(docs, seed, monkeypatch):
         assert found(docs(rows).repartition(3)) == expected
 
 
+def test_large_anchors_send_each_suffix_once(docs, monkeypatch):
+    monkeypatch.setattr(suffixes, "LARGE", 3)
+    r = random.Random(6)
+    some = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    common = some(90)  # shorter than the length: all surroundings differ, and some repeat as a whole
+    rows = [(k, some(90) + common + some(90)) for k in range(60)]
+    rows += [(60 + k, rows[k][1][20:-20] + some(40)) for k in range(10)] + [(None, rows[3][1]), (70, rows[4][1]), (70, rows[4][1])]
+    df = docs(rows).repartition(3)
+    source = df.select(F.col("doc_id").alias("id"), F.lit(0).cast("long").alias("h"), "text")
+    different = suffixes._sort_stretches(suffixes._deal(source, 100)).filter("NOT again").drop("again", "c")
+    n = different.distinct().agg(F.sum(F.col("hi") - F.col("lo") + 1)).first()[0]
+    single = suffixes._single_suffixes(suffixes._with_bytes(source.distinct(), different.distinct(), 100), 100)
+    assert single.count() == n and different.groupBy("v").count().filter("count > 30").count() > 0
+    once = {k: t for k, t in rows}
+    order = sorted(once.items(), key=lambda x: (x[0] is not None, x[0] or 0))
+    wanted = plain([(k, t) for k, (_, t) in enumerate(order)])
+    assert found(df) == {i: wanted[k] for k, (i, _) in enumerate(order)}
+
+
 def test_pieces_of_long_texts_give_the_same_suffixes():
     b = np.frombuffer(texts(3)[0][1].encode() * 3 + b"q" * 300, np.uint8)
     v, x, lo, hi = suffixes.stretches(b, 100)

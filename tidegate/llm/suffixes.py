@@ -15,8 +15,9 @@ suffixes of all texts are sorted as far as ``length`` bytes, in parts that tasks
    repeat of it.
 4. Repeats are joined to spans per document and cut out.
 
-An anchor with more than ``LARGE`` different stretches is dealt to several tasks by the digest of the
-suffix, so no task holds an unbounded group.
+Stretches of an anchor with more than ``LARGE`` different ones are not sorted by one task: each of their suffixes
+becomes a row with its 128-bit digest, and an aggregation finds the first place of each digest.  So rows grow with the
+suffixes, and no task holds more than a batch of them.
 
 Defined cases.  Null texts are empty.  Texts shorter than ``length`` lose nothing.  Documents are ordered by id
 (null first), rows with one id by a hash of their texts; rows equal in id and text count as one
@@ -41,7 +42,7 @@ from tidegate.llm.common import same, sized, stored
 LENGTH = 100
 GRAM = 32
 SHALLOW = 16
-#: Stretches of one anchor that one task sorts at most.
+#: Stretches of one anchor that one task sorts at most; suffixes of more are counted one by one.
 LARGE = 10_000
 #: Suffixes that are hashed at a time (memory only).
 PIECE = 1 << 20
@@ -243,21 +244,16 @@ def repeated_suffixes(v: np.ndarray, offset: np.ndarray, windows: np.ndarray) ->
 
 
 def _settle(rows: list[tuple], length: int) -> pa.RecordBatch | None:
-    """Repeats among the suffixes of stretches (v, id, h, x, lo, hi, salt, salts, bytes), in order of place."""
+    """Repeats among the suffixes of stretches (v, id, h, x, lo, hi, bytes), in order of place."""
     counts = np.array([r[5] - r[4] + 1 for r in rows])
     owner = np.repeat(np.arange(len(rows)), counts)
     shift = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    base = np.concatenate([[0], np.cumsum([len(r[8]) for r in rows])[:-1]])
-    buffer = np.frombuffer(b"".join(r[8] for r in rows), np.uint8)
+    base = np.concatenate([[0], np.cumsum([len(r[6]) for r in rows])[:-1]])
+    buffer = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
     windows = np.lib.stride_tricks.sliding_window_view(buffer, length)[base[owner] + shift]
     v = np.array([r[0] for r in rows], np.int64)[owner]
     offset = np.array([r[3] - r[4] for r in rows])[owner] - shift
-    mine = np.ones(len(owner), bool)
-    if any(r[7] > 1 for r in rows):
-        mine = np.array([xxhash.xxh3_64_intdigest(w.tobytes(), 1) % rows[o][7] == rows[o][6] for w, o in zip(windows, owner.tolist())])
-    at = np.flatnonzero(mine)
-    repeat = np.zeros(len(owner), bool)
-    repeat[at] = repeated_suffixes(v[at], offset[at], windows[at])
+    repeat = repeated_suffixes(v, offset, windows)
     hit = np.flatnonzero(repeat)
     if not len(hit):
         return None
@@ -269,14 +265,14 @@ def _settle(rows: list[tuple], length: int) -> pa.RecordBatch | None:
          pa.array(lo[owner[s]] + shift[s]), pa.array(lo[owner[e]] + shift[e] + length)], ["id", "h", "start", "end"])
 
 
-def _sort_suffixes(rows: DataFrame, different: DataFrame, length: int) -> DataFrame:
-    """``rows``: the stretches of ``different`` with their bytes."""
+def _sort_suffixes(rows: DataFrame, length: int) -> DataFrame:
+    """``rows``: stretches with their bytes, ``LARGE`` of an anchor at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if len(held) >= 4000 and (held[-1][0], held[-1][6]) != (row[0], row[6]):
+                if len(held) >= 4000 and held[-1][0] != row[0]:
                     found = _settle(held, length)
                     held = []
                     if found is not None:
@@ -288,12 +284,48 @@ def _sort_suffixes(rows: DataFrame, different: DataFrame, length: int) -> DataFr
             if found is not None:
                 yield found
 
+    dealt = rows.repartition("v").sortWithinPartitions("v", "id", "h", "x", "lo")
+    return dealt.select("v", "id", "h", "x", "lo", "hi", "bytes").mapInArrow(run, "id long, h long, start long, end long")
+
+
+def _single_suffixes(rows: DataFrame, length: int) -> DataFrame:
+    """A row (d, e, id, h, start) per suffix of stretches with their bytes; (d, e) is its digest.  Equal suffixes have
+    equal anchors, which need not be told apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 2000):
+                part = batch.slice(begin, 2000)
+                digests = [xxhash.xxh3_128_digest(b[k : k + length]) for b in map(memoryview, part.column("bytes").to_pylist()) for k in range(len(b) - length + 1)]
+                words = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                lo, counts = part.column("lo").to_numpy(), part.column("hi").to_numpy() - part.column("lo").to_numpy() + 1
+                owner = np.repeat(np.arange(len(lo)), counts)
+                start = lo[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+                at = pa.array(owner)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words[:, 0]), pa.array(words[:, 1]), part.column("id").take(at), part.column("h").take(at), pa.array(start)], ["d", "e", "id", "h", "start"])
+
+    return rows.select("id", "h", "lo", "hi", "bytes").mapInArrow(run, "d long, e long, id long, h long, start long")
+
+
+def _count_suffixes(rows: DataFrame, length: int) -> DataFrame:
+    """Repeats among the suffixes of stretches with their bytes, however many an anchor has."""
+    place = F.struct("id", "h", "start")
+    single = stored(_single_suffixes(rows, length))
+    # nulls come first in the order of structs
+    several = single.groupBy("d", "e").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(~same(F.col("first"), F.col("last")))
+    again = single.join(several.select("d", "e", "first"), ["d", "e"]).filter(~same(place, F.col("first")))
+    return again.select("id", "h", "start", (F.col("start") + length).alias("end"))
+
+
+def _repeats(source: DataFrame, different: DataFrame, length: int) -> DataFrame:
+    """Spans of repeated suffixes in the stretches of ``different``."""
     counts = different.groupBy("v").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE)
-    large = sized(counts.select(F.col("v").alias("large_v"), F.ceil(F.col("n") / LARGE).cast("int").alias("salts")))
-    salted = rows.join(large, F.col("v") == F.col("large_v"), "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
-    salted = salted.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    dealt = salted.repartition("v", "salt").sortWithinPartitions("v", "salt", "id", "h", "x", "lo")
-    return dealt.select("v", "id", "h", "x", "lo", "hi", "salt", "salts", "bytes").mapInArrow(run, "id long, h long, start long, end long")
+    large = sized(counts.select("v"))
+    if large.isEmpty():
+        return _sort_suffixes(_with_bytes(source, different, length), length)
+    small = _sort_suffixes(_with_bytes(source, different.join(large, "v", "left_anti"), length), length)
+    return small.unionByName(_count_suffixes(_with_bytes(source, different.join(large, "v", "left_semi"), length), length))
 
 
 def _with_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
@@ -332,7 +364,7 @@ def dedup_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
     sorted_rows = stored(_sort_stretches(_deal(source, length)))
     whole = sorted_rows.filter("again").select("id", "h", F.col("lo").alias("start"), (F.col("hi") + length).alias("end"))
     different = sorted_rows.filter("NOT again").select("v", "id", "h", "x", "lo", "hi")
-    parts = _sort_suffixes(_with_bytes(source, different, length), different, length)
+    parts = _repeats(source, different, length)
     spans = whole.unionByName(parts).groupBy("id", "h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = spans.withColumnsRenamed({"id": "s_id", "h": "s_h"})
 
