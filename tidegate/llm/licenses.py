@@ -15,6 +15,8 @@ text, so repeated rows and null ids are fine.  Columns that bear an output's nam
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,6 +114,24 @@ it freely, subject to the following restrictions:
 software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
+# Long texts are files named by their id; appendices on how to apply a licence may be missing in a copy of it.
+TEXTS = Path(__file__).parent / "licence_texts"
+END = "END OF TERMS AND CONDITIONS"
+
+
+def _shipped() -> list[tuple[str, str]]:
+    """Every text of ``TEXTS``, also as far as ``END``, and a line for every SPDX id."""
+    found = []
+    for path in sorted(TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        found.append((path.stem, text))
+        if END in text:
+            found.append((path.stem, text[: text.index(END) + len(END)]))
+            found.append((path.stem, text[: text.index(END)]))
+    ids = (TEXTS / "spdx_ids").read_text(encoding="utf-8").split()
+    return found + [(i, f"SPDX-License-Identifier: {i}") for i in ids]
+
+
 KNOWN = (
     ("MIT", _MIT),
     ("MIT", "MIT License\n\n" + _MIT),
@@ -131,8 +151,7 @@ KNOWN = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    *_shipped(),
 )
 
 
