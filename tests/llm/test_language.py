@@ -66,3 +66,25 @@ def test_held_out_accuracy(spark):
     truth = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
     rows = op7_language_id(spark, "/root/testdata/sf0.01").filter("held_out").join(truth, "doc_id").collect()
     assert len(rows) > 200 and sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.98 * len(rows)
+
+
+def test_long_words_are_learned_from(docs):
+    from collections import defaultdict
+
+    pieces = ["▁", "a", "b", "ab", "ba", "c"]
+    lattice = language.Lattice(pieces)
+    p = [0.1, 0.3, 0.2, 0.2, 0.1, 0.05, 0.05]
+    word = "abbaab" * 6  # both ways of summing agree
+    short, long = defaultdict(float), defaultdict(float)
+    size, edges = lattice.edges(word)
+    language.expect(size, edges, p, 2.0, short)
+    kept, language.SHORT_WORD = language.SHORT_WORD, 3
+    try:
+        language.expect(size, edges, p, 2.0, long)
+    finally:
+        language.SHORT_WORD = kept
+    assert size <= kept and all(abs(short[k] - long[k]) < 1e-9 for k in {*short, *long})
+    rows = [(k, ("ab" if k % 2 else "c") * 2000, "x" if k % 2 else "y") for k in range(8)]
+    model = language.fit(docs(rows, ", lang string"), pieces)
+    got = {r["doc_id"]: r["lang_pred"] for r in model.predict(docs(rows, ", lang string")).collect()}
+    assert got == {k: "x" if k % 2 else "y" for k in range(8)}

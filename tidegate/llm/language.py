@@ -81,6 +81,11 @@ class Lattice:
         return len(s), out
 
 
+def _log_sum(a: float, b: float) -> float:
+    top = max(a, b)
+    return top + math.log(math.exp(a - top) + math.exp(b - top))
+
+
 def log_word(size: int, edges: list[tuple[int, int, int]], p: list[float]) -> float:
     """Logarithm of a word's probability: the forward pass."""
     if size <= SHORT_WORD:
@@ -90,14 +95,22 @@ def log_word(size: int, edges: list[tuple[int, int, int]], p: list[float]) -> fl
         return math.log(total[size]) if total[size] > 0 else -1e4
     logs = [0.0] + [-math.inf] * size
     for i, j, k in edges:
-        a, b = logs[j], logs[i] + math.log(p[k])
-        top = max(a, b)
-        logs[j] = top + math.log(math.exp(a - top) + math.exp(b - top))
+        logs[j] = _log_sum(logs[j], logs[i] + math.log(p[k]))
     return logs[size]
 
 
 def expect(size: int, edges: list[tuple[int, int, int]], p: list[float], n: float, counts: dict[int, float]) -> None:
     """Adds the expected counts of a word's pieces, times ``n``: forward and backward pass."""
+    if size > SHORT_WORD:
+        ahead, back = [0.0] + [-math.inf] * size, [-math.inf] * size + [0.0]
+        logs = [math.log(p[k]) for _, _, k in edges]
+        for (i, j, _), q in zip(edges, logs):
+            ahead[j] = _log_sum(ahead[j], ahead[i] + q)
+        for (i, j, _), q in zip(reversed(edges), reversed(logs)):
+            back[i] = _log_sum(back[i], back[j] + q)
+        for (i, j, k), q in zip(edges, logs):
+            counts[k] += n * math.exp(ahead[i] + q + back[j] - ahead[size])
+        return
     ahead, back = [1.0] + [0.0] * size, [0.0] * size + [1.0]
     for i, j, k in edges:
         ahead[j] += ahead[i] * p[k]
@@ -261,7 +274,7 @@ def fit(docs: DataFrame, pieces: list[str], doc_id: str = "doc_id", text: str =
             yield pd.DataFrame([(k, w, n) for k, c in found.items() for w, n in c.items()], columns=["lang", "word", "n"])
 
     counted = sample.select("lang", "text").mapInPandas(count_words, "lang string, word string, n long")
-    words = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.length("word") <= SHORT_WORD))
+    words = stored(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     shared = docs.sparkSession.sparkContext.broadcast(pieces)
     p = np.full((len(languages), len(pieces) + 1), 1.0 / (len(pieces) + 1))
     for _ in range(rounds):
