@@ -21,7 +21,9 @@ LEAST_SCORE = 0.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those whose language stays open, go.  Learns as ``op7_language_id`` does."""
+    """Documents without a letter go, and those for which no learned language reaches ``LEAST_SCORE`` against the others:
+    ties and a few very short texts.  A text in a language that was not learned mostly gets a learned one and stays.
+    Learns as ``op7_language_id`` does."""
     model = language.fit(docs.filter(remainder("doc_id") != 2), language.read_pieces(public_tokenizers.path(PIECE_FILE)))
     found = model.predict(docs, lang="_lang", score="_score")
     return found.filter((F.col("_lang") != language.UNKNOWN) & (F.col("_score") >= LEAST_SCORE)).drop("_lang", "_score")
