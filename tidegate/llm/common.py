@@ -45,3 +45,12 @@ def hex_sha256(column: Column) -> Column:
 def same(left: Column, right: Column) -> Column:
     """Null-safe equality."""
     return left.eqNullSafe(right)
+
+
+def renewed(df: DataFrame, columns: list[str], results: dict[str, Column]) -> DataFrame:
+    """The input's ``columns`` out of the struct ``row``, and ``results``, which replace columns of their name in any case.
+
+    An operator that packs its input into ``row`` first may name its own columns as it likes."""
+    new = {name.lower() for name in results}
+    rest = [F.col(f"row.`{c}`").alias(c) for c in columns if c.lower() not in new]
+    return df.select(*rest, *[column.alias(name) for name, column in results.items()])

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import bpe, chat, decontaminate, jaccard, language, licenses, lines, quality, secrets, suffixes
+from tidegate.llm import bpe, chat, conversations, decontaminate, jaccard, language, licenses, lines, quality, secrets, suffixes, urls, whitening
 from tidegate.llm.common import hex_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +264,58 @@ l AS (SELECT r, k, {_canonical_sql("line")} AS form FROM (SELECT r, unnest(range
 n AS (SELECT r, string_agg(concat(k, ':', x), ',' ORDER BY k, x) AS notices FROM (SELECT r, k, unnest(ls) AS x FROM l JOIN known USING (form)) GROUP BY r)
 SELECT doc_id, sha256(w.form) AS digest, coalesce(array_to_string(ls, ','), '') AS licenses, coalesce(notices, '') AS notices
 FROM w LEFT JOIN known USING (form) LEFT JOIN n USING (r)"""
+
+
+RULES = [
+    urls.Rule(urls.ALLOW, "com"), urls.Rule(urls.BLOCK, "example.com", "/en/"), urls.Rule(urls.ALLOW, "www.example.com", "/en/"),
+    urls.Rule(urls.BLOCK, "net", "/es/"), urls.Rule(urls.BLOCK, "net", "/fr/"),
+]
+#: Stands in for a list of hosts from elsewhere: those of the pages with one of these words in their name.
+LISTED_HOSTS = r"(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)"
+
+
+@query
+def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    hosts = pages.select(urls.host_and_path(F.col("url"))[0].alias("host")).filter(F.col("host").rlike(LISTED_HOSTS)).distinct()
+    return urls.filter_urls(pages, RULES, hosts).select("page_id", "host", "path", "rule", "verdict")
+
+
+_HOST_SQL = r"translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE["op11_url_filters"] = rf"""
+WITH u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, {_HOST_SQL} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE WHEN ('.' || host) LIKE '%.www.example.com' AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/es/') THEN 'net/es/' WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/') THEN 'com/' END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('www.example.com/en/', 'com/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN regexp_matches(host, '(^|[.-])(adult|ads|bets|casino|pills|spam)([.-]|$)') THEN 'block' ELSE 'allow' END AS verdict FROM r"""
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows after damage by the checksum of ``conv_id:turn``; ``there`` is false for dropped ones, which keep their conversation known."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(blank("conv_id"), F.lit(":"), blank("turn"))) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(blank("text"), ".!?", "")).otherwise(blank("text"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1)))
+    role = F.when(kind == 4, "user").otherwise(blank("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (kind != 0).alias("there"), copies.alias("copy")).drop("copy")
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = damaged(table(spark, folder, "conversations"))
+    return conversations.repair(rows, F.col("there")).summary
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    found = model.apply(rows).select("vec_id", "n", "deviation", F.posexplode("whitened").alias("k", "whitened"))
+    shares = F.element_at(F.array([F.lit(float(e / model.trace)) for e in model.values]).cast("array<double>"), F.col("k") + 1)
+    return found.select(
+        "vec_id", (F.col("k") + 1).cast("int").alias("component"), "n", "deviation", "whitened",
+        shares.alias("explained"), F.lit(model.identity_error).alias("identity_error"),
+    )
