@@ -27,15 +27,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from tidegate.llm.common import text_or_empty
+from tidegate.llm.common import kept, parts, renewed, text_or_empty
 
 #: Fixed pattern of byte-level vocabularies: texts are cut into these pieces before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: A blank inside a run of white space, the one place where cutting before a blank could split a piece.
 INNER_BLANK = r"\s (?=\s|\Z)"
 #: Most words and token pairs that a worker remembers (memory only; results do not hang on it).
-REMEMBERED_WORDS = 250_000
-REMEMBERED_PAIRS = 300_000
+REMEMBERED_WORDS = 150_000
+REMEMBERED_PAIRS = 200_000
 #: Longer words are not remembered.
 LONG_WORD = 64
 
@@ -177,16 +177,9 @@ class Vocabulary:
         return b"".join([known[i] for i in np.frombuffer(packed, "<u4").tolist() if i < top]).decode("utf-8", "replace")
 
 
-_loaded: dict[int, Vocabulary] = {}
-
-
 def _vocabulary(shared) -> Vocabulary:
     """One per worker process and file; the file's text is shipped once, its size does not grow with the data."""
-    text = shared.value
-    key = hash(text)
-    if key not in _loaded:
-        _loaded[key] = Vocabulary(text)
-    return _loaded[key]
+    return kept(("bpe", shared.value), lambda: Vocabulary(shared.value))
 
 
 def _shared_file(df: DataFrame, path: str):
@@ -205,7 +198,8 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         vocabulary = _vocabulary(shared)
         for texts in batches:
-            yield pd.Series([vocabulary.encode(t) for t in texts], dtype=object)
+            for part in parts(texts):
+                yield pd.Series([vocabulary.encode(t) for t in part], dtype=object)
 
     return df.withColumn(ids, packed(text_or_empty(text)))
 
@@ -231,8 +225,9 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
     def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         vocabulary = _vocabulary(shared)
         for texts in batches:
-            packs = [vocabulary.encode(t) for t in texts]
-            yield pd.DataFrame({"ids": packs, "decoded": [vocabulary.decode(p) for p in packs]})
+            for part in parts(texts):
+                packs = [vocabulary.encode(t) for t in part]
+                yield pd.DataFrame({"ids": packs, "decoded": [vocabulary.decode(p) for p in packs]})
 
-    found = df.withColumn("_both", both(text_or_empty(text)))
-    return found.withColumns({ids: F.col("_both.ids"), decoded: F.col("_both.decoded")}).drop("_both")
+    found = df.select(F.struct("*").alias("row"), both(text_or_empty(text)).alias("found"))
+    return renewed(found, df.columns, {ids: F.col("found.ids"), decoded: F.col("found.decoded")})

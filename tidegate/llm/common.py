@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +58,33 @@ def renewed(df: DataFrame, columns: list[str], results: dict[str, Column]) -> Da
     new = {name.lower() for name in results}
     rest = [F.col(f"row.`{c}`").alias(c) for c in columns if c.lower() not in new]
     return df.select(*rest, *[column.alias(name) for name, column in results.items()])
+
+
+_kept: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept by the worker process for its next task.  Only one thing is kept: workers serve
+    all operators of a session in turn, and what each of them leaves behind would add up."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+#: Characters of texts that are worked on together in a Python worker, and rows.
+PART_CHARS, PART_ROWS = 4_000_000, 1000
+
+
+def parts(texts: pd.Series) -> Iterator[list[str]]:
+    """A batch of texts in pieces, so that results leave the worker before the whole batch is done (a single long text is a piece)."""
+    part: list[str] = []
+    chars = 0
+    for text in texts:
+        part.append(text)
+        chars += len(text or "")
+        if chars > PART_CHARS or len(part) == PART_ROWS:
+            yield part
+            part, chars = [], 0
+    if part:
+        yield part

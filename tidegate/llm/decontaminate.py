@@ -25,7 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import same, sized, stored, text_or_empty
+from tidegate.llm.common import renewed, same, sized, stored, text_or_empty
 
 WINDOW = 10
 GRAM = 5
@@ -104,10 +104,12 @@ def decontaminate(
         found = found.select("id", "h", F.struct("start", F.lit(n).alias("n")).alias("at"), "items")
         hits = found if hits is None else hits.unionByName(found)
 
-    counted = docs.withColumns({"n_words": F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORDS)).cast("long")})
+    full = text_or_empty(f"row.`{text}`")
+    counted = docs.select(F.struct("*").alias("row"))
+    n_words = F.regexp_count(full, F.lit(WORDS)).cast("long")
     empty = {"n_hit": F.lit(0).cast("long"), "hit_spans": F.array().cast("array<struct<start: int, end: int>>"), "items": F.array().cast("array<string>")}
     if hits is None:
-        return counted.withColumns(empty)
+        return renewed(counted, docs.columns, {"n_words": n_words, **empty})
     by_doc = hits.groupBy("id", "h").agg(F.array_sort(F.collect_set("at")).alias("at"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("found"))
     spans = F.aggregate(
         "at",
@@ -121,10 +123,10 @@ def decontaminate(
     )
     by_doc = by_doc.select(F.col("id").alias("hit_id"), F.col("h").alias("hit_h"), spans.alias("found_spans"), "found")
     by_doc = sized(by_doc, weight=F.size("found_spans") + F.size("found"))
-    there = same(F.col(f"`{doc_id}`"), F.col("hit_id")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("hit_h"))
+    there = same(F.col(f"row.`{doc_id}`"), F.col("hit_id")) & (F.xxhash64(full) == F.col("hit_h"))
     joined = counted.join(by_doc, there, "left")
     n_hit = F.aggregate("found_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
-    joined = joined.withColumns({
-        "n_hit": F.coalesce(n_hit, empty["n_hit"]), "hit_spans": F.coalesce("found_spans", empty["hit_spans"]), "items": F.coalesce("found", empty["items"]),
+    return renewed(joined, docs.columns, {
+        "n_words": n_words, "n_hit": F.coalesce(n_hit, empty["n_hit"]), "hit_spans": F.coalesce("found_spans", empty["hit_spans"]),
+        "items": F.coalesce("found", empty["items"]),
     })
-    return joined.drop("hit_id", "hit_h", "found_spans", "found")

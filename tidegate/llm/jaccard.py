@@ -354,11 +354,11 @@ def _recursion(m: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             leads, sizes = sizes > 0, np.abs(sizes)
             raw = [np.frombuffer(s, np.uint64) for s in held[3]]
             a, b = [], []
-            # sketches of different lengths: sizes of linked sets differ by a quarter at most, so each
-            # member is compared at its own length with those of its length and the next
+            # a sketch is as long as its set's size rounded up to a power of two; each member is compared at its own length with all
+            # that are as long or longer, as far as sizes of linked sets may differ
             bits = np.array([len(r) for r in raw])
             for size in np.unique(bits).tolist():
-                at = np.flatnonzero((bits == size) | (bits == 2 * size))
+                at = np.flatnonzero((bits >= size) & (bits * percent < size * 200))
                 if len(at) > 1 and (bits[at] == size).any():
                     folded = np.stack([fold(raw[i], size) for i in at])
                     for i, j in voronoi_pairs(folded, sizes[at], comps[at], percent, leads[at]):

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import stored
+from tidegate.llm.common import kept, parts, renewed, stored
 
 DOCS_PER_LANGUAGE = 3000
 ROUNDS = 3
@@ -36,9 +36,7 @@ UNKNOWN = "und"
 #: Added to every expected count.
 PRIOR = 0.05
 #: Words a worker remembers (memory only).
-REMEMBERED_WORDS = 300_000
-#: Texts whose new words are scored together.
-BATCH = 1000
+REMEMBERED_WORDS = 200_000
 #: Words up to this length are summed in plain floats, longer ones in logarithms.
 SHORT_WORD = 40
 
@@ -136,10 +134,11 @@ class LanguageModel:
             languages, pieces, p = shared.value
             scorer = _scorer(languages, pieces, p)
             for texts in batches:
-                parts = (texts.iloc[k : k + BATCH].tolist() for k in range(0, len(texts), BATCH))
-                yield pd.DataFrame([x for part in parts for x in scorer.batch(part)], columns=["lang", "score"])
+                for part in parts(texts):
+                    yield pd.DataFrame(scorer.batch(part), columns=["lang", "score"])
 
-        return df.withColumn("_found", predicted(F.col(text))).withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")
+        found = df.select(F.struct("*").alias("row"), predicted(F.col(text)).alias("found"))
+        return renewed(found, df.columns, {lang: F.col("found.lang"), score: F.col("found.score")})
 
 
 class PieceTable:
@@ -242,16 +241,8 @@ class Scorer:
         return out
 
 
-_kept: dict[int, Scorer] = {}
-
-
 def _scorer(languages: list[str], pieces: list[str], p: np.ndarray) -> Scorer:
-    """A worker keeps the last model's scorer for its next task."""
-    key = xxhash.xxh3_64_intdigest(p.tobytes())
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = Scorer(languages, pieces, p)
-    return _kept[key]
+    return kept(("language", xxhash.xxh3_64_intdigest(p.tobytes())), lambda: Scorer(languages, pieces, p))
 
 
 def fit(docs: DataFrame, pieces: list[str], doc_id: str = "doc_id", text: str = "text", lang: str = "lang",

@@ -20,7 +20,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import same, sized, text_or_empty
+from tidegate.llm.common import renewed, same, sized, text_or_empty
 
 # Spellings that count as equal, in canonical words.
 SPELLINGS = (
@@ -64,7 +64,7 @@ SPELLINGS = (
 )
 #: Lines that name a holder or only reserve rights, in lower case.
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(portions )?(copyright\b|\(c\)|©|all rights reserved\b)[^\n]*$"
-OTHER = r"[^\p{L}\p{N}]+"
+OTHER = r"[^\p{L}\p{N}\n]+"
 
 # The texts of short public licences.
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
@@ -155,15 +155,32 @@ KNOWN = (
 )
 
 
-def canonical(text: Column) -> Column:
-    """Each word between single blanks; empty if there is no word."""
-    words = F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), OTHER, "  ")
-    words = F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+def folded(text: Column) -> Column:
+    """Words between pairs of blanks and line breaks; copyright lines are empty."""
+    return F.regexp_replace(F.regexp_replace(F.lower(text), COPYRIGHT_LINE, ""), OTHER, "  ")
+
+
+def whole(text: Column) -> Column:
+    """A folded text as one line: each word between two blanks, empty if there is no word."""
+    return F.trim(F.regexp_replace(text, " *\n[ \n]*", "  "))
+
+
+def spelled(line: Column) -> Column:
+    """The canonical form of a trimmed line of words."""
+    words = F.concat(F.lit(" "), line, F.lit(" "))
     for one, other in SPELLINGS:
         words = F.replace(words, F.lit(f" {one} "), F.lit(f" {other} "))
     return F.trim(words)
 
 
+def canonical(text: Column) -> Column:
+    return spelled(whole(folded(text)))
+
+
+def first_word(line: Column) -> Column:
+    return F.substring_index(line, " ", 1)
+
+
 def known_licenses(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(KNOWN, "license string, text string")
 
@@ -174,21 +191,34 @@ def digests(licenses: DataFrame, license_id: str = "license", text: str = "text"
     return forms.groupBy(F.sha2("form", 256).alias("digest")).agg(F.array_sort(F.collect_set("license")).alias("licenses"))
 
 
+def _openings(known: DataFrame) -> DataFrame:
+    """The words that a line may begin with if its canonical form is a known one: the form's own first word, or one whose spelling
+    changes."""
+    changed = known.sparkSession.createDataFrame([(one.split()[0],) for one, _ in SPELLINGS], "opening string")
+    return known.select("opening").unionByName(changed).distinct()
+
+
 def scan(docs: DataFrame, licenses: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of ``docs`` and ``digest`` (of the canonical text), ``licenses`` (what the whole text is) and
-    ``notices`` (line, license: lines, from 0, that are a known text)."""
+    ``notices`` (line, license: lines, from 0, that are a known text).
+
+    A text is folded at once and then cut into lines; spelling and digest follow only for lines that begin like a known text."""
     known = sized(digests(licenses), weight=F.size("licenses"))
+    forms = licenses.select(canonical(text_or_empty("text")).alias("form")).filter("form <> ''")
+    openings = sized(_openings(forms.select(first_word(F.col("form")).alias("opening"))))
+    known = known.select(F.col("digest").alias("known_digest"), F.col("licenses").alias("known_as"))
     source = docs.select(F.col(doc_id).alias("id"), text_or_empty(text).alias("t")).withColumn("h", F.xxhash64("t"))
-    lines = source.select("id", "h", F.posexplode(F.split("t", "\n", -1)).alias("line", "one")).withColumn("digest", F.sha2(canonical(F.col("one")), 256))
-    hits = lines.join(known, "digest").select("id", "h", F.explode(F.transform("licenses", lambda x: F.struct("line", x.alias("license")))).alias("hit"))
-    by_doc = hits.groupBy("id", "h").agg(F.array_sort(F.collect_set("hit")).alias("_hits"))
-    by_doc = sized(by_doc.withColumnsRenamed({"id": "_id", "h": "_h"}), weight=F.size("_hits"))
-    whole = known.select(F.col("digest").alias("_digest"), F.col("licenses").alias("_licenses"))
-    full = text_or_empty(text)
-    out = docs.drop("digest", "licenses", "notices").withColumn("digest", F.sha2(canonical(full), 256))
-    out = out.join(whole, F.col("digest") == F.col("_digest"), "left")
-    out = out.join(by_doc, same(F.col(f"`{doc_id}`"), F.col("_id")) & (F.xxhash64(full) == F.col("_h")), "left")
-    none = F.array().cast("array<string>")
-    out = out.withColumn("licenses", F.coalesce("_licenses", none))
-    out = out.withColumn("notices", F.coalesce("_hits", F.array().cast("array<struct<line: int, license: string>>")))
-    return out.drop("_digest", "_licenses", "_id", "_h", "_hits")
+    lines = source.select("id", "h", F.posexplode(F.split(folded(F.col("t")), "\n", -1)).alias("line", "one"))
+    lines = lines.withColumn("one", F.trim("one")).withColumn("opening", first_word(F.col("one"))).join(openings, "opening", "left_semi")
+    lines = lines.select("id", "h", "line", F.sha2(spelled(F.col("one")), 256).alias("digest"))
+    hits = lines.join(known, F.col("digest") == F.col("known_digest"))
+    hits = hits.select(F.col("id").alias("hit_id"), F.col("h").alias("hit_h"), F.explode(F.transform("known_as", lambda x: F.struct("line", x.alias("license")))).alias("hit"))
+    by_doc = sized(hits.groupBy("hit_id", "hit_h").agg(F.array_sort(F.collect_set("hit")).alias("hits")), weight=F.size("hits"))
+    full = text_or_empty(f"row.`{text}`")
+    out = docs.select(F.struct("*").alias("row")).withColumn("digest", F.sha2(canonical(full), 256))
+    out = out.join(known, F.col("digest") == F.col("known_digest"), "left")
+    out = out.join(by_doc, same(F.col(f"row.`{doc_id}`"), F.col("hit_id")) & (F.xxhash64(full) == F.col("hit_h")), "left")
+    return renewed(out, docs.columns, {
+        "digest": F.col("digest"), "licenses": F.coalesce("known_as", F.array().cast("array<string>")),
+        "notices": F.coalesce("hits", F.array().cast("array<struct<line: int, license: string>>")),
+    })

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import sized, stored
+from tidegate.llm.common import renewed, sized, stored
 
 MIN_WORDS = 50
 
@@ -109,12 +109,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 
     The rows are written once, so that the row numbers hold whatever is computed twice.
     """
-    extra = ("n_lines", "n_deleted", "deleted_runs", "kept_text", "_row")
-    rows = stored(docs.drop(*extra).withColumn("_row", F.monotonically_increasing_id()))
-    lines = stored(line_table(rows.select(F.col("_row").alias("row"), F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")), min_words))
+    rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n")))
+    full = F.col(f"row.`{text}`")
+    lines = stored(line_table(rows.select(F.col("n").alias("row"), F.col(f"row.`{doc_id}`").cast("long").alias("id"), full.alias("text")), min_words))
     runs = repeated_runs(lines)
     by_doc = runs.groupBy("row").agg(F.array_sort(F.collect_set(F.struct(F.col("line").alias("start"), (F.col("line") + F.col("k")).alias("end")))).alias("runs"))
-    by_doc = sized(by_doc.withColumnRenamed("row", "_run_row"), weight=F.size("runs"))
+    by_doc = sized(by_doc.withColumnRenamed("row", "run_row"), weight=F.size("runs"))
 
     @F.pandas_udf("n_lines long, n_deleted long, deleted_runs array<struct<start: int, end: int>>, kept_text string")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -138,5 +138,5 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
         for texts, runs in batches:
             yield pd.DataFrame([of(t, r) for t, r in zip(texts, runs)], columns=["n_lines", "n_deleted", "deleted_runs", "kept_text"])
 
-    joined = rows.join(by_doc, F.col("_row") == F.col("_run_row"), "left").withColumn("_cut", cut(F.col(text), F.col("runs")))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns if c not in extra], "_cut.*")
+    joined = rows.join(by_doc, F.col("n") == F.col("run_row"), "left").withColumn("cut", cut(full, F.col("runs")))
+    return renewed(joined, docs.columns, {c: F.col(f"cut.{c}") for c in ("n_lines", "n_deleted", "deleted_runs", "kept_text")})

@@ -244,7 +244,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _canonical_sql(text: str) -> str:
-    words = f"regexp_replace(regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', '', 'g'), '{licenses.OTHER}', '  ', 'g')"
+    words = f"regexp_replace(regexp_replace(lower({text}), '{licenses.COPYRIGHT_LINE}', '', 'g'), '[^\\p{{L}}\\p{{N}}]+', '  ', 'g')"
     words = f"concat(' ', trim({words}), ' ')"
     for one, other in licenses.SPELLINGS:
         words = f"replace({words}, ' {one} ', ' {other} ')"

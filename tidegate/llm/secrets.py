@@ -29,7 +29,7 @@ except ImportError:  # before Python 3.11
     import sre_constants as sre
     import sre_parse
 
-from tidegate.llm.common import sized, text_or_empty
+from tidegate.llm.common import renewed, sized, text_or_empty
 
 #: A set of literals grows to so many members at most before it is turned into trigrams.
 MOST_LITERALS = 64
@@ -223,7 +223,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id
     queries = {r.kind: derive(r.pattern) for r in rules}
     always = [k for k, q in queries.items() if q is None]
     wanted = [t for q in queries.values() for clause in q or [] for t in clause]
-    hits = sized(candidates(postings(docs, wanted, doc_id, text), rules).withColumnRenamed("doc_id", "_hit_id"))
+    hits = sized(candidates(postings(docs, wanted, doc_id, text), rules).withColumnRenamed("doc_id", "hit_id"))
     shapes = [(r.kind, r.pattern, r.group, r.least) for r in rules]
     always_set = frozenset(always)
 
@@ -244,5 +244,5 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id
         for texts, kinds in batches:
             yield pd.Series([of(t, k) for t, k in zip(texts, kinds)], dtype=object)
 
-    joined = docs.join(hits, F.col(f"`{doc_id}`").eqNullSafe(F.col("_hit_id")), "left")
-    return joined.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() != "spans"], verified(text_or_empty(text), F.col("kinds")).alias("spans"))
+    joined = docs.select(F.struct("*").alias("row")).join(hits, F.col(f"row.`{doc_id}`").eqNullSafe(F.col("hit_id")), "left")
+    return renewed(joined, docs.columns, {"spans": verified(text_or_empty(f"row.`{text}`"), F.col("kinds"))})

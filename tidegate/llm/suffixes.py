@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import same, sized, stored
+from tidegate.llm.common import renewed, same, sized, stored
 
 LENGTH = 100
 GRAM = 32
@@ -389,6 +389,7 @@ def dedup_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", len
         for texts, found in batches:
             yield pd.DataFrame([of(t, s) for t, s in zip(texts, found)], columns=list(extra))
 
-    here = same(F.col(f"`{doc_id}`").cast("long"), F.col("s_id")) & (h == F.col("s_h"))
-    joined = docs.drop(*extra).join(spans, here, "left").withColumn("_cut", cut(full, F.col("spans")))
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns if c not in extra], "_cut.*")
+    own = F.coalesce(F.col(f"row.`{text}`"), F.lit(""))
+    here = same(F.col(f"row.`{doc_id}`").cast("long"), F.col("s_id")) & ((F.lit(0) if one_each else F.xxhash64(own)) == F.col("s_h"))
+    joined = docs.select(F.struct("*").alias("row")).join(spans, here, "left").withColumn("cut", cut(own, F.col("spans")))
+    return renewed(joined, docs.columns, {c: F.col(f"cut.{c}") for c in extra})
