@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators.validate import validate
-from tidegate.plans.route import Settings
+from tidegate.operators import schema as S
+from tidegate.plans.route import Settings, observed_copy
 from tidegate.rules import Rule
 from tidegate.sources import files, streams
 from tidegate.streaming.job import StreamJob, active_streams, stop_stream
-from tidegate.streaming.progress import ProgressLog, progress_frame
+from tidegate.streaming.progress import ProgressLog, lag_of, progress_frame, totals
 from tidegate.tables.warehouse import Warehouse
 
 RULES = [
@@ -145,9 +146,8 @@ def test_start_stop_status(spark, job, tmp_path):
     src = tmp_path / "in"
     put(src, "1.json", {"transaction_id": "T1", "amount": 1})
     assert job.query is None and job.status()["status"] == "not_started"
-    log = ProgressLog()
-    spark.streams.addListener(log)
-    try:
+    log = ProgressLog(job.lake)
+    with log:
         job.start(streams.file_stream(spark, str(src), "src", SCHEMA), processing_time="1 second", name="live")
         with pytest.raises(RuntimeError):
             job.start(streams.file_stream(spark, str(src), "src", SCHEMA))
@@ -156,13 +156,39 @@ def test_start_stop_status(spark, job, tmp_path):
         assert progress_frame(spark, job.query).agg(F.sum("input_rows")).first()[0] == 1
         assert job.status()["last"]["batch_id"] >= 0
         assert stop_stream(spark, "live") and not stop_stream(spark, "nobody")
-        for _ in range(50):
-            if log.frame(spark).count():
-                break
-            time.sleep(0.1)
-        assert log.frame(spark).agg(F.max("input_rows")).first()[0] == 1
-    finally:
-        spark.streams.removeListener(log)
+        log.flush()
+        seen = totals(job.lake.read("stream_progress")).first()
+        assert (seen.query_name, seen.input_rows, seen.lag) == ("live", 1, None) and seen.batches >= 1
+
+
+def test_lag_from_offsets():
+    kafka = {"latestOffset": {"t": {"0": 15, "1": 7}}, "endOffset": {"t": {"0": 10, "1": 7}}}
+    files = {"latestOffset": None, "endOffset": {"logOffset": 3}}
+    assert lag_of([kafka, files]) == 5 and lag_of([files]) is None and lag_of([]) is None
+    assert lag_of([{"latestOffset": "12", "endOffset": "{\"a\": 9}"}]) == 3
+    assert lag_of([{"latestOffset": "None", "endOffset": "x"}]) is None
+
+
+def test_progress_beyond_what_the_query_holds(spark, lake, tmp_path):
+    for k in range(120):
+        put(tmp_path / "in", f"{k}.json", {"transaction_id": f"T{k}"})
+    stream = streams.file_stream(spark, str(tmp_path / "in"), "src", SCHEMA, max_files_per_trigger=1)
+    with ProgressLog(lake, every=7):
+        q = stream.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "k")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    seen = totals(lake.read("stream_progress")).first()
+    assert (seen.batches, seen.input_rows) == (120, 120) and len(q.recentProgress) <= 100
+
+
+def test_raw_batch_is_read_once(spark, tmp_path):
+    put(tmp_path / "in", "1.json", {"a": 1}, "{broken", {"a": 2, "b": {"c": "x"}})
+    reads = spark.sparkContext.accumulator(0)
+    raw = spark.read.text(str(tmp_path / "in"))
+    counted = raw.mapInPandas(lambda parts: (reads.add(len(p)) or p for p in parts), raw.schema)
+    with observed_copy(counted, shape=S.shape_of(F.col("value")), n=F.count(F.lit(1))) as (copy, seen):
+        assert S.schema_of_shape(seen["shape"]).simpleString() == "struct<a:bigint,b:struct<c:string>>"
+        assert copy.count() == seen["n"] == 3 and copy.filter("value LIKE '%broken'").count() == 1
+    assert reads.value == 3
 
 
 def test_uniqueness_is_refused_on_streams(spark, tmp_path):

@@ -11,9 +11,10 @@ from tidegate.operators.validate import validate
 from tidegate.plans.route import Settings
 from tidegate.rules.model import Rule
 from tidegate.session import shared_folder
-from tidegate.sources.streams import file_stream
+from tidegate.sources.streams import file_stream, text_stream
 from tidegate.streaming.job import StreamJob, stream_dedup
-from tidegate.streaming.progress import progress_frame
+from tidegate.streaming.progress import ProgressLog, totals
+from tidegate.tables.control import SchemaRegistry
 from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import Warehouse
 
@@ -126,8 +127,31 @@ def stream_window_counts(spark, d):
     return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
-@query("stream_progress", "SELECT count(*) AS input_rows FROM events")
+@query("stream_progress", "SELECT count(*) AS input_rows, true AS beyond_recent, true AS every_batch FROM events")
 def stream_progress(spark, d):
-    """Progress reports of a query as rows."""
-    _, q = _to_files(spark, _typed_stream(spark, d))
-    return progress_frame(spark, q).agg(F.sum("input_rows").alias("input_rows"))
+    """Progress of a query of more batches than Spark keeps reports of, from the table of reports."""
+    folder = shared_folder(spark)
+    table(spark, d, "events").select("event_id", "value").repartition(110, "event_id").write.parquet(folder)
+    lake = Lake(spark, shared_folder(spark))
+    with ProgressLog(lake):
+        stream = file_stream(spark, folder, "events", T.StructType.fromDDL("event_id BIGINT, value DOUBLE"), "parquet", max_files_per_trigger=1)
+        q = stream.writeStream.format("noop").option("checkpointLocation", shared_folder(spark)).trigger(availableNow=True).start()
+        q.awaitTermination()
+    seen = totals(lake.read("stream_progress"))
+    return seen.select("input_rows", (F.col("batches") > 100).alias("beyond_recent"), (F.col("batches") == q.lastProgress["batchId"] + 1).alias("every_batch"))
+
+
+@query("stream_new_field", """SELECT event_type, count(*) AS n, count(CASE WHEN event_id % 2 = 0 THEN 1 END) AS with_field, 2 AS versions FROM events GROUP BY 1""")
+def stream_new_field(spark, d):
+    """Raw JSON in which every second event has a field that the stored schema does not know: it is taken from the batch that brings it on."""
+    folder, lake = shared_folder(spark), Lake(spark, shared_folder(spark), buckets=16)
+    registry = SchemaRegistry(lake)
+    registry.create("events", T.StructType.fromDDL("event_id BIGINT, event_type STRING, value DOUBLE"), inferred=False)
+    extra = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("x"), F.col("user_id").cast("string"))).alias("extra")
+    table(spark, d, "events").select(F.to_json(F.struct("event_id", "event_type", "value", extra))).write.text(folder)
+    job = StreamJob(lake, RULES[:1], "events", shared_folder(spark), settings=_SETTINGS, max_consecutive_failures=1, raw_column="value")
+    job.start(text_stream(spark, folder, "events", 1000), available_now=True)
+    job.query.awaitTermination()
+    kind, field = (F.get_json_object("data", f"$.{c}") for c in ("event_type", "extra"))
+    rows = Warehouse(lake).current().groupBy(kind.alias("event_type")).agg(F.count(F.lit(1)).alias("n"), F.count(field).alias("with_field"))
+    return rows.withColumn("versions", F.lit(registry.active("events").version))

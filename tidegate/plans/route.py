@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidegate.functions.payload import RECORD_ID_COLUMNS, record_id as record_id_of
@@ -80,6 +80,19 @@ def staged(validated: DataFrame) -> Iterator[DataFrame]:
         delete_path(spark, folder)
 
 
+@contextmanager
+def observed_copy(df: DataFrame, **metrics: Column) -> Iterator[tuple[DataFrame, dict]]:
+    """The rows, written once to the shared folder, and aggregates of them that were gathered while they were written: the source
+    is read once."""
+    spark, seen = df.sparkSession, Observation()
+    folder = shared_folder(spark)
+    df.observe(seen, *[m.alias(name) for name, m in metrics.items()]).write.parquet(folder)
+    try:
+        yield spark.read.schema(df.schema).parquet(folder), seen.get
+    finally:
+        delete_path(spark, folder)
+
+
 @dataclass(frozen=True)
 class Counts:
     total: int

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.plans.route import Settings, judge, staged, write_sinks
+from tidegate.operators import schema as S
+from tidegate.plans.route import Settings, judge, observed_copy, staged, write_sinks
 from tidegate.rules.model import Rule, check_rules
 from tidegate.sources.files import parse_objects, with_corrupt_column
 from tidegate.streaming.alerts import range_alerts
@@ -93,13 +94,17 @@ class StreamJob:
         return f"{self.source_id}-{epoch:012d}"
 
     def _write(self, lake: Lake, batch: DataFrame, epoch: int):
-        batch_id = self._batch_id(epoch)
         data = batch.drop("source_id")
-        if self.raw_column:
-            if watch_schema(lake, self.source_id, data, self.raw_column, batch_id):
+        if not self.raw_column:
+            return self._route(lake, data, epoch)
+        with observed_copy(data, shape=S.shape_of(F.col(self.raw_column))) as (raw, seen):
+            if watch_schema(lake, self.source_id, S.schema_of_shape(seen["shape"]), self._batch_id(epoch)):
                 # parsing is per batch, so new fields count from the batch that brings them
                 self.schema = SchemaRegistry(lake).get(self.source_id) or self.schema
-            data = parse_objects(data, self.raw_column, with_corrupt_column(self.schema))
+            return self._route(lake, parse_objects(raw, self.raw_column, with_corrupt_column(self.schema)), epoch)
+
+    def _route(self, lake: Lake, data: DataFrame, epoch: int):
+        batch_id = self._batch_id(epoch)
         with staged(judge(data, self.rules, self.settings)) as rows:
             # A stream only appends; folding into the base is a separate, rarer step.
             counts = write_sinks(

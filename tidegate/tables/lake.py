@@ -30,6 +30,8 @@ SCHEMAS = {
     "run_log": """batch_id STRING, source_id STRING, mode STRING, status STRING, total BIGINT, valid BIGINT,
         invalid BIGINT, duplicates BIGINT, seconds DOUBLE, started_at TIMESTAMP, error STRING, component STRING,
         attempt INT""",
+    "stream_progress": """query_id STRING, run_id STRING, query_name STRING, batch_id BIGINT, at TIMESTAMP, input_rows BIGINT,
+        input_rate DOUBLE, processing_rate DOUBLE, trigger_ms BIGINT, backpressure BOOLEAN, lag BIGINT, day STRING""",
     "lake_setting": "name STRING, value BIGINT",
     "alert": """record_id STRING, source_id STRING, rule_name STRING, message STRING, raised_at TIMESTAMP,
         batch_id STRING""",
@@ -41,6 +43,7 @@ PARTITIONS = {
     "quarantine_record": ["source_id", "batch_id"],
     "audit_log": ["month", "batch_id"],
     "alert": ["batch_id"],
+    "stream_progress": ["day"],
 }
 
 # Point lookups by record skip row groups with a Bloom filter sized to what a file holds.
