@@ -10,10 +10,10 @@ from tidegate.plans.batch import load
 from tidegate.plans.retention import expire_audit, expire_quarantine
 from tidegate.plans.route import Settings
 from tidegate.rules import Rule
-from tidegate.session import path_exists
+from tidegate.session import folder_bytes, path_exists
 from tidegate.tables.control import RuleTable, SchemaRegistry, SourceRegistry
 from tidegate.tables.lake import Lake
-from tidegate.tables.warehouse import Warehouse, jdbc_merge_sql, merge_rows, warehouse_rows
+from tidegate.tables.warehouse import Warehouse, _power, bucket_of, jdbc_merge_sql, merge_rows, split_from, warehouse_rows
 
 RULES = [
     Rule("transaction_id_required", "required_field", "transaction_id"),
@@ -182,15 +182,47 @@ def test_interrupted_fold_is_finished(spark, lake, monkeypatch):
 
 
 def test_bucket_count_is_fixed_by_the_first_fold(spark, lake):
-    Warehouse(lake).upsert(rows(spark, [(f"k{i}", i) for i in range(50)]), "b0", 0)
+    Warehouse(lake).upsert(rows(spark, [(f"k{i}", i) for i in range(50)]), "b0", 0, fold=True)
     other = Lake(spark, lake.root, buckets=7)
-    Warehouse(other).upsert(rows(spark, [(f"k{i}", i + 1) for i in range(50)]), "b1", 1)
+    Warehouse(other).upsert(rows(spark, [(f"k{i}", i + 1) for i in range(50)]), "b1", 1, fold=True)
     assert Warehouse(other).current().count() == 50 and other.bucket_count() == 4
 
 
+def test_split_addresses():
+    for before in range(1, 40):
+        for after in range(before, 70):
+            for h in range(200):
+                place = lambda n: h % _power(n) if h % _power(n) < n else h % _power(n) - _power(n) // 2
+                assert split_from(place(after), before) == place(before)
+
+
+def test_buckets_split_as_the_table_grows(spark, lake, monkeypatch):
+    lake.buckets, lake.bucket_bytes = 1, 1 << 30
+    w = Warehouse(lake)
+    w.upsert(rows(spark, [(f"k{i}", i) for i in range(300)]), "b0", 0, fold=True)
+    assert {r.bucket for r in w.base().select("bucket").collect()} == {0}
+    lake.bucket_bytes = folder_bytes(spark, lake.path("warehouse_data")) // 5
+    real = Warehouse.recover
+    monkeypatch.setattr(Warehouse, "recover", lambda self: False)  # dies between staging and replacing
+    with pytest.raises(RuntimeError):
+        w.upsert(rows(spark, [("k1", -1)], "b"), "b1", 1, fold=True)
+    monkeypatch.setattr(Warehouse, "recover", real)
+    assert Warehouse(lake).current().count() == 300 and lake.bucket_count() == 1
+    w.upsert(rows(spark, [("one", 1)]), "b2", 2, fold=True)
+    n = lake.bucket_count()
+    assert n > 4 and w.base().count() == 301 == w.current().count()
+    assert w.base().filter(bucket_of(F.col("record_id"), n) != F.col("bucket")).count() == 0
+    # a bucket that loses its only row does not keep it
+    few = Lake(spark, lake.root + "2", buckets=1)
+    Warehouse(few).upsert(rows(spark, [("x", 1)]), "b0", 0, fold=True)
+    few.bucket_bytes = 100
+    Warehouse(few).upsert(rows(spark, [("y", 1)]), "b1", 1, fold=True)
+    assert Warehouse(few).base().count() == 2 and few.bucket_count() > 10
+
+
 def test_small_batches_do_not_rewrite_a_large_table(spark, lake):
     w = Warehouse(lake)
-    w.upsert(rows(spark, [(f"k{i}", i) for i in range(3000)]), "b0", 0)
+    w.upsert(rows(spark, [(f"k{i}", i) for i in range(3000)]), "b0", 0, fold=True)
     assert w.base().count() == 3000 and w.log().count() == 0
     w.upsert(rows(spark, [("k1", -1)]), "b1", 1)
     assert w.log().count() == 1 and w.current().filter("record_id = 'k1'").first().data == '{"v":-1}'
@@ -211,7 +243,7 @@ def test_batch_ids_are_checked(spark, lake):
 def test_fold_shuffles_wide_rows_once(spark, lake):
     """The fold of one batch moves rows once, by bucket."""
     w = Warehouse(lake)
-    w.upsert(rows(spark, [("a", 1)]), "b0", 0)
+    w.upsert(rows(spark, [("a", 1)]), "b0", 0, fold=True)
     seen = []
     real = Lake.shaped
 

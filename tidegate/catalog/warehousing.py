@@ -10,7 +10,7 @@ from tidegate.operators import dedup, metrics
 from tidegate.operators.validate import validate
 from tidegate.plans.batch import load
 from tidegate.plans.route import Settings
-from tidegate.session import shared_folder
+from tidegate.session import folder_bytes, shared_folder
 from tidegate.sources import files, streams
 from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import Warehouse, bucket_of, merge_rows, warehouse_rows
@@ -119,10 +119,27 @@ def upsert_duplicates_in_batch(spark, d):
     return warehouse.current().select("record_id", F.col("processed_at").cast("timestamp_ntz").alias("shipped"))
 
 
-@query("upsert_buckets")
+@query("upsert_buckets", MERGE + """SELECT state, records, records AS distinct_records, CAST(0 AS BIGINT) AS misplaced, true AS even, true AS grown FROM
+  (SELECT 'before' AS state, count(*) AS records FROM stored UNION ALL SELECT 'after', count(*) FROM merged)""")
 def upsert_buckets(spark, d):
-    """How evenly keys spread over the table's buckets (the hash has no SQL twin)."""
-    return _stored(spark, d).groupBy(bucket_of(F.col("record_id"), 16).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    """Buckets before and after the table outgrows them: every record is in the bucket its hash names, none holds over twice its share
+    (and 200), and the second fold has split some."""
+    lake = Lake(spark, shared_folder(spark), buckets=3, bucket_bytes=1 << 30)
+    warehouse, out, counts = Warehouse(lake), [], []
+    for seq, (state, rows) in enumerate((("before", _stored(spark, d)), ("after", _incoming(spark, d)))):
+        warehouse.upsert(rows, f"b{seq}", seq, fold=True)
+        n = lake.bucket_count()
+        counts.append(n)
+        own = warehouse.base().groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("n"), F.count_distinct("record_id").alias("d"), F.count_if(bucket_of(F.col("record_id"), n) != F.col("bucket")).alias("off"))
+        whole = own.agg(F.sum("n").alias("records"), F.sum("d").alias("distinct_records"), F.sum("off").alias("misplaced"), F.max("n").alias("most"))
+        # a bucket that has not been split yet holds twice as much as one that has
+        even = (F.col("most") <= 4 * F.col("records") / n + 200).alias("even")
+        kept = shared_folder(spark)  # as the table is at this point
+        whole.select(F.lit(state).alias("state"), "records", "distinct_records", "misplaced", even).write.parquet(kept)
+        out.append(spark.read.parquet(kept))
+        lake.bucket_bytes = max(1, folder_bytes(spark, lake.path("warehouse_data")) // 6)
+    return out[0].unionByName(out[1]).withColumn("grown", F.lit(counts[0] == 3 and counts[1] > 5))
 
 
 def _load_dirty(spark, d, **options):

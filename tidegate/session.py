@@ -54,6 +54,21 @@ def has_data(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p))
 
 
+def folders_of(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    p, fs = _path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Gives a folder another place in the same store."""
+    p, fs = _path(spark, path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(p, target):
+        raise RuntimeError(f"{path} was not moved to {to}")
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     p, fs = _path(spark, path)
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0

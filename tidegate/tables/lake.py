@@ -53,6 +53,10 @@ LOOKUP_COLUMNS = {"warehouse_data": "record_id", "quarantine_record": "record_id
 KEYS = {"data_source": ["source_id"], "validation_rule": ["rule_id"], "schema_version": ["source_id", "version"]}
 
 
+#: Stored bytes of a warehouse bucket, which is rewritten by one task.
+BUCKET_BYTES = 256 << 20
+
+
 @cache
 def table_schema(name: str) -> T.StructType:
     return T.StructType.fromDDL(SCHEMAS[name])
@@ -61,11 +65,12 @@ def table_schema(name: str) -> T.StructType:
 class Lake:
     """Reads and writes the tables below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, bucket_bytes: int = BUCKET_BYTES):
+        """The warehouse table starts with ``buckets`` buckets; each fold adds as many as keep them at ``bucket_bytes`` on average."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
-        self._bucket_count: int | None = None
+        self.bucket_bytes = bucket_bytes
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -98,17 +103,13 @@ class Lake:
         return writer.partitionBy(*PARTITIONS[name]) if name in PARTITIONS else writer
 
     def bucket_count(self) -> int:
-        """Buckets of the warehouse table: fixed by its first fold, whatever is asked for later.
-
-        Choose ``buckets`` so that one bucket of the full table is a few hundred MB to a few
-        GB; a bucket is rewritten and sorted by one task.
-        """
-        if self._bucket_count is not None:
-            return self._bucket_count
-        if not self.has("lake_setting"):
-            self.append(self.spark.createDataFrame([("buckets", self.buckets)], SCHEMAS["lake_setting"]).coalesce(1), "lake_setting")
-        self._bucket_count = self.read("lake_setting").filter("name = 'buckets'").agg(F.min("value")).first()[0]
-        return self._bucket_count
+        """Buckets of the warehouse table.  Its folds write the number down, and it only grows."""
+        counts = self.read("lake_setting").filter("name = 'buckets'").agg(F.max("value")).first()[0]
+        return counts or self.buckets
+
+    def set_bucket_count(self, buckets: int) -> None:
+        row = self.spark.range(0, 1, 1, 1).select(F.lit("buckets").alias("name"), F.lit(buckets).cast("bigint").alias("value"))
+        self.append(row, "lake_setting")
 
     # -- control tables --------------------------------------------------------------
     def current(self, name: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 A batch is appended to a log partition of its own, so the cost of a write follows the batch
 and not the table; this is what a stream needs.  ``compact`` folds the log into the base,
-which is partitioned by a hash of the key, and rewrites only buckets that changed.  ``upsert``
+which is partitioned by a hash of the key, and rewrites only buckets that changed.  The number of buckets grows with the
+table by linear hashing: a new bucket takes its rows from one old bucket, and no other is touched.  ``upsert``
 appends and folds when the log has become a tenth of the base.  ``current`` is the table as readers should see it.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.payload import checksum, data_columns, payload, record_id as record_id_of
-from tidegate.session import delete_path, folder_bytes, has_data, path_exists, write_marker
+from tidegate.session import delete_path, folder_bytes, folders_of, has_data, path_exists, write_marker
 from tidegate.tables.lake import Lake
 
 _ROW = ("record_id", "source_id", "data", "schema_version_id", "processed_at", "checksum")
@@ -30,7 +31,21 @@ def check_batch_id(batch_id: str) -> str:
 
 
 def bucket_of(key: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    """Linear hashing: the place in the next power of two, or, if there is no such bucket yet, in the power of two before."""
+    whole = _power(buckets)
+    place = F.pmod(F.xxhash64(key), F.lit(whole)).cast("int")
+    return F.when(place < buckets, place).otherwise(place - whole // 2).cast("int")
+
+
+def _power(buckets: int) -> int:
+    return 1 << (buckets - 1).bit_length()
+
+
+def split_from(bucket: int, buckets: int) -> int:
+    """The one of ``buckets`` buckets that a new bucket takes its rows from."""
+    while bucket >= buckets:
+        bucket -= _power(bucket + 1) // 2
+    return bucket
 
 
 def warehouse_rows(
@@ -94,6 +109,8 @@ class Warehouse:
         if not has_data(self.spark, self.lake.path("warehouse_log")):
             return base
         log = self.log().select(*_ROW, "batch_seq", "batch_id")
+        if len(folders_of(self.spark, self.lake.path("warehouse_log"))) == 1 and not self.lake.has("warehouse_data"):
+            return log.select(*_ROW)  # one batch holds each record once
         both = base.withColumns({"batch_seq": F.lit(-1).cast("bigint"), "batch_id": F.lit("")}).unionByName(log)
         return last_per_key(both, F.struct("batch_seq", "batch_id"))
 
@@ -120,14 +137,15 @@ class Warehouse:
         folder = f"{self.lake.path('warehouse_log')}/batch_id={batch_id}"
         return self.spark.read.parquet(folder).count() if count and path_exists(self.spark, folder) else 0
 
-    def fold_is_due(self, share: float = 0.1) -> bool:
-        """Whether the log has grown to this share of the base.
+    def fold_is_due(self, share: float = 0.1, batches: int = 16) -> bool:
+        """Whether the log has grown to this share of the base, or to this many batches.
 
         Folding then keeps the bytes rewritten per byte loaded bounded (by 1 / share), however
-        large the table and however small the batches.
+        large the table and however small the batches, and the log a reader has to settle small.  The first batches of a table
+        wait for each other.
         """
         log, base = (folder_bytes(self.spark, self.lake.path(n)) for n in ("warehouse_log", "warehouse_data"))
-        return log >= share * base
+        return base > 0 and log >= share * base or len(folders_of(self.spark, self.lake.path("warehouse_log"))) >= batches
 
     def upsert(
         self, rows: DataFrame, batch_id: str, batch_seq: int | None = None, order: Column | None = None, fold: bool | None = None
@@ -155,14 +173,20 @@ class Warehouse:
         log_path = self.lake.path("warehouse_log")
         if not has_data(self.spark, log_path):
             return 0
-        folded = [r.batch_id for r in self.log().select("batch_id").distinct().collect()]  # partition names
-        buckets = self.lake.bucket_count()
+        folded = [f.removeprefix("batch_id=") for f in folders_of(self.spark, log_path) if f.startswith("batch_id=")]
+        before = self.lake.bucket_count()
+        bytes_now = sum(folder_bytes(self.spark, self.lake.path(n)) for n in ("warehouse_log", "warehouse_data"))
+        buckets = max(before, -(-bytes_now // self.lake.bucket_bytes))
         log = self.log().filter(F.col("batch_id").isin(folded))
         # a single batch holds each record once already
         latest = log.select(*_ROW) if len(folded) == 1 else last_per_key(log, F.struct("batch_seq", "batch_id"))
         incoming = latest.withColumn("bucket", bucket_of(F.col("record_id"), buckets))
-        touched = [r.bucket for r in incoming.select("bucket").distinct().collect()]  # at most `buckets` numbers
-        existing = self.lake.read("warehouse_data").filter(F.col("bucket").isin(touched))
+        # at most `buckets` numbers: those with news, and those that are split and what comes of them
+        touched = {r.bucket for r in incoming.select("bucket").distinct().collect()} | set(range(before, buckets))
+        touched |= {split_from(b, before) for b in touched}
+        existing = self.lake.read("warehouse_data").filter(F.col("bucket").isin(sorted(touched)))
+        if buckets > before:
+            existing = existing.withColumn("bucket", bucket_of(F.col("record_id"), buckets))
         both = existing.select(*_ROW, "bucket", F.lit(0).alias("_new")).unionByName(incoming.select(*_ROW, "bucket", F.lit(1).alias("_new")))
         # One shuffle, by bucket: it serves the merge and leaves one file per bucket.  A
         # record has at most two rows here and keys hash evenly, so buckets are even too.
@@ -173,6 +197,8 @@ class Warehouse:
         out = merged.select("record_id", "source_id", *[F.col("_row").getField(c).alias(c) for c in _REPLACED], "bucket")
         delete_path(self.spark, self._complete)
         self.lake.shaped(out, "warehouse_data").write.mode("overwrite").partitionBy("bucket").parquet(self._staging)
+        plan = self.spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"), F.array(*map(F.lit, sorted(touched))).alias("touched"))
+        plan.write.mode("overwrite").parquet(f"{self._staging}_plan")
         write_marker(self.spark, self._complete)
         if not self.recover():
             raise RuntimeError("the fold was not applied; the log is kept")
@@ -189,8 +215,15 @@ class Warehouse:
         """Apply a complete staging copy, if a fold left one behind; whether there was one."""
         if not path_exists(self.spark, self._complete):
             return False
+        plan = self.spark.read.parquet(f"{self._staging}_plan").first()
         if has_data(self.spark, self._staging):
             self.lake.replace_partitions(self.spark.read.schema(self.lake.read("warehouse_data").schema).parquet(self._staging), "warehouse_data")
+            # a split can leave nothing in a bucket
+            filled = {int(f.removeprefix("bucket=")) for f in folders_of(self.spark, self._staging) if f.startswith("bucket=")}
+            for bucket in set(plan.touched) - filled:
+                delete_path(self.spark, f"{self.lake.path('warehouse_data')}/bucket={bucket}")
+        if plan.buckets != self.lake.bucket_count() or not self.lake.has("lake_setting"):
+            self.lake.set_bucket_count(plan.buckets)
         delete_path(self.spark, self._complete)
         delete_path(self.spark, self._staging)
         return True
