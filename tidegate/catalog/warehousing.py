@@ -47,7 +47,7 @@ def checksum_of_records(spark, d):
 
 @query("warehouse_rows", MERGE + "SELECT record_id, source_id, data, md5(data) AS checksum, CAST(2 AS BIGINT) AS schema_version_id FROM incoming")
 def warehouse_layout(spark, d):
-    return _incoming(spark, d).drop("processed_at")
+    return _incoming(spark, d).drop("processed_at", "order_key")
 
 
 @query("change_detection", MERGE + """SELECT i.record_id, CASE WHEN s.record_id IS NULL THEN 'insert' WHEN s.data = i.data THEN 'unchanged' ELSE 'update' END AS change

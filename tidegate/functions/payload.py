@@ -15,7 +15,7 @@ RECORD_ID_COLUMNS = ("transaction_id", "record_id")
 DEDUP_KEY_COLUMNS = ("transaction_id", "record_id", "id")
 
 # Columns the library adds to a frame; everything else is data.
-HELPER_COLUMNS = frozenset({"_raw", "_v", "_copies", "_rid", "_good", "_corrupt_record", "_before_dates", "_before_trim"})
+HELPER_COLUMNS = frozenset({"_raw", "_v", "_copies", "_rid", "_good", "_corrupt_record", "_before_dates", "_before_trim", "_n", "_content", "_version"})
 HELPER_PREFIXES = ("_f_", "_t_", "_in_", "_null_", "_dup_", "_uk_", "_us_", "_q_")
 
 _KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -40,10 +40,13 @@ def payload(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
 
 
 def raw_payload(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
-    """The record as it arrived: coerced columns go back to their original values."""
+    """The record as it arrived: trimmed, reformatted and coerced columns go back to their original values."""
     cols = list(columns) if columns is not None else data_columns(df)
-    raw = set(df.schema["_raw"].dataType.names) if "_raw" in df.columns else set()
-    parts = [(F.col("_raw").getField(c) if c in raw else quoted(c)).alias(c) for c in cols]
+    arrived = {}
+    for step in ("_raw", "_before_dates", "_before_trim"):  # the first step on a value is the last one here
+        if step in df.columns:
+            arrived |= {c: F.col(step).getField(c) for c in df.schema[step].dataType.names}
+    parts = [arrived.get(c, quoted(c)).alias(c) for c in cols]
     if "_corrupt_record" in df.columns:
         packed = F.to_json(F.struct(*parts, quoted("_corrupt_record").alias("_corrupt_record")), _KEEP_NULLS)
         plain = F.to_json(F.struct(*parts), _KEEP_NULLS) if parts else F.lit("{}")

@@ -49,6 +49,40 @@ def dedup_latest(df: DataFrame, keys: str | Iterable[str], order_by: Iterable[st
     )
 
 
+def losers(rows: DataFrame, keys: str | Iterable[str], order_by: Iterable[str] = (), row: str = "_n", content: str = "_content") -> DataFrame:
+    """(row number, ``_win``, ``_differs``): the rows that are not the newest of their key, each with the number of the row that is
+    and whether it says something else.
+
+    ``row`` numbers the rows, ``content`` is a hash of each.  Only keys, order, hash and number are shuffled, and combined map-side;
+    wide rows stay where they are, and the join of a hot key can be split, as each key has one newest row.  Rows with a null key never lose.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    known = F.lit(True)
+    for k in keys:
+        known = known & quoted(k).isNotNull()
+    key = F.struct(*[quoted(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    order = F.struct(*[quoted(c).alias(f"o{i}") for i, c in enumerate(order_by)], F.col(content).alias("content"), F.col(row).alias("row"))
+    narrow = rows.filter(known).select(key.alias("_key"), order.alias("_order"))
+    best = narrow.groupBy("_key").agg(F.max("_order").alias("_best"), F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    behind = narrow.join(best.select("_key", "_best"), "_key").filter("_order.row <> _best.row")
+    return behind.select(F.col("_order.row").alias(row), F.col("_best.row").alias("_win"), (F.col("_order.content") != F.col("_best.content")).alias("_differs"))
+
+
+def duplicate_rows(rows: DataFrame, lost: DataFrame, value: Column, record_id: Column, row: str = "_n") -> DataFrame:
+    """(record_id, lost_data, kept_data, copies, differs): what ``losers`` lost, equal values counted, beside what was kept."""
+    values = rows.select(row, record_id.alias("record_id"), value.alias("data"))
+    counted = lost.join(values, row).groupBy("_win", "record_id", F.col("data").alias("lost_data"), F.col("_differs").alias("differs")).agg(F.count(F.lit(1)).alias("copies"))
+    kept = values.select(F.col(row).alias("_win"), F.col("data").alias("kept_data"))
+    return counted.join(kept, "_win").select("record_id", "lost_data", "kept_data", "copies", "differs")
+
+
+def report_of(log: DataFrame) -> DataFrame:
+    """The duplicate report of a log of lost rows: per record its copies, how many different values, and the kept one."""
+    return log.groupBy("source_id", "batch_id", "record_id", F.col("kept_data").alias("kept_value")).agg(
+        (F.sum("copies") + 1).alias("copies"), (F.count_if("differs") + 1).alias("distinct_values")
+    )
+
+
 def dedup_any(df: DataFrame, key: str | None = None, copies: str = "_copies") -> DataFrame:
     """One row per record id (whichever id column exists); without one nothing changes."""
     key = key or dedup_key(df)

@@ -7,17 +7,17 @@ from collections.abc import Iterable
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators import schema as S
 from tidegate.operators.clean import fit_columns
 from tidegate.operators.validate import CORRUPT
-from tidegate.plans.route import Settings, judge, staged, write_sinks
+from tidegate.plans.route import Settings, judge, judge_all, merge_keys, settled, write_sinks
 from tidegate.rules.model import Rule, check_rules
 from tidegate.sources.files import read
-from tidegate.tables.control import SchemaRegistry
+from tidegate.tables.control import SchemaRegistry, SourceRegistry
 from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import check_batch_id
 
@@ -71,7 +71,12 @@ def load(
     checked = check_rules(rules)
     spark = lake.spark
     started, clock = datetime.now(), time.monotonic()
-    batch_id = check_batch_id(batch_id or f"{source_id}-{time.time_ns() // 1000}")
+    batch_id = check_batch_id(batch_id or f"{source_id}-{input_id(spark, path) if path is not None else time.time_ns() // 1000}")
+    source = SourceRegistry(lake).find(source_id)
+    if source is not None and not source.enabled:
+        raise ValueError(f"The source '{source_id}' is disabled")
+    if source is not None and source.source_type == "csv_file" and file_format.lower() == "csv":
+        read_options = {k: v for k, v in (source.connection_info or {}).items() if k in ("delimiter", "header", "encoding")} | read_options
     if df is None:
         if path is None:
             raise ValueError("give a path or a frame")
@@ -91,13 +96,13 @@ def load(
     if known is not None and (apply_schema if apply_schema is not None else by_hand):
         checked = checked + schema_rules(known, checked)
 
-    validated = judge(df, checked, settings)
     if dry_run:
-        return {"batch_id": batch_id, **dry_run_summary(validated, checked), "seconds": time.monotonic() - clock}
+        return {"batch_id": batch_id, **dry_run_summary(judge(df, checked, settings), checked), "seconds": time.monotonic() - clock}
+    log_decisions(lake, source_id, batch_id, notes, known)
     try:
-        with staged(validated) as rows:
+        with settled(judge_all(df, checked, settings), merge_keys(df, settings), settings.latest_by) as batch:
             counts = write_sinks(
-                lake, rows, checked, source_id, batch_id, settings=settings, schema_version_id=schema_id
+                lake, batch, checked, source_id, batch_id, settings=settings, schema_version_id=schema_id
             )
     except Exception as e:
         lake.log_run(batch_id=batch_id, source_id=source_id, mode="batch", status="failure", started_at=started,
@@ -120,6 +125,27 @@ def load(
     }
 
 
+def input_id(spark: SparkSession, path: str) -> str:
+    """A name for the files at a path as they are now: loading the same files again replaces what they wrote before.
+
+    Spark lists the files; their contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    whole = F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))
+    n, total = files.agg(F.count(F.lit(1)), F.coalesce(whole, F.lit(0))).first()
+    return f"{n}-{int(total) % (1 << 64):016x}"
+
+
+def log_decisions(lake: Lake, source_id: str, batch_id: str, notes: list[str], schema: T.StructType | None) -> None:
+    """What was decided on columns that the schema does not know, in the run log; an alert for each column whose type is in doubt."""
+    for note in notes:
+        lake.log_run(batch_id=batch_id, source_id=source_id, mode="batch", status="schema_decision", error=note, started_at=datetime.now(), component="schema", attempt=1)
+    doubtful = S.needs_review(schema) if schema is not None else []
+    if doubtful:
+        rows = [(None, source_id, "type_review", f"The type of '{c}' is in doubt: loaded as text", batch_id) for c in doubtful]
+        alerts = lake.spark.createDataFrame(rows, "record_id STRING, source_id STRING, rule_name STRING, message STRING, batch_id STRING").coalesce(1)
+        lake.replace_partitions(alerts.withColumn("raised_at", F.current_timestamp()), "alert")
+
+
 def _settle_schema(
     registry: SchemaRegistry, row: T.Row | None, source_id: str, df: DataFrame, given: T.StructType | None, evolve: bool, fraction: float
 ):

@@ -7,21 +7,19 @@ from collections.abc import Iterable
 from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions.payload import record_id as record_id_of
 from tidegate.operators import lineage, quarantine
 from tidegate.operators.schema import schema_from_json
-from tidegate.operators.validate import validate
-from tidegate.plans.route import Settings, staged
+from tidegate.plans.route import Counts, Settings, judge_all, settled
 from tidegate.rules.model import Rule, check_rules
 from tidegate.sources.files import parse_objects, with_corrupt_column
 from tidegate.sources.streams import text_schema
 from tidegate.tables.control import SchemaRegistry
 from tidegate.tables.lake import Lake
-from tidegate.tables.warehouse import Warehouse, warehouse_rows
+from tidegate.tables.warehouse import Warehouse, order_key, warehouse_rows
 
 
 def quarantined_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
@@ -31,11 +29,8 @@ def quarantined_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def revalidate(rows: DataFrame, schema: T.StructType, rules: Iterable[Rule], settings: Settings = Settings()) -> DataFrame:
-    records = quarantined_records(rows, schema)
-    records = records.withColumns({"_rid": record_id_of(records, settings.id_columns), "_copies": F.lit(1).cast("bigint")})
-    return validate(
-        records, rules, review_threshold=settings.review_threshold, reject_all_null=settings.reject_all_null, key=F.col("_rid")
-    )
+    """Quarantined rows judged as a load judges them."""
+    return judge_all(quarantined_records(rows, schema), rules, settings)
 
 
 def view(lake: Lake) -> DataFrame:
@@ -44,9 +39,10 @@ def view(lake: Lake) -> DataFrame:
 
 def mark(lake: Lake, event: str, rows: DataFrame) -> int:
     """Record an event for rows of the view and return how many there were."""
-    targets = quarantine.event_rows(rows, event)
-    lake.append(targets, "quarantine_event")
-    return rows.count()
+    seen = Observation()
+    targets = quarantine.event_rows(rows, event).withColumn("event_batch", F.lit(f"{event}-{time.time_ns() // 1000}"))
+    lake.replace_partitions(targets.observe(seen, F.count(F.lit(1)).alias("n")), "quarantine_event")
+    return seen.get["n"]
 
 
 def reprocess(
@@ -70,22 +66,41 @@ def reprocess(
         schema = schema_from_json(stored.schema_definition)
     batch_id = batch_id or f"reprocess-{time.time_ns() // 1000}"
     rows = quarantine.fetch(view(lake), source_id, record_ids, error_types, limit)
-    with staged(revalidate(rows, text_schema(schema), checked, settings)) as judged:
-        totals = judged.agg(F.count(F.lit(1)).alias("n"), F.count_if("_good").alias("ok")).first()
-        if totals.ok:
-            good = judged.filter("_good").drop("_good", "_corrupt_record")
-            version, at = stored.schema_id if stored else None, F.current_timestamp()
-            Warehouse(lake).upsert(warehouse_rows(good, source_id, version, record_id=F.col("_rid")), batch_id)
-            trail = lineage.write_events(good, version, record_id=F.col("_rid"), source_id=F.lit(source_id), created_at=at)
-            lake.replace_partitions(lineage.stored_form(trail, batch_id), "audit_log")
-            done = good.select(*[F.col(f"_q_{c}").alias(c) for c in quarantine.ROW_KEY])
-            lake.append(quarantine.event_rows(done, "reprocessed"), "quarantine_event")
+    fields = {"batch_id": batch_id, "source_id": source_id, "mode": "reprocess", "started_at": started, "component": "reprocess", "attempt": 1}
+    try:
+        counts = _reprocess(lake, rows, schema, stored.schema_id if stored else None, checked, source_id, batch_id, settings)
+    except Exception as e:
+        lake.log_run(**fields, status="failure", error=str(e), seconds=time.monotonic() - clock)
+        raise
     seconds = time.monotonic() - clock
-    lake.log_run(batch_id=batch_id, source_id=source_id, mode="reprocess", status="success", total=totals.n, valid=totals.ok,
-                 invalid=totals.n - totals.ok, duplicates=0, seconds=seconds, started_at=started, component="reprocess", attempt=1)
+    lake.log_run(**fields, status="success", total=counts.total, valid=counts.valid, invalid=counts.invalid, duplicates=counts.duplicates, seconds=seconds)
     return {
-        "total_reprocessed": totals.n,
-        "success_count": totals.ok,
-        "failed_count": totals.n - totals.ok,
+        "total_reprocessed": counts.total,
+        "success_count": counts.valid + counts.duplicates,
+        "failed_count": counts.invalid,
+        "duplicate_count": counts.duplicates,
         "duration_seconds": seconds,
     }
+
+
+def _reprocess(
+    lake: Lake, rows: DataFrame, schema: T.StructType, version: int | None, rules: list[Rule], source_id: str, batch_id: str, settings: Settings
+) -> Counts:
+    """All rows that pass are done; of several with one id the newest is loaded, and only if the warehouse has none that is newer."""
+    judged = revalidate(rows, text_schema(schema), rules, settings)
+    by = [c for c in settings.latest_by if c in judged.columns]
+    judged = judged.withColumn("_version", order_key(judged, by, schema))
+    with settled(judged, [["_rid"]], ["_version"]) as batch:
+        if batch.counts.valid:
+            good, at = batch.good.drop("_corrupt_record"), F.current_timestamp()
+            packed = warehouse_rows(
+                good, source_id, version, record_id=F.col("_rid"), order=F.col("_version")
+            )
+            Warehouse(lake).append(packed, batch_id, unique=True, count=False)
+            trail = lineage.write_events(good, version, record_id=F.col("_rid"), source_id=F.lit(source_id), created_at=at)
+            lake.replace_partitions(lineage.stored_form(trail, batch_id), "audit_log")
+            done = batch.valid.select(*[F.col(f"_q_{c}").alias(c) for c in quarantine.ROW_KEY])
+            lake.replace_partitions(quarantine.event_rows(done, "reprocessed").withColumn("event_batch", F.lit(batch_id)), "quarantine_event")
+            if Warehouse(lake).fold_is_due():
+                Warehouse(lake).compact()
+        return batch.counts

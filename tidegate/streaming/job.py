@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.operators import schema as S
-from tidegate.plans.route import Settings, judge, observed_copy, staged, write_sinks
+from tidegate.plans.route import Settings, judge_all, merge_keys, observed_copy, settled, write_sinks
 from tidegate.rules.model import Rule, check_rules
 from tidegate.sources.files import parse_objects, with_corrupt_column
 from tidegate.streaming.alerts import range_alerts
@@ -105,14 +105,14 @@ class StreamJob:
 
     def _route(self, lake: Lake, data: DataFrame, epoch: int):
         batch_id = self._batch_id(epoch)
-        with staged(judge(data, self.rules, self.settings)) as rows:
+        with settled(judge_all(data, self.rules, self.settings), merge_keys(data, self.settings), self.settings.latest_by) as rows:
             # A stream only appends; folding into the base is a separate, rarer step.
             counts = write_sinks(
                 lake, rows, self.rules, self.source_id, batch_id, settings=self.settings,
                 schema_version_id=self.schema_version_id, compact=False,
             )
             if self.alerts and counts.invalid:
-                lake.replace_partitions(range_alerts(rows, self.rules, self.source_id, batch_id), "alert")
+                lake.replace_partitions(range_alerts(rows.bad, self.rules, self.source_id, batch_id), "alert")
         if self.compact_every and (epoch + 1) % self.compact_every == 0:
             Warehouse(lake).compact()
         return counts

@@ -50,6 +50,12 @@ class SourceRegistry:
     def all(self) -> DataFrame:
         return self.lake.current("data_source").drop("_rev")
 
+    def find(self, source_id: str) -> T.Row | None:
+        """One source; None if it is not registered."""
+        if not self.lake.has("data_source"):
+            return None
+        return self.all().filter(F.col("source_id") == source_id).first()
+
     def enabled(self) -> DataFrame:
         return self.all().filter("enabled")
 

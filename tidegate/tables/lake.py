@@ -19,12 +19,16 @@ SCHEMAS = {
     "schema_version": """schema_id BIGINT, source_id STRING, version INT, schema_definition STRING, inferred BOOLEAN,
         confidence DOUBLE, created_at TIMESTAMP, deprecated_at TIMESTAMP, _rev BIGINT""",
     "warehouse_data": """record_id STRING, source_id STRING, data STRING, schema_version_id BIGINT,
-        processed_at TIMESTAMP, checksum STRING, bucket INT""",
+        processed_at TIMESTAMP, checksum STRING, order_key ARRAY<STRUCT<n: DECIMAL(38,10), t: STRING>>, bucket INT""",
     "warehouse_log": """record_id STRING, source_id STRING, data STRING, schema_version_id BIGINT,
-        processed_at TIMESTAMP, checksum STRING, batch_seq BIGINT, batch_id STRING""",
+        processed_at TIMESTAMP, checksum STRING, order_key ARRAY<STRUCT<n: DECIMAL(38,10), t: STRING>>, batch_seq BIGINT,
+        batch_id STRING""",
     "quarantine_record": """quarantine_id BIGINT, record_id STRING, raw_payload STRING, failed_rules ARRAY<STRING>,
         error_messages ARRAY<STRING>, status STRING, quarantined_at TIMESTAMP, source_id STRING, batch_id STRING""",
-    "quarantine_event": """quarantine_id BIGINT, source_id STRING, batch_id STRING, event STRING, at TIMESTAMP""",
+    "quarantine_event": """quarantine_id BIGINT, source_id STRING, batch_id STRING, event STRING, at TIMESTAMP,
+        event_batch STRING""",
+    "duplicate_log": """record_id STRING, source_id STRING, lost_data STRING, kept_data STRING, copies BIGINT, differs BOOLEAN,
+        logged_at TIMESTAMP, batch_id STRING""",
     "audit_log": """log_id BIGINT, record_id STRING, source_id STRING, transformation_type STRING, field_name STRING,
         old_value STRING, new_value STRING, rule_applied STRING, created_at TIMESTAMP, month STRING, batch_id STRING""",
     "run_log": """batch_id STRING, source_id STRING, mode STRING, status STRING, total BIGINT, valid BIGINT,
@@ -41,6 +45,8 @@ PARTITIONS = {
     "warehouse_data": ["bucket"],
     "warehouse_log": ["batch_id"],
     "quarantine_record": ["source_id", "batch_id"],
+    "quarantine_event": ["event_batch"],
+    "duplicate_log": ["batch_id"],
     "audit_log": ["month", "batch_id"],
     "alert": ["batch_id"],
     "stream_progress": ["day"],

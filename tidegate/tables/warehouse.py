@@ -11,16 +11,21 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.payload import checksum, data_columns, payload, record_id as record_id_of
+from tidegate.functions.values import quoted
 from tidegate.session import delete_path, folder_bytes, folders_of, has_data, path_exists, write_marker
 from tidegate.tables.lake import Lake
 
 _ROW = ("record_id", "source_id", "data", "schema_version_id", "processed_at", "checksum")
 _REPLACED = ("data", "schema_version_id", "processed_at", "checksum")
+_ORDERED = (*_ROW, "order_key")
+_ORDER_TYPE = "array<struct<n: decimal(38,10), t: string>>"
 
 
 def check_batch_id(batch_id: str) -> str:
@@ -48,6 +53,28 @@ def split_from(bucket: int, buckets: int) -> int:
     return bucket
 
 
+def order_key(df: DataFrame, columns: Iterable[str], types: T.StructType | None = None) -> Column:
+    """What versions of a record are compared by, in one type for all tables: numbers and times as numbers, other values as texts; nulls
+    come first.  With ``types``, texts are read as the types they have there.  Null without columns."""
+    parts = []
+    for c in columns:
+        value, kind = quoted(c), df.schema[c].dataType
+        if types is not None and c in types.names and isinstance(kind, T.StringType):
+            value, kind = value.try_cast(types[c].dataType), types[c].dataType
+        if isinstance(kind, T.DateType):
+            value, kind = value.cast("timestamp"), T.TimestampType()
+        if isinstance(kind, T.TimestampNTZType):
+            value = value.cast("timestamp")
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            n, t = F.unix_micros(value), F.lit(None)
+        elif isinstance(kind, (T.NumericType, T.BooleanType)):
+            n, t = value.try_cast("decimal(38,10)"), F.lit(None)
+        else:
+            n, t = F.lit(None), value
+        parts.append(F.struct(n.cast("decimal(38,10)").alias("n"), t.cast("string").alias("t")))
+    return F.array(*parts).cast(_ORDER_TYPE) if parts else F.lit(None).cast(_ORDER_TYPE)
+
+
 def warehouse_rows(
     df: DataFrame,
     source_id: str,
@@ -56,8 +83,12 @@ def warehouse_rows(
     record_id: Column | None = None,
     processed_at: Column | None = None,
     columns: list[str] | None = None,
+    order: Column | None = None,
 ) -> DataFrame:
-    """Records in the warehouse layout; the payload is the whole row without helper columns."""
+    """Records in the warehouse layout; the payload is the whole row without helper columns.
+
+    ``order`` (see ``order_key``) says which version of a record is newer, whenever it arrives.
+    """
     cols = columns if columns is not None else data_columns(df, drop=("source_id", "validation_status"))
     return df.select(
         (record_id if record_id is not None else record_id_of(df)).alias("record_id"),
@@ -66,14 +97,17 @@ def warehouse_rows(
         F.lit(schema_version_id).cast("bigint").alias("schema_version_id"),
         (processed_at if processed_at is not None else F.current_timestamp()).alias("processed_at"),
         checksum(df, cols).alias("checksum"),
+        (order if order is not None else F.lit(None).cast(_ORDER_TYPE)).alias("order_key"),
     )
 
 
 def last_per_key(rows: DataFrame, order: Column) -> DataFrame:
-    """The newest version of each record; the source of the first one stays."""
-    value = F.struct(*_REPLACED)
-    picked = rows.groupBy("record_id").agg(F.max_by(value, order).alias("_row"), F.min_by("source_id", order).alias("source_id"))
-    return picked.select("record_id", "source_id", *[F.col("_row").getField(c).alias(c) for c in _REPLACED])
+    """The newest version of each record: by its order key if it has one, then by ``order``, which is by arrival.  The source of
+    the first one to arrive stays."""
+    value = F.struct(*_REPLACED, "order_key")
+    newest = F.struct(F.col("order_key").alias("version"), order.alias("arrival"))
+    picked = rows.groupBy("record_id").agg(F.max_by(value, newest).alias("_row"), F.min_by("source_id", order).alias("source_id"))
+    return picked.select("record_id", "source_id", *[F.col("_row").getField(c).alias(c) for c in (*_REPLACED, "order_key")])
 
 
 def merge_rows(existing: DataFrame, incoming: DataFrame) -> DataFrame:
@@ -105,14 +139,14 @@ class Warehouse:
         return self.lake.read("warehouse_log")
 
     def current(self) -> DataFrame:
-        base = self.base().select(*_ROW)
+        base = self.base().select(*_ORDERED)
         if not has_data(self.spark, self.lake.path("warehouse_log")):
-            return base
-        log = self.log().select(*_ROW, "batch_seq", "batch_id")
+            return base.select(*_ROW)
+        log = self.log().select(*_ORDERED, "batch_seq", "batch_id")
         if len(folders_of(self.spark, self.lake.path("warehouse_log"))) == 1 and not self.lake.has("warehouse_data"):
             return log.select(*_ROW)  # one batch holds each record once
         both = base.withColumns({"batch_seq": F.lit(-1).cast("bigint"), "batch_id": F.lit("")}).unionByName(log)
-        return last_per_key(both, F.struct("batch_seq", "batch_id"))
+        return last_per_key(both, F.struct("batch_seq", "batch_id")).select(*_ROW)
 
     def append(
         self, rows: DataFrame, batch_id: str, batch_seq: int | None = None, order: Column | None = None, unique: bool = False,
@@ -126,6 +160,8 @@ class Warehouse:
         """
         check_batch_id(batch_id)
         seq = batch_seq if batch_seq is not None else time.time_ns() // 1000
+        if "order_key" not in rows.columns:
+            rows = rows.withColumn("order_key", F.lit(None).cast(_ORDER_TYPE))
         if not unique:
             newest = order if order is not None else F.col("processed_at")
             rows = last_per_key(rows, F.struct(newest.alias("o"), F.col("checksum").alias("t")))
@@ -179,7 +215,7 @@ class Warehouse:
         buckets = max(before, -(-bytes_now // self.lake.bucket_bytes))
         log = self.log().filter(F.col("batch_id").isin(folded))
         # a single batch holds each record once already
-        latest = log.select(*_ROW) if len(folded) == 1 else last_per_key(log, F.struct("batch_seq", "batch_id"))
+        latest = log.select(*_ORDERED) if len(folded) == 1 else last_per_key(log, F.struct("batch_seq", "batch_id"))
         incoming = latest.withColumn("bucket", bucket_of(F.col("record_id"), buckets))
         # at most `buckets` numbers: those with news, and those that are split and what comes of them
         touched = {r.bucket for r in incoming.select("bucket").distinct().collect()} | set(range(before, buckets))
@@ -187,14 +223,14 @@ class Warehouse:
         existing = self.lake.read("warehouse_data").filter(F.col("bucket").isin(sorted(touched)))
         if buckets > before:
             existing = existing.withColumn("bucket", bucket_of(F.col("record_id"), buckets))
-        both = existing.select(*_ROW, "bucket", F.lit(0).alias("_new")).unionByName(incoming.select(*_ROW, "bucket", F.lit(1).alias("_new")))
+        both = existing.select(*_ORDERED, "bucket", F.lit(0).alias("_new")).unionByName(incoming.select(*_ORDERED, "bucket", F.lit(1).alias("_new")))
         # One shuffle, by bucket: it serves the merge and leaves one file per bucket.  A
         # record has at most two rows here and keys hash evenly, so buckets are even too.
         placed = both.repartition(max(1, len(touched)), "bucket")
         merged = placed.groupBy("bucket", "record_id").agg(
-            F.max_by(F.struct(*_REPLACED), "_new").alias("_row"), F.min_by("source_id", "_new").alias("source_id")
+            F.max_by(F.struct(*_REPLACED, "order_key"), F.struct("order_key", "_new")).alias("_row"), F.min_by("source_id", "_new").alias("source_id")
         )
-        out = merged.select("record_id", "source_id", *[F.col("_row").getField(c).alias(c) for c in _REPLACED], "bucket")
+        out = merged.select("record_id", "source_id", *[F.col("_row").getField(c).alias(c) for c in (*_REPLACED, "order_key")], "bucket")
         delete_path(self.spark, self._complete)
         self.lake.shaped(out, "warehouse_data").write.mode("overwrite").partitionBy("bucket").parquet(self._staging)
         plan = self.spark.range(0, 1, 1, 1).select(F.lit(buckets).alias("buckets"), F.array(*map(F.lit, sorted(touched))).alias("touched"))
@@ -264,5 +300,5 @@ def jdbc_merge_sql(staging: str, target: str, dialect: str = "postgresql") -> st
 
 def write_jdbc(rows: DataFrame, url: str, staging: str, properties: dict[str, str] | None = None, partitions: int = 16) -> None:
     """Executors write the batch to a staging table; run ``jdbc_merge_sql`` in the database after it."""
-    unique = last_per_key(rows, F.struct("processed_at", "checksum"))
+    unique = last_per_key(rows, F.struct("processed_at", "checksum")).select(*_ROW)
     unique.repartition(partitions).write.mode("overwrite").jdbc(url, staging, properties=properties or {})
