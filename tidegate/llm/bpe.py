@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from tidegate.llm.common import kept, parts, renewed, text_or_empty
+from tidegate.llm.common import free, kept, parts, renewed, text_or_empty
 
 #: Fixed pattern of byte-level vocabularies: texts are cut into these pieces before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -228,6 +228,7 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", d
             for part in parts(texts):
                 packs = [vocabulary.encode(t) for t in part]
                 yield pd.DataFrame({"ids": packs, "decoded": [vocabulary.decode(p) for p in packs]})
+        free()
 
     found = df.select(F.struct("*").alias("row"), both(text_or_empty(text)).alias("found"))
     return renewed(found, df.columns, {ids: F.col("found.ids"), decoded: F.col("found.decoded")})

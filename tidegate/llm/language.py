@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import kept, parts, renewed, stored
+from tidegate.llm.common import free, kept, parts, renewed, stored
 
 DOCS_PER_LANGUAGE = 3000
 ROUNDS = 3
@@ -136,6 +136,7 @@ class LanguageModel:
             for texts in batches:
                 for part in parts(texts):
                     yield pd.DataFrame(scorer.batch(part), columns=["lang", "score"])
+            free()
 
         found = df.select(F.struct("*").alias("row"), predicted(F.col(text)).alias("found"))
         return renewed(found, df.columns, {lang: F.col("found.lang"), score: F.col("found.score")})

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import renewed, sized, stored
+from tidegate.llm.common import PART_ROWS, free, lean, release, renewed, sized, stored
 
 MIN_WORDS = 50
 
@@ -61,7 +61,7 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
                 [batch.column("row").take(at), batch.column("id").take(at), pa.array(line.astype(np.int32)), pa.array(half[:, 0].copy()),
                  pa.array(half[:, 1].copy()), pa.array(k.astype(np.int32), mask=k == 0)], schema=schema)
 
-    return docs.mapInArrow(run, "row long, id long, line int, a long, b long, k int")
+    return docs.mapInArrow(lean(run, PART_ROWS), "row long, id long, line int, a long, b long, k int")
 
 
 def _ranks(pairs: DataFrame) -> DataFrame:
@@ -135,8 +135,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
             kept += own[at:]
             return len(own), sum(e - s for s, e in merged), [{"start": s, "end": e} for s, e in merged], "\n".join(kept)
 
+        release()
         for texts, runs in batches:
-            yield pd.DataFrame([of(t, r) for t, r in zip(texts, runs)], columns=["n_lines", "n_deleted", "deleted_runs", "kept_text"])
+            for k in range(0, len(texts), PART_ROWS):
+                found = [of(t, r) for t, r in zip(texts.iloc[k : k + PART_ROWS], runs.iloc[k : k + PART_ROWS])]
+                yield pd.DataFrame(found, columns=["n_lines", "n_deleted", "deleted_runs", "kept_text"])
+        free()
 
     joined = rows.join(by_doc, F.col("n") == F.col("run_row"), "left").withColumn("cut", cut(full, F.col("runs")))
     return renewed(joined, docs.columns, {c: F.col(f"cut.{c}") for c in ("n_lines", "n_deleted", "deleted_runs", "kept_text")})
