@@ -34,8 +34,8 @@ PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S
 #: A blank inside a run of white space, the one place where cutting before a blank could split a piece.
 INNER_BLANK = r"\s (?=\s|\Z)"
 #: Most words and token pairs that a worker remembers (memory only; results do not hang on it).
-REMEMBERED_WORDS = 150_000
-REMEMBERED_PAIRS = 200_000
+REMEMBERED_WORDS = 100_000
+REMEMBERED_PAIRS = 150_000
 #: Longer words are not remembered.
 LONG_WORD = 64
 

@@ -77,7 +77,7 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
 
 
 #: Characters of texts that are worked on together in a Python worker, and rows.
-PART_CHARS, PART_ROWS = 4_000_000, 1000
+PART_CHARS, PART_ROWS = 1_000_000, 500
 
 
 def parts(texts: pd.Series) -> Iterator[list[str]]:

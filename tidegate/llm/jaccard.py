@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import lean, same, sized, stored
+from tidegate.llm.common import PART_ROWS, lean, same, sized, stored
 from tidegate.llm.components import components
 
 WORDS = 5
@@ -209,7 +209,7 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent: np.ndarray) -
             if tokens:
                 yield pa.RecordBatch.from_arrays([_longs(np.concatenate(tokens)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))], schema=schema)
 
-    return docs.select("text").mapInArrow(lean(run), "token long, key long, n int")
+    return docs.select("text").mapInArrow(lean(run, PART_ROWS), "token long, key long, n int")
 
 
 def _regions(rows: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, per
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array([s.tobytes() for s in sets], pa.large_binary())], ["key", "members"])
 
     texts = docs.join(wanted, same(F.col("id"), F.col("wanted")), "left_semi").select("text")
-    sets = stored(texts.mapInArrow(lean(sets_of), "key long, members binary").dropDuplicates(["key"]))
+    sets = stored(texts.mapInArrow(lean(sets_of, PART_ROWS), "key long, members binary").dropDuplicates(["key"]))
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -36,7 +36,7 @@ UNKNOWN = "und"
 #: Added to every expected count.
 PRIOR = 0.05
 #: Words a worker remembers (memory only).
-REMEMBERED_WORDS = 200_000
+REMEMBERED_WORDS = 120_000
 #: Words up to this length are summed in plain floats, longer ones in logarithms.
 SHORT_WORD = 40
 
