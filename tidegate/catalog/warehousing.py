@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidegate.catalog.common import RULES, dirty, judged_sql, query, table
@@ -234,12 +235,16 @@ def json_scan(spark, d):
 
 @query("json_array_scan", "SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY 1 UNION ALL SELECT 'not an object', count(DISTINCT source), NULL FROM documents")
 def json_array_scan(spark, d):
-    """One JSON array per file, with elements that are no objects among the records."""
+    """JSON arrays, one per file and part of a source, and files with elements that are no objects."""
     folder = shared_folder(spark)
-    docs = table(spark, d, "documents")
+    docs = table(spark, d, "documents").withColumn("part", F.floor(F.col("doc_id") / 20_000))
+    # every line opens or goes on with the array, the last one closes it: rows stream through the sort, none are gathered
+    order = Window.partitionBy("source", "part").orderBy("doc_id")
+    start = F.when(F.row_number().over(order) == 1, "[").otherwise(",")
+    end = F.when(F.lead(F.lit(1)).over(order).isNull(), "]").otherwise("")
     item = F.to_json(F.struct("doc_id", "lang", "n_chars"))
-    part = docs.groupBy("source").agg(F.array_join(F.collect_list(item), ",").alias("items"))
-    part.select(F.concat(F.lit('["not an object",'), "items", F.lit("]")).alias("value"), "source").write.partitionBy("source").text(folder)
+    docs.select(F.concat(start, item, end).alias("value"), "source", "part").write.partitionBy("source", "part").text(f"{folder}/objects")
+    docs.select("source").distinct().select(F.lit('["not an object"]').alias("value"), "source").write.partitionBy("source").text(f"{folder}/others")
     schema = streams.T.StructType.fromDDL("doc_id BIGINT, lang STRING, n_chars BIGINT, _corrupt_record STRING")
     df = files.read_json_elements(spark, folder, schema, recursiveFileLookup=True)
     name = F.when(F.col("_corrupt_record").isNotNull(), "not an object").otherwise(F.col("lang"))

@@ -23,6 +23,10 @@ from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import Warehouse, check_batch_id
 
 
+#: Batches in the warehouse log after which a stream folds it, if it is not told how often to.
+MOST_WAITING = 100
+
+
 class StreamJob:
     """Judges each micro-batch once and writes all tables from it.
 
@@ -113,7 +117,7 @@ class StreamJob:
             )
             if self.alerts and counts.invalid:
                 lake.replace_partitions(range_alerts(rows.bad, self.rules, self.source_id, batch_id), "alert")
-        if self.compact_every and (epoch + 1) % self.compact_every == 0:
+        if (epoch + 1) % self.compact_every == 0 if self.compact_every else Warehouse(lake).batches_waiting() >= MOST_WAITING:
             Warehouse(lake).compact()
         return counts
 

@@ -181,7 +181,11 @@ class Warehouse:
         wait for each other.
         """
         log, base = (folder_bytes(self.spark, self.lake.path(n)) for n in ("warehouse_log", "warehouse_data"))
-        return base > 0 and log >= share * base or len(folders_of(self.spark, self.lake.path("warehouse_log"))) >= batches
+        return base > 0 and log >= share * base or self.batches_waiting() >= batches
+
+    def batches_waiting(self) -> int:
+        """Batches in the log."""
+        return len(folders_of(self.spark, self.lake.path("warehouse_log")))
 
     def upsert(
         self, rows: DataFrame, batch_id: str, batch_seq: int | None = None, order: Column | None = None, fold: bool | None = None
