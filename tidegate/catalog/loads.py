@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.catalog.common import RULES, dirty, judged_sql, query, table
-from tidegate.operators import dedup
+from tidegate.operators import dedup, lineage, metrics
 from tidegate.plans.batch import load
 from tidegate.plans.reprocess import reprocess
 from tidegate.plans.route import Settings
@@ -176,3 +176,23 @@ def reprocess_number_out_of_range(spark, d):
     stored = Warehouse(lake).current().agg(F.count(F.lit(1)).alias("loaded"), F.count_if(_field("data", "n").isNull()).alias("nulls"))
     reason = lake.read("quarantine_record").select(F.get("failed_rules", F.lit(0)).alias("r")).distinct().first()["r"]
     return stored.select(F.lit(failed).cast("bigint").alias("still_open"), "loaded", "nulls", F.lit(reason).alias("reason"))
+
+
+_AUDITED = _GOOD + """, counts AS (SELECT 'type_coercion' AS transformation_type, count(*) FILTER (place = 1 AND amount IS NOT NULL) AS events FROM good_rows
+  UNION ALL SELECT 'warehouse_write', count(*) FILTER (place = 1) FROM good_rows UNION ALL SELECT 'quarantine', count(*) FILTER (NOT good) FROM judged UNION ALL SELECT 'deduplication', 1)
+SELECT transformation_type, CAST(events AS BIGINT) AS events FROM counts UNION ALL SELECT 'ALL', CAST(sum(events) AS BIGINT) FROM counts"""
+
+
+@query("audit_summary_of_runs", _AUDITED)
+def audit_summary_of_runs(spark, d):
+    """Events by type from the counts that each batch left, after the batch has run twice."""
+    lake = _loaded(spark, d)
+    load(lake, RULES, "orders", df=dirty(spark, d), settings=Settings(latest_by=_ORDER), batch_id="b1")
+    return lineage.summary_of_runs(lake.read("run_log"), "orders")
+
+
+@query("quality_trend_of_runs", judged_sql() + """SELECT 'orders' AS source_id, count(*) AS total, count(DISTINCT transaction_id) FILTER (good) AS valid,
+  round(count(DISTINCT transaction_id) FILTER (good) / count(*), 4) AS pass_rate FROM judged""")
+def quality_trend_of_runs(spark, d):
+    """Rows and pass rate of a source from the run log alone."""
+    return metrics.trend_of_runs(_loaded(spark, d).read("run_log"), "3650 days").drop("window_start")

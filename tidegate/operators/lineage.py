@@ -146,6 +146,25 @@ def stored_form(df: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
+def counted_types() -> list[Column]:
+    """Aggregates that count the events of each type while they are written."""
+    return [F.count_if(F.col("transformation_type") == k).alias(k) for k in TRANSFORMATIONS]
+
+
+def summary_of_runs(run_log: DataFrame, source_id: str | None = None) -> DataFrame:
+    """Events per type, and in all, from the counts that each batch left in the run log: the audit log itself is not read.
+
+    Of a batch that ran more than once the last success counts, as it replaced what the others wrote."""
+    runs = run_log.filter("status = 'success' AND events IS NOT NULL")
+    if source_id is not None:
+        runs = runs.filter(F.col("source_id") == source_id)
+    last = runs.groupBy("source_id", "mode", "batch_id").agg(F.max_by("events", "started_at").alias("events"))
+    each = last.select(F.explode("events").alias("transformation_type", "n"))
+    # the total is a second row of each count, so that both come from one aggregate
+    named = each.select(F.explode(F.array(F.col("transformation_type"), F.lit("ALL"))).alias("transformation_type"), "n")
+    return named.groupBy("transformation_type").agg(F.sum("n").alias("events"))
+
+
 # -- questions ----------------------------------------------------------------------
 
 

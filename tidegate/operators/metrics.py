@@ -155,6 +155,15 @@ def quality_trend(validated: DataFrame, ts: Column, source: Column, width: str =
     )
 
 
+def trend_of_runs(run_log: DataFrame, width: str = "1 day") -> DataFrame:
+    """Rows and pass rate per time window and source, from the counts in the run log (of a batch that ran twice, the last success)."""
+    runs = run_log.filter("status = 'success' AND mode <> 'reprocess'").groupBy("source_id", "mode", "batch_id")
+    last = runs.agg(F.max("started_at").alias("at"), F.max_by(F.struct("total", "valid"), "started_at").alias("c"))
+    return last.groupBy(F.window("at", width).alias("w"), "source_id").agg(F.sum("c.total").alias("total"), F.sum("c.valid").alias("valid")).select(
+        F.col("w.start").alias("window_start"), "source_id", "total", "valid", F.round(F.col("valid") / F.col("total"), 4).alias("pass_rate")
+    )
+
+
 def batch_result(validated: DataFrame, copies: str | None = None, schema_id: int | None = None, confidence: float | None = None, result: str = "_v") -> DataFrame:
     """One row: total, valid, invalid, duplicates and the schema used."""
     good = F.col(f"{result}.status") == "valid"

@@ -111,7 +111,7 @@ def load(
     seconds = time.monotonic() - clock
     lake.log_run(batch_id=batch_id, source_id=source_id, mode="batch", status="success", total=counts.total,
                  valid=counts.valid, invalid=counts.invalid, duplicates=counts.duplicates, seconds=seconds,
-                 started_at=started, component="batch", attempt=1)
+                 events=counts.events, started_at=started, component="batch", attempt=1)
     return {
         "batch_id": batch_id,
         "total_records": counts.total,

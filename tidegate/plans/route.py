@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from typing import Iterator
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -92,6 +92,7 @@ class Counts:
     valid: int
     invalid: int
     duplicates: int
+    events: dict[str, int] = field(default_factory=dict)  # audit events by type
 
 
 @dataclass(frozen=True)
@@ -170,6 +171,7 @@ def write_sinks(
     """
     at = at if at is not None else F.current_timestamp()
     counts, good, bad = batch.counts, batch.good, batch.bad
+    seen = Observation()
 
     def quarantine_write() -> None:
         rejected = quarantine.quarantine_rows(bad, source_id, batch_id, quarantined_at=at, record_id=F.col("_rid"))
@@ -177,7 +179,7 @@ def write_sinks(
 
     def audit_write() -> None:
         audit = _audit_events(lake, good, bad, rules, source_id, counts, settings, schema_version_id, at)
-        lake.replace_partitions(lineage.stored_form(audit, batch_id), "audit_log")
+        lake.replace_partitions(lineage.stored_form(audit, batch_id).observe(seen, *lineage.counted_types()), "audit_log")
 
     def warehouse_write() -> None:
         order = order_key(good, [c for c in settings.latest_by if c in good.columns])
@@ -203,7 +205,7 @@ def write_sinks(
     fold = compact if compact is not None else settings.compact
     if counts.valid and (fold if fold is not None else Warehouse(lake).fold_is_due()):
         Warehouse(lake).compact()
-    return counts
+    return replace(counts, events={k: n for k, n in seen.get.items() if n})
 
 
 def _audit_events(

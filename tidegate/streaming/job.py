@@ -91,7 +91,7 @@ class StreamJob:
                 time.sleep(min(self.retry_delay * 2 ** (failures - 1), 60.0))
                 continue
             lake.log_run(**fields, status="success", total=counts.total, valid=counts.valid, invalid=counts.invalid,
-                         duplicates=counts.duplicates, seconds=time.monotonic() - clock)
+                         duplicates=counts.duplicates, events=counts.events, seconds=time.monotonic() - clock)
             return
 
     def _batch_id(self, epoch: int) -> str:

@@ -33,7 +33,7 @@ SCHEMAS = {
         old_value STRING, new_value STRING, rule_applied STRING, created_at TIMESTAMP, month STRING, batch_id STRING""",
     "run_log": """batch_id STRING, source_id STRING, mode STRING, status STRING, total BIGINT, valid BIGINT,
         invalid BIGINT, duplicates BIGINT, seconds DOUBLE, started_at TIMESTAMP, error STRING, component STRING,
-        attempt INT""",
+        attempt INT, events MAP<STRING, BIGINT>""",
     "stream_progress": """query_id STRING, run_id STRING, query_name STRING, batch_id BIGINT, at TIMESTAMP, input_rows BIGINT,
         input_rate DOUBLE, processing_rate DOUBLE, trigger_ms BIGINT, backpressure BOOLEAN, lag BIGINT, day STRING""",
     "lake_setting": "name STRING, value BIGINT",
@@ -132,11 +132,12 @@ class Lake:
     def log_run(self, **fields) -> None:
         defaults = dict.fromkeys(
             ["batch_id", "source_id", "mode", "status", "total", "valid", "invalid", "duplicates", "seconds",
-             "started_at", "error", "component", "attempt"]
+             "started_at", "error", "component", "attempt", "events"]
         )
         row = {**defaults, **fields}
         one = self.spark.range(0, 1, 1, 1)  # a row of literals needs no Python worker
-        self.append(one.select(*[F.lit(v).alias(k) for k, v in row.items()]), "run_log")
+        value = lambda v: F.create_map(*[F.lit(x) for kv in v.items() for x in kv]) if isinstance(v, dict) and v else F.lit(v or None if isinstance(v, dict) else v)
+        self.append(one.select(*[value(v).alias(k) for k, v in row.items()]), "run_log")
 
 
 def newest(df: DataFrame, keys: Iterable[str], order: Column) -> DataFrame:
