@@ -1,9 +1,24 @@
 """Line-first quality rules.
 
-Each line is judged by itself: navigation bars, lines full of symbols, shouted lines and
-boilerplate fail and are removed.  A document is rejected when the removed lines hold more than
-``max_lost`` percent of its words, or when it fails a rule on the whole text (too few words, too
-much repetition).  Words are runs of anything but ASCII white space.
+Each line with a word is judged by itself or, for menus, with its neighbours.  These lines fail
+and are removed (a word is a run of anything but ASCII white space, a line is parted by ``\\n``):
+
+* *symbols*: four words or more, and one of ``#*$%&<>`` for each word or more;
+* *shouting*: four words or more, and ``!!`` for every second word or more;
+* *bars*: four words or more, and ``|`` for every fifth word or more;
+* *separators*: four words or more, at least two and at least every fifth of them one of
+  ``SEPARATORS`` alone (a closing guillemet counts only beyond the opening ones);
+* *punctuation share*: half of the bytes in words, or more, are ASCII punctuation;
+* *word list*: forty words or more and no punctuation whatever;
+* *line end*: four words or more, cut off by an ellipsis;
+* *menu*: five lines or more in a row (lines without words between them do not count), each of at most
+  three words and without punctuation at its end;
+* *boilerplate*: a known phrase.
+
+So headings, lists of longer items and verse stay; verse of five lines of at most three words
+without a mark at any end is taken for a menu.  A document is rejected when the removed lines hold more
+than ``max_lost`` percent of its words, or when it fails a rule on the whole text (too few words, too
+much repetition).
 
 Null texts count as having no words; they fail.  Repeated rows are judged one by one.  A column
 that bears the name of an output column is replaced.
@@ -30,8 +45,17 @@ BOILERPLATE = (
 )
 #: Every boilerplate phrase holds one of these in lower case; texts without them need no search.
 BOILERPLATE_WORDS = ("rights", "licensed", "released", "terms", "privacy", "cookie", "subscribe", "sign up", "click", "javascript")
-#: A line with at least so many words can be a navigation bar, a symbol line or a shouted line.
+#: Words that part the items of a navigation line, and the marks that end a line.
+SEPARATORS = ("·", "•", "/", ">", "::", "→", "»", "›")
+OPENING = {"»": "«", "›": "‹"}
+END_MARKS = ".!?:;,…。！？；：，、؟۔।"
+CLOSERS = "\"')]}»”’"
+ASCII_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+#: A line with at least so many words can be a navigation, symbol, shouted or cut-off line.
 LEAST_LINE_WORDS = 4
+LEAST_LIST_WORDS = 40
+MOST_ITEM_WORDS = 3
+LEAST_ITEMS = 5
 MIN_WORDS = 50
 MAX_REPEATED = 50
 MAX_LOST = 50
@@ -42,22 +66,55 @@ RESULT = (
 )
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _boilerplate = re.compile(BOILERPLATE).search
+_mark = re.compile(f"[{re.escape(END_MARKS)}]").search
+_space = "".join(SPACES)
+_separators = frozenset(s.encode() for s in SEPARATORS)
 
 
-def n_words(text: str) -> int:
-    return len(text.encode().split())
+def n_separators(words: list[bytes]) -> int:
+    """Words that are separators; closing ones without an opening one."""
+    if _separators.isdisjoint(words):
+        return 0
+    n = 0
+    for mark in SEPARATORS:
+        n += max(0, words.count(mark.encode()) - (words.count(OPENING[mark].encode()) if mark in OPENING else 0))
+    return n
 
 
-def line_fails(line: str, words: int, boilerplate: bool = True) -> bool:
-    """Navigation: a bar for every fifth word or more.  Symbols: one for each word or more.
-    Shouting: every second word ends in two exclamation marks.  Boilerplate: a known phrase."""
-    if words >= LEAST_LINE_WORDS:
-        bars = line.count("|")
-        if 5 * bars >= words or sum(map(line.count, "#*$%&<>")) >= words or 2 * line.count("!!") >= words:
+def line_end(line: str) -> str:
+    """The line without white space and closing quotes and brackets at its end."""
+    return line.rstrip(_space).rstrip(CLOSERS)
+
+
+def line_fails(line: str, boilerplate: bool = True) -> bool:
+    """All rules but the menu's."""
+    code = line.encode()
+    words = code.split()
+    n = len(words)
+    letters = sum(map(len, words))
+    marks = len(code) - len(code.translate(None, ASCII_MARKS))
+    if 2 * marks >= letters:
+        return True
+    if n >= LEAST_LINE_WORDS:
+        if marks:
+            bars = line.count("|")
+            if 5 * bars >= n or sum(map(line.count, "#*$%&<>")) >= n or 2 * line.count("!!") >= n:
+                return True
+        separators = n_separators(words)
+        if separators > 1 and 5 * separators >= n:
+            return True
+        if n >= LEAST_LIST_WORDS and not marks and not _mark(line):
+            return True
+        if line_end(line).endswith(("...", "…")):
             return True
     return boilerplate and _boilerplate(line) is not None
 
 
+def is_item(line: str, words: int) -> bool:
+    """Whether the line may be one of a menu: few words and no mark at its end."""
+    return words <= MOST_ITEM_WORDS and (line_end(line) or " ")[-1] not in END_MARKS
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words that lie in a three-word window found twice or more."""
     if len(words) < 4:
@@ -80,22 +137,31 @@ def repeated_words(words: list[bytes]) -> int:
 
 def judge(text: str, min_words: int, max_repeated: int, max_lost: int) -> tuple:
     words = text.encode().split()
-    n, lost, removed, duplicates = len(words), 0, 0, 0
+    n, duplicates = len(words), 0
     seen: set[str] = set()
     low = text.lower()
     boilerplate = any(word in low for word in BOILERPLATE_WORDS)
-    kept_lines = []
-    for line in text.split("\n"):
-        k = n_words(line)
-        if k:
-            if line in seen:
-                duplicates += 1
-            seen.add(line)
-            if line_fails(line, k, boilerplate):
-                lost += k
-                removed += 1
-                continue
-        kept_lines.append(line)
+    lines = text.split("\n")
+    sizes = [len(line.encode().split()) for line in lines]
+    failed_lines: set[int] = set()
+    items: list[int] = []
+    for k, (line, size) in enumerate(zip(lines, sizes)):
+        if not size:
+            continue
+        if line in seen:
+            duplicates += 1
+        seen.add(line)
+        if line_fails(line, boilerplate):
+            failed_lines.add(k)
+        if is_item(line, size):
+            items.append(k)
+            continue
+        if len(items) >= LEAST_ITEMS:
+            failed_lines.update(items)
+        items = []
+    if len(items) >= LEAST_ITEMS:
+        failed_lines.update(items)
+    lost = sum(sizes[k] for k in failed_lines)
     repeated = repeated_words(words)
     failed = n < min_words or 100 * repeated > max_repeated * n
     return (
@@ -105,10 +171,10 @@ def judge(text: str, min_words: int, max_repeated: int, max_lost: int) -> tuple:
         duplicates,
         repeated,
         lost,
-        removed,
+        len(failed_lines),
         failed,
         not failed and 100 * lost <= max_lost * n,
-        "\n".join(kept_lines),
+        "\n".join([line for k, line in enumerate(lines) if k not in failed_lines]) if failed_lines else text,
     )
 
 

@@ -165,16 +165,27 @@ g AS (SELECT r, k, w[k:k+2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1))
 twice AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT k + o) AS n FROM twice, (VALUES (0), (1), (2)) AS v(o) GROUP BY r),
 l AS (SELECT r, k, l[k] AS line, len(regexp_extract_all(l[k], '{_WORD_SQL}')) AS n FROM (SELECT r, l, unnest(range(1, len(l) + 1)) AS k FROM w)),
-j AS (SELECT *, row_number() OVER (PARTITION BY r, line ORDER BY k) > 1 AS dup,
-        n >= {quality.LEAST_LINE_WORDS} AND (5 * len(regexp_extract_all(line, '[|]')) >= n OR len(regexp_extract_all(line, '[#*$%&<>]')) >= n
-          OR 2 * len(regexp_extract_all(line, '!!')) >= n) OR regexp_matches(line, '{quality.BOILERPLATE.replace("(?ai)", "(?i)")}') AS bad
-      FROM l WHERE n > 0),
+m AS (SELECT *, len(regexp_extract_all(line, '[!-/:-@\[-`{{-~]')) AS marks,
+        regexp_extract_all(line, '{_WORD_SQL}') AS w, row_number() OVER (PARTITION BY r ORDER BY k) AS pos,
+        n <= 3 AND NOT regexp_matches(line, '[.!?:;,…。！？；：，、؟۔।]["'')\]}}»”’]*[\x20\x09-\x0D]*$') AS item FROM l WHERE n > 0),
+runs AS (SELECT *, pos - row_number() OVER (PARTITION BY r, item ORDER BY k) AS run FROM m),
+j AS (SELECT r, n, row_number() OVER (PARTITION BY r, line ORDER BY k) > 1 AS dup,
+        (item AND count(*) OVER (PARTITION BY r, item, run) >= 5)
+        OR 2 * marks >= strlen(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g'))
+        OR n >= 4 AND (len(regexp_extract_all(line, '[#*$%&<>]')) >= n OR 2 * len(regexp_extract_all(line, '!!')) >= n
+          OR 5 * len(regexp_extract_all(line, '[|]')) >= n OR seps > 1 AND 5 * seps >= n
+          OR regexp_matches(line, '(\.\.\.|…)["'')\]}}»”’]*[\x20\x09-\x0D]*$'))
+        OR n >= 40 AND marks = 0 AND NOT regexp_matches(line, '[…。！？；：，、؟۔।]')
+        OR regexp_matches(line, '(?i)(all rights reserved|licensed under|released under the|terms of (use|service)|privacy policy|cookie policy|accept (all )?cookies|subscribe to our|sign up for our|click here to|javascript (is|must be) (disabled|enabled))') AS bad
+      FROM (SELECT *, len(list_filter(w, lambda x: x IN ('·', '•', '/', '>', '::', '→')))
+              + greatest(0, len(list_filter(w, lambda x: x = '»')) - len(list_filter(w, lambda x: x = '«')))
+              + greatest(0, len(list_filter(w, lambda x: x = '›')) - len(list_filter(w, lambda x: x = '‹'))) AS seps FROM runs)),
 s AS (SELECT r, count(*) FILTER (dup) AS dups, coalesce(sum(n) FILTER (bad), 0) AS lost FROM j GROUP BY r)
 SELECT doc_id, n_words, CAST(word_chars AS BIGINT) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND 100 * lost <= {quality.MAX_LOST} * n_words AS kept
+  NOT base_failed AND 100 * lost <= 50 * n_words AS kept
 FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(dups, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
-        len(w) < {quality.MIN_WORDS} OR 100 * coalesce(rep.n, 0) > {quality.MAX_REPEATED} * len(w) AS base_failed, coalesce(lost, 0) AS lost
+        len(w) < 50 OR 100 * coalesce(rep.n, 0) > 50 * len(w) AS base_failed, coalesce(lost, 0) AS lost
       FROM w LEFT JOIN rep USING (r) LEFT JOIN s USING (r))"""
 
 
