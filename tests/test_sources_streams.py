@@ -10,7 +10,7 @@ from tidegate.operators import schema as S
 from tidegate.plans.route import Settings, observed_copy
 from tidegate.rules import Rule
 from tidegate.sources import files, streams
-from tidegate.streaming.job import StreamJob, active_streams, stop_stream
+from tidegate.streaming.job import StreamJob, active_streams, stop_stream, stream_dedup
 from tidegate.streaming.progress import ProgressLog, lag_of, progress_frame, totals
 from tidegate.tables.warehouse import Warehouse
 
@@ -234,3 +234,40 @@ def test_schema_drift_in_a_stream(spark, lake, tmp_path):
     drain(StreamJob(lake, RULES, "src", str(tmp_path / "k"), settings=Settings(id_columns=("transaction_id",)), raw_column="value"))
     data = {r.record_id: r.data for r in Warehouse(lake).current().collect()}
     assert '"new_field":"y"' in data["T3"] and '"new_field":"x"' in data["T2"]
+
+
+def test_csv_files_with_differing_headers(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a b%20[1].csv").write_text('id,"na,me"\n1,x\n2,y\n')
+    (folder / "b.csv").write_text("na,me\n")  # other names, though the characters are like those of the first
+    (folder / "c.csv").write_text('\n\nid,"na,me"\r\n3,z\r\n')
+    (folder / "d.csv").write_text("extra,id\nq,4\nr,5,6\n")
+    (folder / "empty.csv").write_text("")
+    got = files.read(spark, str(folder), "csv", infer_schema=False, mixed_headers=True)
+    assert set(got.columns) == {"id", "na,me", "na", "me", "extra", "_corrupt_record"} and got.columns[-1] == "_corrupt_record"
+    rows = sorted((r["id"], r["na,me"], r["extra"], r["_corrupt_record"]) for r in got.collect())
+    assert rows == [("1", "x", None, None), ("2", "y", None, None), ("3", "z", None, None), ("4", None, "q", None), ("5", None, "r", "r,5,6")]
+    assert [len(g) for g in files.files_by_header(spark, str(folder))] in ([2, 1, 1], [1, 2, 1])
+    with pytest.raises(ValueError, match="no schema"):
+        files.read(spark, str(folder), "csv", mixed_headers=True)
+    bare = tmp_path / "bare"
+    bare.mkdir()
+    (bare / "x.csv").write_text("")
+    with pytest.raises(ValueError, match="No file with a header"):
+        files.read(spark, str(bare), "csv", infer_schema=False, mixed_headers=True)
+
+
+def test_stream_dedup_state(spark, tmp_path):
+    """One row per key, over batches; rows without a key pass and leave no state."""
+    src, out = tmp_path / "src", tmp_path / "out"
+    rows = [(k, None if k % 5 == 0 else f"k{k % 3}", 2**60 + k if k % 2 else None) for k in range(60)]
+    df = spark.createDataFrame(rows, "id int, Key string, big long").withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id")))
+    df.repartition(3, "id").write.parquet(str(src))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(src))
+    q = stream_dedup(stream, "key", "ts", "1 hour").writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(str(out))
+    q.awaitTermination()
+    got = spark.read.parquet(str(out)).collect()
+    assert sorted(r["Key"] for r in got if r["Key"]) == ["k0", "k1", "k2"] and sum(r["Key"] is None for r in got) == 12
+    assert all(r["big"] == (2**60 + r["id"] if r["id"] % 2 else None) for r in got)
+    assert max(op.numRowsTotal for p in q.recentProgress for op in p.stateOperators) == 3

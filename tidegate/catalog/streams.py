@@ -111,11 +111,13 @@ def _to_files(spark, stream):
     return spark.read.parquet(out), q
 
 
-@query("stream_dedup", "SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY 1")
+@query("stream_dedup", """WITH e AS (SELECT CASE WHEN event_type <> 'error' THEN concat(user_id, '/', event_type) END AS key, user_id FROM events)
+SELECT user_id, count(DISTINCT key) AS keys, count(DISTINCT key) + count(*) FILTER (key IS NULL) AS n FROM e GROUP BY 1""")
 def stream_first_rows(spark, d):
-    """The first row per key within the watermark."""
-    rows, _ = _to_files(spark, stream_dedup(_typed_stream(spark, d), "user_id", "ts", "60 days"))
-    return rows.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    """The first row per user and kind of event within the watermark; errors have no key and all pass."""
+    key = F.when(F.col("event_type") != "error", F.concat_ws("/", "user_id", "event_type")).alias("key")
+    rows, _ = _to_files(spark, stream_dedup(_typed_stream(spark, d).select("*", key), "key", "ts", "60 days"))
+    return rows.groupBy("user_id").agg(F.count("key").alias("keys"), F.count(F.lit(1)).alias("n"))
 
 
 @query("stream_window_counts", """SELECT date_trunc('hour', ts) AS window_start, event_type AS source_id, count(*) AS total, sum((value BETWEEN 5 AND 100)::INT)::BIGINT AS valid,

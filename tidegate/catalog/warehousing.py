@@ -213,6 +213,21 @@ def csv_scan(spark, d):
     return _counts(files.read(spark, folder, "CSV", infer_schema=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
 
 
+@query("csv_mixed_headers", """SELECT lang, count(*) AS n, sum(n_chars)::BIGINT AS chars, count(CASE WHEN lang <> 'en' THEN source END) AS with_source,
+  0::BIGINT AS malformed FROM documents WHERE lang IS NOT NULL GROUP BY 1""")
+def csv_mixed_headers(spark, d):
+    """A folder whose files name their columns differently: other orders, and a column that some lack."""
+    folder = shared_folder(spark)
+    docs = table(spark, d, "documents").filter("lang IS NOT NULL")
+    docs.filter("lang = 'en'").select("doc_id", "lang", "n_chars").write.option("header", True).csv(f"{folder}/en")
+    docs.filter("lang <> 'en' AND doc_id % 2 = 0").select("source", "n_chars", "doc_id", "lang").write.option("header", True).csv(f"{folder}/even")
+    docs.filter("lang <> 'en' AND doc_id % 2 <> 0").select("lang", "n_chars", "doc_id", "source").write.option("header", True).csv(f"{folder}/odd")
+    rows = files.read(spark, folder, "csv", infer_schema=False, mixed_headers=True, recursiveFileLookup=True)
+    return rows.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("n_chars").cast("bigint")).alias("chars"), F.count("source").alias("with_source"), F.count("_corrupt_record").alias("malformed")
+    )
+
+
 @query("csv_corrupt_lines", "SELECT sum((lang = 'en')::INT)::BIGINT AS malformed, sum((lang <> 'en')::INT)::BIGINT AS good, count(*) AS lines FROM documents")
 def csv_corrupt_lines(spark, d):
     """Lines with too few columns survive as rejected rows with their text."""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,14 +48,20 @@ def read_csv(
     header: bool = True,
     delimiter: str = ",",
     infer_schema: bool = True,
+    mixed_headers: bool = False,
     **options: Any,
 ) -> DataFrame:
     """CSV in PERMISSIVE mode.
 
     ``infer_schema=False`` without a schema reads every column as text and keeps lines that
-    do not parse in ``_corrupt_record``; this is the form validation wants.
+    do not parse in ``_corrupt_record``; this is the form validation wants.  Files whose header
+    differs from the first one's then stop the read, unless ``mixed_headers=True``: see ``read_mixed_csv``.
     """
     settings = {"header": header, "delimiter": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
+    if mixed_headers:
+        if schema is not None or infer_schema or str(header).lower() != "true":
+            raise ValueError("mixed_headers reads texts by the names in the files: it takes a header, no schema and infer_schema=False")
+        return read_mixed_csv(spark, path, settings)
     reader = spark.read.options(**settings)
     if schema is not None:
         if CORRUPT in schema.names:
@@ -61,10 +70,65 @@ def read_csv(
         return reader.schema(schema).csv(path)
     if infer_schema:
         return reader.option("inferSchema", True).csv(path)
-    names = reader.csv(path).columns  # reads the first line only
-    texts = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    return _texts_by_header(spark, [path], settings)
+
+
+def _texts_by_header(spark: SparkSession, paths: list[str], settings: dict[str, Any]) -> DataFrame:
+    """All columns as text; the files share the header of the first one."""
+    names = spark.read.options(**settings).csv(paths[0]).columns  # reads the first line only
+    texts = with_corrupt_column(T.StructType([T.StructField(n, T.StringType(), True) for n in names]))
     # enforceSchema=false: a file whose header differs is an error, not misplaced columns
-    return reader.schema(with_corrupt_column(texts)).options(enforceSchema=False, columnPruning=False).csv(path)
+    return spark.read.options(**settings).schema(texts).options(enforceSchema=False, columnPruning=False).csv(paths)
+
+
+#: Headers that one folder may have; each is a scan of its own in the plan.
+MOST_HEADERS = 200
+
+
+def files_by_header(spark: SparkSession, path: str, settings: dict[str, Any] | None = None) -> list[list[str]]:
+    """The files of a folder that share their first line with a word, each group in the order of its names.
+
+    One scan of the text: hashes of lines and their positions are folded into one pair per file
+    before the shuffle.  The driver gets the file names, as it does for any scan.
+    """
+    asked = settings or {}
+    known = {k: v for k, v in asked.items() if k in ("lineSep", "recursiveFileLookup", "pathGlobFilter", "modifiedAfter", "modifiedBefore", "basePath")}
+    lines = spark.read.options(**known).text(path)
+    comment = asked.get("comment")
+    is_line = F.trim("value", F.lit(" \t\r")) != ""
+    if comment:
+        is_line &= ~F.col("value").startswith(comment)
+    first = (
+        lines.filter(is_line)
+        .select(F.xxhash64(F.rtrim("value", F.lit("\r"))).alias("line"), "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at"))
+        .groupBy("file_path")
+        # a file's blocks may be read in any order; within one, positions rise
+        .agg(F.min_by("line", F.col("at")).alias("later"), F.min_by("line", F.when(F.col("file_block_start") == 0, F.col("at"))).alias("line"))
+    )
+    groups = first.groupBy(F.coalesce("line", "later").alias("line")).agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    return sorted(r["files"] for r in groups.limit(MOST_HEADERS + 1).collect())
+
+
+def _literal_path(uri: str) -> str:
+    """A file's address as a path that is not taken for a pattern."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(uri))
+
+
+def read_mixed_csv(spark: SparkSession, path: str, settings: dict[str, Any]) -> DataFrame:
+    """CSV files with differing headers, as text: files are grouped by their header, each group is read
+    with its own names, and the groups are joined by name.  A column that a file lacks is null there.
+
+    A header must be one line.  Empty files bring nothing; a folder with no header at all is an error,
+    and so are more than ``MOST_HEADERS`` different ones.  For columns from folder names give ``basePath``.
+    """
+    groups = files_by_header(spark, path, settings)
+    if not groups:
+        raise ValueError(f"No file with a header in '{path}'")
+    if len(groups) > MOST_HEADERS:
+        raise ValueError(f"More than {MOST_HEADERS} different headers in '{path}'")
+    parts = [_texts_by_header(spark, [_literal_path(f) for f in files], settings) for files in groups]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.select(*[quoted(c) for c in together.columns if c != CORRUPT], CORRUPT)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None, **options: Any) -> DataFrame:

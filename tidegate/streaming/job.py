@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.values import quoted
 from tidegate.operators import schema as S
 from tidegate.plans.route import Settings, judge_all, merge_keys, observed_copy, settled, write_sinks
 from tidegate.rules.model import Rule, check_rules
@@ -160,7 +163,30 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     )
 
 
+def first_of_batch(key: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keeps the first row per key of each Arrow batch: a hot key sends few rows through the shuffle."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.table({"k": batch.column(batch.schema.get_field_index(key)), "at": np.arange(batch.num_rows)})
+            first = rows.group_by("k").aggregate([("at", "min")])["at_min"]
+            yield batch.take(pa.array(np.sort(first.to_numpy())))
+
+    return keep
+
+
 def stream_dedup(stream: DataFrame, key: str, ts: str, delay: str = "10 minutes") -> DataFrame:
-    """First row per key within the watermark; rows without a key pass."""
-    marked = stream.withWatermark(ts, delay).withColumn("_dk", F.coalesce(F.col(key).cast("string"), F.expr("uuid()")))
-    return marked.dropDuplicatesWithinWatermark(["_dk"]).drop("_dk")
+    """First row per key within the watermark; rows without a key pass.
+
+    Repeats within a batch of rows are dropped before the shuffle.  A key's state is its expiry, and it goes
+    when the watermark passes ``delay`` after the row.  Rows without a key pass beside the state, by a second
+    look at the source.
+    """
+    key = key if key in stream.columns else next(c for c in stream.columns if c.lower() == key.lower())
+    has_key = quoted(key).isNotNull()
+    keyed = stream.filter(has_key).mapInArrow(first_of_batch(key), stream.schema)
+    return (
+        keyed.withWatermark(ts, delay)
+        .dropDuplicatesWithinWatermark([key])
+        .unionByName(stream.filter(~has_key).withWatermark(ts, delay))
+    )
