@@ -103,9 +103,16 @@ def _typed_stream(spark, d):
     return file_stream(spark, _event_files(spark, d), "events", schema, max_files_per_trigger=1000)
 
 
-def _to_files(spark, stream):
-    """Drain a stream into a folder and read the folder."""
+def first_rows(spark, d, key) -> str:
+    """The folder of the first event per key within the watermark."""
     out = shared_folder(spark)
+    _to_files(spark, stream_dedup(_typed_stream(spark, d).select("*", key.alias("key")), "key", "ts", "60 days"), out)
+    return out
+
+
+def _to_files(spark, stream, out=None):
+    """Drain a stream into a folder and read the folder."""
+    out = out or shared_folder(spark)
     q = stream.writeStream.format("parquet").option("checkpointLocation", shared_folder(spark)).option("path", out).trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(out), q
@@ -115,8 +122,8 @@ def _to_files(spark, stream):
 SELECT user_id, count(DISTINCT key) AS keys, count(DISTINCT key) + count(*) FILTER (key IS NULL) AS n FROM e GROUP BY 1""")
 def stream_first_rows(spark, d):
     """The first row per user and kind of event within the watermark; errors have no key and all pass."""
-    key = F.when(F.col("event_type") != "error", F.concat_ws("/", "user_id", "event_type")).alias("key")
-    rows, _ = _to_files(spark, stream_dedup(_typed_stream(spark, d).select("*", key), "key", "ts", "60 days"))
+    key = F.when(F.col("event_type") != "error", F.concat_ws("/", "user_id", "event_type"))
+    rows = spark.read.parquet(first_rows(spark, d, key))
     return rows.groupBy("user_id").agg(F.count("key").alias("keys"), F.count(F.lit(1)).alias("n"))
 
 
