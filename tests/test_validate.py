@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tidegate.functions.lenient import errors_as_null
 from tidegate.functions.values import coercion, python_text
 from tidegate.operators.validate import bind_value, coerce_types, split, validate
 from tidegate.rules import Rule
@@ -155,6 +156,40 @@ def test_custom_sql(spark):
         validate(df, [Rule("broken", "custom", "n", {"expression": "no_such_column > 1"})])
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_custom_sql_errors_are_nulls_in_either_mode(spark, ansi):
+    least = -(2**63)
+    df = spark.createDataFrame([("1", 2, 2**63 - 1), ("x", 0, least), (None, 3, 5)], "a string, b int, c long")
+    expected = {
+        "c + 1 > 0": [None, False, True],
+        "c * 2 - c > 0": [None, None, True],
+        "-c < 0": [True, None, True],
+        "abs(c)": [2**63 - 1, None, 5],
+        "-b": [-2, 0, -3],
+        "10 / b": [5.0, None, 10 / 3],
+        "7 div b + 7 % b": [4, None, 3],
+        "pmod(7, b)": [1, None, 1],
+        "CAST(a AS INT)": [1, None, None],
+        "a > 0": [True, None, None],
+        "array(1, 2)[b]": [None, 1, None],
+        "element_at(array(1, 2), b + 1)": [None, 1, None],
+        "make_date(2025, b, 1)": [datetime.date(2025, 2, 1), None, datetime.date(2025, 3, 1)],
+        "exists(array(a, '2'), x -> 10 / CAST(x AS INT) > b)": [True, True, True],
+        "CASE WHEN b = 0 THEN 1 / b ELSE b END": [2.0, None, 3.0],
+        "sum(b) OVER () > 3": [True, True, True],
+    }
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = df.select("a", "c", *[errors_as_null(df, t).alias(t) for t in expected]).collect()
+        assert spark.conf.get("spark.sql.ansi.enabled") == ansi
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    rows = sorted(found, key=lambda r: (r.a is None, r.a or ""))
+    for text, values in expected.items():
+        assert [r[text] for r in rows] == values, text
+
+
 def test_value_binding():
     assert bind_value("value > 1 AND x = 'value' AND t.value = value2 AND `value`", "c") == "`c` > 1 AND x = 'value' AND t.value = value2 AND `value`"
 

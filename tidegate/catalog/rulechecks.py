@@ -154,6 +154,13 @@ def custom_expression_errors(spark, d):
     return _verdict(dirty(spark, d), rule, "row_id", "ver").drop("message")
 
 
+@query("custom_expression_overflow", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey::HUGEINT * 10000000000000000 BETWEEN 1 AND 9223372036854775807 AS ok FROM lineitem""")
+def custom_expression_overflow(spark, d):
+    """A product beyond BIGINT fails the row; it neither wraps nor stops the job."""
+    rule = Rule("c", "custom", "l_orderkey", {"expression": "value * 10000000000000000 > 0"})
+    return _verdict(table(spark, d, "lineitem"), rule, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").drop("message")
+
+
 @query("conditional_rule", """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, NOT (l_returnflag = 'R' AND l_discount > 0.05) AS ok FROM lineitem""")
 def conditional_rule(spark, d):
     rule = Rule("c", "custom", "l_discount", {"expression": "IF l_returnflag = 'R' THEN value <= 0.05"})

@@ -10,16 +10,16 @@ from __future__ import annotations
 
 import inspect
 import re
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.functions.lenient import errors_as_null
 from tidegate.functions.payload import data_columns
 from tidegate.functions.values import (
     blank,
@@ -267,22 +267,6 @@ def _expression(rule: Rule, value_column: str) -> str:
     return bind_value(text, value_column)
 
 
-@contextmanager
-def _errors_as_null(spark: SparkSession) -> Iterator[None]:
-    """Resolve user expressions so that a bad cast or a division by zero gives null.
-
-    The mode is fixed per expression when a frame is analysed, so the session goes back
-    to its own setting at once.
-    """
-    key = "spark.sql.ansi.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def _python_rule(rule: Rule, df: DataFrame, value: Field | None) -> Column:
     """A rule with the user's own Python function, in Arrow batches.
 
@@ -371,7 +355,6 @@ def verdicts(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Column]]
     Status, name lists and texts are all read from these flags, so each predicate is
     evaluated once per row, and texts only where a rule fails.
     """
-    spark = df.sparkSession
     unique = {i: r for i, r in enumerate(rules) if r.is_unique}
     if unique and df.isStreaming:
         names = ", ".join(r.rule_name for r in unique.values())
@@ -411,12 +394,11 @@ def verdicts(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, list[Column]]
     if python_texts:
         out = out.withColumns({name.replace("_t_", "_f_"): F.col(name).isNotNull() for name in python_texts})
     for i, rule in sql_rules.items():
-        with _errors_as_null(spark):
-            try:
-                passes = F.expr(f"coalesce(CAST(({_expression(rule, f'_in_{i}')}) AS BOOLEAN), `_null_{i}`)")
-                out = out.withColumn(f"_f_{i}", ~passes)
-            except Exception as e:
-                raise ValueError(f"Rule '{rule.rule_name}': {e}") from e
+        try:
+            passes = errors_as_null(out, f"coalesce(CAST(({_expression(rule, f'_in_{i}')}) AS BOOLEAN), `_null_{i}`)")
+            out = out.withColumn(f"_f_{i}", ~passes)
+        except Exception as e:
+            raise ValueError(f"Rule '{rule.rule_name}': {e}") from e
     return out.drop(*bound, *[f"_dup_{i}" for i in unique]), texts
 
 
