@@ -18,6 +18,7 @@ from tidegate.plans.route import Settings, judge, judge_all, merge_keys, settled
 from tidegate.rules.model import Rule, check_rules
 from tidegate.sources.files import read
 from tidegate.tables.control import SchemaRegistry, SourceRegistry
+from tidegate.tables.days import fold_on_new_day
 from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import check_batch_id
 
@@ -100,6 +101,7 @@ def load(
         return {"batch_id": batch_id, **dry_run_summary(judge(df, checked, settings), checked), "seconds": time.monotonic() - clock}
     log_decisions(lake, source_id, batch_id, notes, known)
     try:
+        fold_on_new_day(lake)
         with settled(judge_all(df, checked, settings), merge_keys(df, settings), settings.latest_by) as batch:
             counts = write_sinks(
                 lake, batch, checked, source_id, batch_id, settings=settings, schema_version_id=schema_id

@@ -33,8 +33,9 @@ def revalidate(rows: DataFrame, schema: T.StructType, rules: Iterable[Rule], set
     return judge_all(quarantined_records(rows, schema), rules, settings)
 
 
-def view(lake: Lake) -> DataFrame:
-    return quarantine.current_view(lake.read("quarantine_record"), lake.read("quarantine_event"))
+def view(lake: Lake, since: str | None = None) -> DataFrame:
+    """The quarantine with its marks; of folded days only those from ``since`` (``yyyy-MM-dd``) on."""
+    return quarantine.current_view(lake.read("quarantine_record", since), lake.read("quarantine_event", since))
 
 
 def mark(lake: Lake, event: str, rows: DataFrame) -> int:

@@ -74,6 +74,11 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
 
 
+def folder_files(spark: SparkSession, path: str) -> int:
+    p, fs = _path(spark, path)
+    return fs.getContentSummary(p).getFileCount() if fs.exists(p) else 0
+
+
 def fit_generated_code(spark: SparkSession) -> None:
     """Keep the generated code of long rule lists compilable.
 

@@ -22,6 +22,7 @@ from tidegate.streaming.alerts import range_alerts
 from tidegate.streaming.drift import watch_schema
 from tidegate.streaming.progress import as_row
 from tidegate.tables.control import SchemaRegistry
+from tidegate.tables.days import fold_on_new_day
 from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import Warehouse, check_batch_id
 
@@ -101,6 +102,7 @@ class StreamJob:
         return f"{self.source_id}-{epoch:012d}"
 
     def _write(self, lake: Lake, batch: DataFrame, epoch: int):
+        fold_on_new_day(lake)
         data = batch.drop("source_id")
         if not self.raw_column:
             return self._route(lake, data, epoch)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import datetime
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,10 +34,11 @@ SCHEMAS = {
         old_value STRING, new_value STRING, rule_applied STRING, created_at TIMESTAMP, month STRING, batch_id STRING""",
     "run_log": """batch_id STRING, source_id STRING, mode STRING, status STRING, total BIGINT, valid BIGINT,
         invalid BIGINT, duplicates BIGINT, seconds DOUBLE, started_at TIMESTAMP, error STRING, component STRING,
-        attempt INT, events MAP<STRING, BIGINT>""",
+        attempt INT, events MAP<STRING, BIGINT>, day STRING""",
     "stream_progress": """query_id STRING, run_id STRING, query_name STRING, batch_id BIGINT, at TIMESTAMP, input_rows BIGINT,
         input_rate DOUBLE, processing_rate DOUBLE, trigger_ms BIGINT, backpressure BOOLEAN, lag BIGINT, day STRING""",
     "lake_setting": "name STRING, value BIGINT",
+    "fold_log": "name STRING, batch STRING, day STRING",
     "alert": """record_id STRING, source_id STRING, rule_name STRING, message STRING, raised_at TIMESTAMP,
         batch_id STRING""",
 }
@@ -50,8 +52,20 @@ PARTITIONS = {
     "audit_log": ["month", "batch_id"],
     "alert": ["batch_id"],
     "stream_progress": ["day"],
+    "run_log": ["day"],
 }
 
+# Tables with a folder per batch whose closed days are folded (see tables/days.py): what names a batch, and the time of a row.
+BATCHES = {
+    "quarantine_record": (["source_id", "batch_id"], "quarantined_at"),
+    "quarantine_event": (["event_batch"], "at"),
+    "duplicate_log": (["batch_id"], "logged_at"),
+    "audit_log": (["batch_id"], "created_at"),
+    "alert": (["batch_id"], "raised_at"),
+}
+# Tables that are written by day at once; a fold only joins the files of a day.
+DAYS = ("run_log", "stream_progress")
+
 # Point lookups by record skip row groups with a Bloom filter sized to what a file holds.
 LOOKUP_COLUMNS = {"warehouse_data": "record_id", "quarantine_record": "record_id", "audit_log": "record_id"}
 
@@ -84,11 +98,34 @@ class Lake:
     def has(self, name: str) -> bool:
         return has_data(self.spark, self.path(name))
 
-    def read(self, name: str) -> DataFrame:
+    def closed_path(self, name: str) -> str:
+        return f"{self.root}/closed/{name}"
+
+    def read(self, name: str, since: str | None = None) -> DataFrame:
+        """A table, with the days that were folded.  ``since`` (``yyyy-MM-dd``) leaves out folded days before it unread."""
+        live = self.live(name)
+        if name not in BATCHES or not has_data(self.spark, self.closed_path(name)):
+            return live
+        keys, _ = BATCHES[name]
+        closed = self.closed(name) if since is None else self.closed(name).filter(F.col("day") >= since)
+        # a batch that was written again after its day was folded has its rows in its own folder
+        kept = closed.drop("day").join(live.select(*keys).distinct(), keys, "left_anti")
+        return live.unionByName(kept.select(*live.columns))
+
+    def live(self, name: str) -> DataFrame:
+        """What lies in the table's own folder."""
         if not self.has(name):
             return self.spark.createDataFrame([], SCHEMAS[name])
         return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
+    def closed(self, name: str) -> DataFrame:
+        """The folded days of a table, with their ``day``; months are read from the days, so they prune folders."""
+        schema = SCHEMAS[name] + ", day STRING"
+        if not has_data(self.spark, self.closed_path(name)):
+            return self.spark.createDataFrame([], schema)
+        rows = self.spark.read.schema(schema).parquet(self.closed_path(name))
+        return rows.withColumn("month", F.substring("day", 1, 7)) if "month" in rows.columns else rows
+
     def shaped(self, df: DataFrame, name: str) -> DataFrame:
         """Columns in table order; a missing or mistyped one is an error."""
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table_schema(name)])
@@ -135,6 +172,7 @@ class Lake:
              "started_at", "error", "component", "attempt", "events"]
         )
         row = {**defaults, **fields}
+        row["day"] = f"{row['started_at'] or datetime.now():%Y-%m-%d}"
         one = self.spark.range(0, 1, 1, 1)  # a row of literals needs no Python worker
         value = lambda v: F.create_map(*[F.lit(x) for kv in v.items() for x in kv]) if isinstance(v, dict) and v else F.lit(v or None if isinstance(v, dict) else v)
         self.append(one.select(*[value(v).alias(k) for k, v in row.items()]), "run_log")
