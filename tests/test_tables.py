@@ -10,7 +10,7 @@ from tidegate.plans.batch import load
 from tidegate.plans.retention import expire_audit, expire_quarantine
 from tidegate.plans.route import Settings
 from tidegate.rules import Rule
-from tidegate.session import folder_bytes, path_exists
+from tidegate.session import folder_bytes, folder_files, path_exists
 from tidegate.tables.control import RuleTable, SchemaRegistry, SourceRegistry
 from tidegate.tables.lake import Lake
 from tidegate.tables.warehouse import Warehouse, _power, bucket_of, jdbc_merge_sql, merge_rows, split_from, warehouse_rows
@@ -188,6 +188,19 @@ def test_bucket_count_is_fixed_by_the_first_fold(spark, lake):
     assert Warehouse(other).current().count() == 50 and other.bucket_count() == 4
 
 
+def test_large_buckets_are_rewritten_in_parts(spark, lake):
+    lake.buckets, lake.part_bytes = 2, 2000
+    w = Warehouse(lake)
+    w.upsert(rows(spark, [(f"k{i}", i) for i in range(2000)], "a"), "b0", 0, fold=True)
+    w.upsert(rows(spark, [(f"k{i}", -i) for i in range(1000, 3000)], "b"), "b1", 1, fold=True)
+    for bucket in range(2):
+        assert folder_files(spark, f"{lake.path('warehouse_data')}/bucket={bucket}") > 3
+    assert w.base().filter(bucket_of(F.col("record_id"), 2) != F.col("bucket")).count() == 0
+    got = [(r.record_id, r.source_id, r.data) for r in w.current().collect()]
+    expected = {(f"k{i}", "a" if i < 2000 else "b", f'{{"v":{i if i < 1000 else -i}}}') for i in range(3000)}
+    assert len(got) == 3000 and set(got) == expected
+
+
 def test_split_addresses():
     for before in range(1, 40):
         for after in range(before, 70):

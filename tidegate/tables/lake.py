@@ -73,8 +73,9 @@ LOOKUP_COLUMNS = {"warehouse_data": "record_id", "quarantine_record": "record_id
 KEYS = {"data_source": ["source_id"], "validation_rule": ["rule_id"], "schema_version": ["source_id", "version"]}
 
 
-#: Stored bytes of a warehouse bucket, which is rewritten by one task.
+#: Stored bytes of a warehouse bucket, and of the part of a bucket that one task rewrites.
 BUCKET_BYTES = 256 << 20
+PART_BYTES = 32 << 20
 
 
 @cache
@@ -85,12 +86,14 @@ def table_schema(name: str) -> T.StructType:
 class Lake:
     """Reads and writes the tables below one root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, bucket_bytes: int = BUCKET_BYTES):
-        """The warehouse table starts with ``buckets`` buckets; each fold adds as many as keep them at ``bucket_bytes`` on average."""
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, bucket_bytes: int = BUCKET_BYTES, part_bytes: int = PART_BYTES):
+        """The warehouse table starts with ``buckets`` buckets; each fold adds as many as keep them at ``bucket_bytes`` on average.
+        A bucket is rewritten by as many tasks as keep them at ``part_bytes``."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
         self.bucket_bytes = bucket_bytes
+        self.part_bytes = part_bytes
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

@@ -228,10 +228,11 @@ class Warehouse:
         if buckets > before:
             existing = existing.withColumn("bucket", bucket_of(F.col("record_id"), buckets))
         both = existing.select(*_ORDERED, "bucket", F.lit(0).alias("_new")).unionByName(incoming.select(*_ORDERED, "bucket", F.lit(1).alias("_new")))
-        # One shuffle, by bucket: it serves the merge and leaves one file per bucket.  A
-        # record has at most two rows here and keys hash evenly, so buckets are even too.
-        placed = both.repartition(max(1, len(touched)), "bucket")
-        merged = placed.groupBy("bucket", "record_id").agg(
+        # One shuffle serves the merge and the files: by bucket, and large buckets in parts of their own task and file, by another
+        # hash than the bucket's.  A record has at most two rows here and keys hash evenly, so buckets and parts are even too.
+        parts = -(-bytes_now // (buckets * self.lake.part_bytes))
+        placed = both.withColumn("_part", F.pmod(F.hash("record_id"), F.lit(parts))).repartition(max(1, len(touched)) * parts, "bucket", "_part")
+        merged = placed.groupBy("bucket", "_part", "record_id").agg(
             F.max_by(F.struct(*_REPLACED, "order_key"), F.struct("order_key", "_new")).alias("_row"), F.min_by("source_id", "_new").alias("source_id")
         )
         out = merged.select("record_id", "source_id", *[F.col("_row").getField(c).alias(c) for c in (*_REPLACED, "order_key")], "bucket")
