@@ -2,6 +2,7 @@ import datetime
 from collections import Counter
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidegate.operators import lineage
@@ -82,6 +83,19 @@ def test_a_broken_fold_is_finished(spark, filled, monkeypatch, broken):
     assert not path_exists(spark, f"{filled.root}/closed/_fold_alert")
 
 
+def test_a_fold_neither_sorts_nor_gathers_the_batches(spark, filled, monkeypatch):
+    plans, real = {}, DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kw):
+        plans[path.rpartition("/")[2]] = self._df._jdf.queryExecution().executedPlan().toString()
+        real(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    assert fold(filled, "alert", "2025-01-09") == ["2025-01-01", "2025-01-02"]
+    for what in ("rows", "log"):  # batches are hot keys: no row is shuffled or sorted by its batch, and no task reads them all
+        assert "BroadcastHashJoin" in plans[what] and "SortMergeJoin" not in plans[what] and "Coalesce" not in plans[what]
+
+
 def test_run_log_days_are_joined(spark, lake):
     for k in range(3):
         lake.log_run(batch_id=f"r{k}", source_id="s", mode="batch", status="success", started_at=FIRST, total=k)

@@ -56,11 +56,14 @@ def _fold_batches(lake: Lake, name: str, before: str) -> list[str]:
     keys, at = BATCHES[name]
     batch, day = F.concat_ws("/", *keys), F.date_format(at, "yyyy-MM-dd")
     live = lake.live(name).withColumns({"_batch": batch, "_day": day})
-    last = live.groupBy("_batch").agg(F.max("_day").alias("last"), F.count_if(F.col("_day").isNull()).alias("undated"))
-    over = last.filter((F.col("last") < before) & (F.col("undated") == 0)).select("_batch").collect()  # names of folders to delete
+    # dates, not texts: a greatest text is found by sorting all rows
+    last = live.groupBy("_batch").agg(F.max(F.to_date(at)).alias("last"), F.count_if(F.col("_day").isNull()).alias("undated"))
+    over = last.filter((F.col("last") < F.lit(before).cast("date")) & (F.col("undated") == 0)).select("_batch").collect()  # names of folders to delete
     if not over:
         return []
-    names = spark.createDataFrame(over, "_batch STRING").coalesce(1)
+    # stored, Spark knows their size and does not shuffle the table's rows to join them
+    spark.createDataFrame(over, "_batch STRING").coalesce(1).write.parquet(f"{staging}/over")
+    names = spark.read.schema("_batch STRING").parquet(f"{staging}/over")
     rows = live.join(names, "_batch", "left_semi")
     # days in which one of them was folded before
     earlier = lake.read("fold_log").filter(F.col("name") == name).join(names, F.col("batch") == F.col("_batch"), "left_semi")
@@ -71,7 +74,7 @@ def _fold_batches(lake: Lake, name: str, before: str) -> list[str]:
     # files follow the bytes of a day: small days are joined, large ones split
     fresh.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(f"{staging}/rows")
     log = rows.select(F.lit(name).alias("name"), F.col("_batch").alias("batch"), F.col("_day").alias("day")).distinct()
-    log.coalesce(1).write.parquet(f"{staging}/log")
+    log.repartition(1).write.parquet(f"{staging}/log")  # coalesce would draw the scan into one task
     staged = set(folders_of(spark, f"{staging}/rows"))
     todo = [("empty", d) for d in days if f"day={d}" not in staged] + [("batch", r[0]) for r in over]
     _commit(lake, name, todo)
