@@ -229,9 +229,11 @@ class Warehouse:
             existing = existing.withColumn("bucket", bucket_of(F.col("record_id"), buckets))
         both = existing.select(*_ORDERED, "bucket", F.lit(0).alias("_new")).unionByName(incoming.select(*_ORDERED, "bucket", F.lit(1).alias("_new")))
         # One shuffle serves the merge and the files: by bucket, and large buckets in parts of their own task and file, by another
-        # hash than the bucket's.  A record has at most two rows here and keys hash evenly, so buckets and parts are even too.
+        # hash than the bucket's.  A record has at most two rows here and keys hash evenly, so buckets and parts are even too.  Parts
+        # are dealt by their number: hashed once more, some tasks would get several.
         parts = -(-bytes_now // (buckets * self.lake.part_bytes))
-        placed = both.withColumn("_part", F.pmod(F.hash("record_id"), F.lit(parts))).repartition(max(1, len(touched)) * parts, "bucket", "_part")
+        part = F.col("bucket") * parts + F.pmod(F.hash("record_id"), F.lit(parts))
+        placed = both.withColumn("_part", part).repartitionById(max(1, len(touched)) * parts, "_part")
         merged = placed.groupBy("bucket", "_part", "record_id").agg(
             F.max_by(F.struct(*_REPLACED, "order_key"), F.struct("order_key", "_new")).alias("_row"), F.min_by("source_id", "_new").alias("source_id")
         )
