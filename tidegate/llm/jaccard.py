@@ -241,7 +241,7 @@ def _regions(rows: DataFrame) -> DataFrame:
             given = bool(count[-1] > 1) or (s == 0 and given)
             held = (t[s : s + 1], k[s : s + 1], n[s : s + 1], given)
 
-    return rows.repartition("token").sortWithinPartitions("token", F.col("n") < 0, F.abs("n"), "key").mapInArrow(run, "token long, key long, n int, pivot long, pivot_n int")
+    return rows.repartition("token").sortWithinPartitions("token", F.col("n") < 0, F.abs("n"), "key").mapInArrow(lean(run), "token long, key long, n int, pivot long, pivot_n int")
 
 
 def _sketch_test(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -261,7 +261,7 @@ def _sketch_test(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     sizes = (F.least("an", "bn") * 100 >= F.greatest("an", "bn") * percent)
-    return pairs.join(one, "a").join(two, "b").filter(sizes).mapInArrow(run, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").filter(sizes).mapInArrow(lean(run, PART_ROWS), "a long, b long")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -287,7 +287,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, per
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     one, two = sets.select(F.col("key").alias("a"), F.col("members").alias("x")), sets.select(F.col("key").alias("b"), F.col("members").alias("y"))
-    return stored(pairs.join(one, "a").join(two, "b").mapInArrow(test, "a long, b long"))
+    return stored(pairs.join(one, "a").join(two, "b").mapInArrow(lean(test, PART_ROWS), "a long, b long"))
 
 
 def _unsettled(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -381,7 +381,7 @@ def _recursion(m: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
     part = ["token", "grade", "i", "j"]
     dealt = rows.repartition(*part).sortWithinPartitions(*part, "key").select(*part, "key", "comp", "n", "sketch")
-    return stored(dealt.mapInArrow(run, "a long, b long").filter("a <> b").distinct())
+    return stored(dealt.mapInArrow(lean(run, PART_ROWS), "a long, b long").filter("a <> b").distinct())
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
