@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
-from tidegate.llm.common import free, kept, parts, renewed, text_or_empty
+from tidegate.llm.common import free, kept, parts, renewed, small_batches, text_or_empty
 
 #: Fixed pattern of byte-level vocabularies: texts are cut into these pieces before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -183,6 +183,7 @@ def _vocabulary(shared) -> Vocabulary:
 
 
 def _shared_file(df: DataFrame, path: str):
+    small_batches(df.sparkSession)
     with open(path, encoding="utf-8") as f:
         return df.sparkSession.sparkContext.broadcast(f.read())
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import PART_ROWS, lean, same, sized, stored
+from tidegate.llm.common import PART_ROWS, lean, same, sized, small_batches, stored
 from tidegate.llm.components import components
 
 WORDS = 5
@@ -387,6 +387,7 @@ def _recursion(m: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(id, n_shingles, component_id), a row for each row: ``component_id`` is the smallest id reachable by
     links between documents whose shingle sets have a Jaccard similarity of ``percent`` / 100 or more."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     described = stored(_describe(source, words))
     rows = described.filter("digest IS NOT NULL")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import free, kept, parts, renewed, stored
+from tidegate.llm.common import free, kept, parts, renewed, small_batches, stored
 
 DOCS_PER_LANGUAGE = 3000
 ROUNDS = 3
@@ -127,6 +127,7 @@ class LanguageModel:
 
     def predict(self, df: DataFrame, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
         """Adds the most probable language and its posterior probability (all languages alike beforehand)."""
+        small_batches(df.sparkSession)
         shared = df.sparkSession.sparkContext.broadcast((self.languages, self.pieces, self.p))  # as large as the vocabulary
 
         @F.pandas_udf("lang string, score double")
@@ -249,6 +250,7 @@ def _scorer(languages: list[str], pieces: list[str], p: np.ndarray) -> Scorer:
 def fit(docs: DataFrame, pieces: list[str], doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
         docs_per_language: int = DOCS_PER_LANGUAGE, rounds: int = ROUNDS) -> LanguageModel:
     """Learns a model from the rows that have a text and a language."""
+    small_batches(docs.sparkSession)
     labelled = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import PART_ROWS, free, lean, release, renewed, sized, stored
+from tidegate.llm.common import PART_ROWS, free, lean, release, renewed, sized, small_batches, stored
 
 MIN_WORDS = 50
 
@@ -109,6 +109,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 
     The rows are written once, so that the row numbers hold whatever is computed twice.
     """
+    small_batches(docs.sparkSession)
     rows = stored(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("n")))
     full = F.col(f"row.`{text}`")
     lines = stored(line_table(rows.select(F.col("n").alias("row"), F.col(f"row.`{doc_id}`").cast("long").alias("id"), full.alias("text")), min_words))
