@@ -96,6 +96,26 @@ def test_a_fold_neither_sorts_nor_gathers_the_batches(spark, filled, monkeypatch
         assert "BroadcastHashJoin" in plans[what] and "SortMergeJoin" not in plans[what] and "Coalesce" not in plans[what]
 
 
+@pytest.mark.parametrize("name", ["folded_days", "folded_day_rows", "quarantine_expired_days"])
+def test_no_task_sorts_a_split_by_batch(spark, tmp_path, monkeypatch, name):
+    from tidegate.catalog import QUERIES
+
+    # all orders in one split: its rows are to be written by several tasks
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    orders.coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    files, real = [], Lake.replace_partitions
+
+    def replaced(self, df, table, **kw):
+        real(self, df, table, **kw)
+        # a task writes one file of a batch, and names its files by its own number
+        names = spark.read.parquet(self.path(table)).select(F.input_file_name().alias("f")).distinct().collect()
+        files.append({r.f.rpartition("/part-")[2][:5] for r in names})
+
+    monkeypatch.setattr(Lake, "replace_partitions", replaced)
+    QUERIES[name](spark, str(tmp_path))
+    assert files and len(files[0]) > 1
+
+
 def test_run_log_days_are_joined(spark, lake):
     for k in range(3):
         lake.log_run(batch_id=f"r{k}", source_id="s", mode="batch", status="success", started_at=FIRST, total=k)

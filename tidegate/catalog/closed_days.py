@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 
 from pyspark.sql import functions as F
 
@@ -14,15 +15,23 @@ from tidegate.tables.days import fold
 from tidegate.tables.lake import Lake
 
 _MONTH = "date_trunc('month', o_orderdate)"
+#: Rows that one task sorts by batch when it writes them: some 130 MB.
+_TASK_ROWS = 1_000_000
+
+
+def _dealt(rows):
+    """The rows dealt evenly by their ids.  A task sorts what it writes by batch, and a split grows with the table."""
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / _TASK_ROWS))
+    return rows.repartition(tasks, "record_id")
 
 
 def _orders(spark, d):
     """Orders as rows of a batch per year, each dated by the first of its month."""
-    return table(spark, d, "orders").select(
+    return _dealt(table(spark, d, "orders").select(
         F.col("o_orderkey").cast("string").alias("record_id"), F.lit("orders").alias("source_id"), F.lit("late").alias("rule_name"),
         F.col("o_orderstatus").alias("message"), F.date_trunc("month", "o_orderdate").alias("raised_at"),
         F.date_format("o_orderdate", "yyyy").alias("batch_id"),
-    )
+    ))
 
 
 @query("folded_days", f"""SELECT strftime({_MONTH}, '%Y') AS batch_id, strftime({_MONTH}, '%Y-%m-%d') AS day, o_orderstatus AS message, count(*) AS n, sum(o_orderkey)::BIGINT AS keys
@@ -58,7 +67,7 @@ def quarantine_expired_days(spark, d):
     orders = table(spark, d, "orders").withColumn("_v", failed)
     at = F.date_trunc("month", "o_orderdate")
     rows = quarantine.quarantine_rows(orders, "orders", "m", quarantined_at=at, record_id=F.col("o_orderkey").cast("string"))
-    lake.replace_partitions(rows.withColumn("batch_id", F.date_format("quarantined_at", "yyyy-MM")), "quarantine_record")
+    lake.replace_partitions(_dealt(rows).withColumn("batch_id", F.date_format("quarantined_at", "yyyy-MM")), "quarantine_record")
     dropped = expire_quarantine(lake, datetime.datetime(1998, 1, 12), days=10)
     left = lake.read("quarantine_record").groupBy(F.date_format("quarantined_at", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"))
     return left.withColumn("dropped", F.lit(dropped).cast("bigint"))
